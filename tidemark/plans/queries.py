@@ -1,6 +1,653 @@
-"""Registered queries and their DuckDB counterparts."""
+"""Registered queries of the engine, and the DuckDB SQL each is compared with where SQL can say the same."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..config import TOP_RANK_WEIGHTS, Config
+from ..functions import ids, parse, text, urls
+from ..operators import classify, dedup, emit, enrich, relational, scoring, store
+from ..sources import hotsearch, jsonl, tasks
+from ..streaming import incremental
+from . import adapters, cleaning
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__.removeprefix("q_")] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__.removeprefix("q_")] = sql
+        return f
+
+    return add
+
+
+# ---- pieces of SQL ----
+def _uuid5(ns, name: str) -> str:
+    h = f"sha1(unhex('{ns.hex}') || encode({name}))"
+    return (
+        f"(substr({h},1,8)||'-'||substr({h},9,4)||'-5'||substr({h},14,3)||'-'||substr('89ab', 1 + (('0x'||substr({h},17,1))::INT % 4), 1)||substr({h},18,3)||'-'||substr({h},21,12))"
+    )
+
+
+def _norm(x: str) -> str:
+    return f"trim(regexp_replace(replace(lower(coalesce({x}, '')), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _round4(x: str) -> str:
+    return f"floor(({x}) * 10000 + 0.5) / 10000"
+
+
+RAW = f"""raw AS (SELECT doc_id, {_uuid5(ids.NS_RAW, "'doc:' || doc_id::VARCHAR")} AS id, source AS platform, 'doc:' || doc_id::VARCHAR AS external_id, substr(text, 1, 120) AS title, text AS content, lang,
+  CASE WHEN doc_id % 17 <> 0 THEN make_timestamp((1704067200 + (doc_id % 240) * 3600) * 1000000) END AS published_at, make_timestamp((1704931200 + doc_id % 3600) * 1000000) AS collected_at FROM documents)"""
+COMMENTS = """comments AS (SELECT conv_id::VARCHAR || ':' || turn::VARCHAR AS id, 'doc:' || conv_id::VARCHAR AS note_external_id, conv_id, turn, text AS content, (length(text) % 100)::BIGINT AS like_count, make_timestamp((1704067200 + conv_id * 60 + turn) * 1000000) AS published_at FROM conversations)"""
+ANALYSES = """analyses AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'cyber_fraud' ELSE 'other' END AS llm_category, CASE WHEN quality = 1 THEN 0.9::DOUBLE ELSE 0.4::DOUBLE END AS llm_confidence,
+  (40 * toxic + 20 * (1 - quality) + doc_id % 40)::DOUBLE AS risk_score, CASE WHEN doc_id IN (SELECT conv_id FROM conversations) THEN ((doc_id * 7) % 101)::DOUBLE END AS sentiment_score FROM labels)"""
+ISO = "strftime({}, '%Y-%m-%d %H:%M:%S')"
+
+
+def iso(c) -> F.Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def _classify_sql(norm: str, rules: dict) -> tuple[str, str, str, str]:
+    """SQL for (category, confidence, n, reason) on a column `norm`."""
+    ranked = sorted(((w, -k, name, [(x, text.normalized(x)) for x in ws]) for k, (name, (w, ws)) in enumerate(rules.items()) if ws), reverse=True)
+    hits = {name: "list_filter([" + ", ".join(f"CASE WHEN contains({norm}, {_quote(n)}) THEN {_quote(w)} END" for w, n in ws) + "], lambda x: x IS NOT NULL)" for _, _, name, ws in ranked}
+    pick = lambda f, other: "CASE " + " ".join(f"WHEN len({hits[n]}) > 0 THEN {f(n)}" for _, _, n, _ in ranked) + f" ELSE {other} END"
+    n = pick(lambda x: f"len({hits[x]})", "0")
+    return pick(_quote, "'other'"), f"CASE WHEN ({n}) = 0 THEN 0.3::DOUBLE ELSE round(least(0.95::DOUBLE, 0.6::DOUBLE + 0.1::DOUBLE * (({n}) - 1)), 2) END", n, pick(lambda x: f"array_to_string(list_slice({hits[x]}, 1, 5), '、')", _quote(classify.NO_MATCH))
+
+
+_CAT, _CONF, _N, _WHY = _classify_sql("n", adapters.RULES)
+CLASSIFIED = f"classified AS (SELECT *, {_CAT} AS category, {_CONF} AS confidence, ({_N})::INT AS n_matched, {_WHY} AS reason FROM (SELECT doc_id, {_norm('text')} AS n FROM documents))"
+
+
+def classified(spark: SparkSession, sf: str) -> DataFrame:
+    d = adapters.table(spark, sf, "documents")
+    return classify.classify(d.select("doc_id", text.normalize_text("text").alias("_t")), "_t", adapters.RULES).drop("_t")
+
+
+# ---- classification and scalars ----
+@query(f"WITH {CLASSIFIED} SELECT doc_id, category, confidence, n_matched, reason FROM classified")
+def q_rule_classify(spark, sf):
+    return classified(spark, sf)
+
+
+@query(f"WITH {CLASSIFIED} SELECT category, count(*) AS items, avg(confidence) AS mean_confidence FROM classified GROUP BY category")
+def q_category_counts(spark, sf):
+    return classified(spark, sf).groupBy("category").agg(F.count("*").alias("items"), F.avg("confidence").alias("mean_confidence"))
+
+
+@query(f"SELECT doc_id, {_norm('text')} AS normal FROM documents")
+def q_normalize_text(spark, sf):
+    return adapters.table(spark, sf, "documents").select("doc_id", text.normalize_text("text").alias("normal"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS collapsed FROM documents")
+def q_collapse_whitespace(spark, sf):
+    return adapters.table(spark, sf, "documents").select("doc_id", text.collapse_ws(F.col("text")).alias("collapsed"))
+
+
+_PARTS = r"""u AS (SELECT page_id, url, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^#]*)', 1) AS rest FROM pages),
+v AS (SELECT *, lower(regexp_extract(regexp_replace(regexp_extract(rest, '^([^/?]*)', 1), '^.*@', ''), '^([^:]*)', 1)) AS host, list_filter(string_split(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/'), lambda s: s <> '' AND s <> '.') AS steps,
+  list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), lambda p: p <> '') AS args FROM u)"""
+
+
+@query(
+    f"""WITH {_PARTS}, w AS (SELECT *, list_sort(list_transform(list_filter(args, lambda p: NOT list_contains([{', '.join(map(_quote, urls.TRACKING))}], lower(regexp_extract(p, '^([^=]*)', 1)))),
+ lambda p: {{'k': regexp_extract(p, '^([^=]*)', 1), 'v': regexp_extract(p, '^[^=]*=(.*)$', 1)}})) AS kept FROM v)
+SELECT page_id, scheme || '://' || host || '/' || array_to_string(steps, '/') || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_transform(kept, lambda p: p.k || '=' || p.v), '&') ELSE '' END AS canonical FROM w"""
+)
+def q_canonical_url(spark, sf):
+    return adapters.table(spark, sf, "pages").select("page_id", urls.canonicalize_url(F.col("url")).alias("canonical"))
+
+
+@query(f"SELECT doc_id, {_uuid5(ids.NS_RAW, 'text')} AS uuid, sha256(text) AS sha FROM documents")
+def q_uuid5(spark, sf):
+    return adapters.table(spark, sf, "documents").select("doc_id", ids.uuid5(ids.NS_RAW, F.col("text")).alias("uuid"), ids.sha256_hex(F.col("text")).alias("sha"))
+
+
+_COUNTS = "CASE o_orderkey % 5 WHEN 0 THEN floor(o_totalprice)::BIGINT::VARCHAR || '.5万' WHEN 1 THEN ' ' || format('{:,}', o_custkey * 1000) WHEN 2 THEN (o_custkey % 9)::VARCHAR || '.5亿' WHEN 3 THEN '-' || o_custkey::VARCHAR ELSE o_orderpriority END"
+
+
+@query(
+    f"""WITH s AS (SELECT o_orderkey, {_COUNTS} AS s FROM orders), t AS (SELECT o_orderkey, s, regexp_replace(s, '[,\\s]', '', 'g') AS v FROM s),
+n AS (SELECT o_orderkey, s, try_cast(regexp_replace(v, '[万亿]$', '') AS DOUBLE) * CASE WHEN v LIKE '%万' THEN 1e4 WHEN v LIKE '%亿' THEN 1e8 ELSE 1.0 END AS n FROM t)
+SELECT o_orderkey, s AS shown, CASE WHEN n >= 0 THEN floor(n)::BIGINT END AS n FROM n"""
+)
+def q_parse_count(spark, sf):
+    o = adapters.table(spark, sf, "orders")
+    k = F.col("o_orderkey") % 5
+    shown = (
+        F.when(k == 0, F.concat(F.floor("o_totalprice").cast("string"), F.lit(".5万"))).when(k == 1, F.concat(F.lit(" "), F.format_number(F.col("o_custkey") * 1000, 0)))
+        .when(k == 2, F.concat((F.col("o_custkey") % 9).cast("string"), F.lit(".5亿"))).when(k == 3, F.concat(F.lit("-"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_orderpriority"))
+    )
+    return o.select("o_orderkey", shown.alias("shown"), parse.parse_count(shown).alias("n"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS n, CASE WHEN o_orderkey % 3 = 0 THEN (o_custkey * 1000) END AS m FROM orders")
+def q_as_int(spark, sf):
+    o, whole = adapters.table(spark, sf, "orders"), F.col("o_orderkey") % 3 == 0
+    plain, comma = F.when(whole, F.col("o_custkey").cast("string")).otherwise(F.col("o_orderpriority")), F.when(whole, F.format_number(F.col("o_custkey") * 1000, 0)).otherwise(F.lit("1.2万"))
+    return o.select("o_orderkey", parse.as_int(plain).alias("n"), parse.as_int(comma).alias("m"))
+
+
+@query(f"SELECT event_id, {ISO.format('date_trunc(' + _quote('second') + ', ts)')} AS t, CASE WHEN event_id % 4 < 3 THEN 1 ELSE 0 END AS readable FROM events WHERE event_id % 4 < 3 UNION ALL SELECT event_id, NULL, 0 FROM events WHERE event_id % 4 = 3")
+def q_parse_time(spark, sf):
+    e, k = adapters.table(spark, sf, "events"), F.col("event_id") % 4
+    sec = F.unix_timestamp("ts")
+    shown = F.when(k == 0, sec.cast("string")).when(k == 1, (sec * 1000).cast("string")).when(k == 2, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.col("event_type"))
+    t = parse.parse_datetime(shown)
+    return e.select("event_id", iso(t).alias("t"), t.isNotNull().cast("int").alias("readable"))
+
+
+@query("SELECT c_custkey, coalesce(try_cast(nullif(regexp_extract(CASE WHEN c_custkey % 2 = 0 THEN 'level_' || c_nationkey::VARCHAR ELSE c_name END, '_(\\d+)$', 1), '') AS INT), c_nationkey::INT) AS level FROM customer")
+def q_level_number(spark, sf):
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("level_"), F.col("c_nationkey").cast("string"))).otherwise(F.col("c_name"))
+    return adapters.table(spark, sf, "customer").select("c_custkey", parse.level_number(name, F.col("c_nationkey")).alias("level"))
+
+
+@query(r"SELECT doc_id, regexp_extract_all(text, '(^|[^0-9])(1[3-9][0-9]{9})([^0-9]|$)', 2) IS NOT NULL AS scanned, length(text) > 0 AS there FROM documents")
+def q_scan_phone_numbers(spark, sf):
+    d = adapters.table(spark, sf, "documents")
+    return d.select("doc_id", text.redact_pii(F.col("text")).isNotNull().alias("scanned"), (F.length("text") > 0).alias("there"))
+
+
+@query("SELECT c_custkey, 'call ' || '[手机号]' || ' or mail ' || c_name || ' id ' || '[身份证号]' AS redacted FROM customer")
+def q_redact_pii(spark, sf):
+    phone = F.format_string("%s1%d%09d", F.when(F.col("c_custkey") % 2 == 0, F.lit("+86 ")).otherwise(F.lit("")), F.lit(3) + F.col("c_custkey") % 7, F.col("c_custkey"))
+    identity = F.concat(F.lpad(F.col("c_custkey").cast("string"), 17, "4"), F.lit("X"))
+    s = F.concat(F.lit("call "), phone, F.lit(" or mail "), "c_name", F.lit(" id "), identity)
+    return adapters.table(spark, sf, "customer").select("c_custkey", text.redact_pii(s).alias("redacted"))
+
+
+@query("SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k FROM events")
+def q_fence_json(spark, sf):
+    e = adapters.table(spark, sf, "events")
+    fenced = F.concat(F.lit("```json\n"), "props", F.lit("\n```"))
+    return e.select("event_id", F.try_variant_get(F.try_parse_json(parse.fenced_json(fenced)), "$.k", "bigint").alias("k"))
+
+
+# ---- fingerprints ----
+@query(
+    f"""WITH t AS (SELECT conv_id, turn, {_norm('text')} AS n FROM conversations),
+f AS (SELECT conv_id, turn, unnest(list_concat(string_split(n, ' '), list_transform(range(1, greatest(1, length(n) - 2) + 1), lambda i: substr(n, i, 3)))) AS f FROM t WHERE n <> ''),
+c AS (SELECT conv_id, turn, f, count(*) AS k FROM f GROUP BY ALL), h AS (SELECT conv_id, turn, k, ('0x' || substr(sha256(f), 1, 16))::UBIGINT AS h FROM c),
+b AS (SELECT conv_id, turn, r.range AS bit, sum(CASE WHEN (h >> r.range) & 1 = 1 THEN k ELSE -k END) > 0 AS one FROM h, range(64) r GROUP BY ALL),
+s AS (SELECT conv_id, turn, sum(CASE WHEN one THEN 1::HUGEINT << bit ELSE 0 END) AS v FROM b GROUP BY ALL)
+SELECT t.conv_id, t.turn, coalesce(printf('%016x', s.v::UBIGINT), repeat('0', 16)) AS simhash FROM t LEFT JOIN s USING (conv_id, turn)"""
+)
+def q_simhash64(spark, sf):
+    c = adapters.table(spark, sf, "conversations")
+    return c.select("conv_id", "turn", text.simhash64_arrow(text.normalize_text("text")).alias("simhash"))
+
+
+@query(
+    "WITH k AS (SELECT p_partkey, substr(sha256(p_name), 1, 16) AS h, ('0x' || substr(sha256(p_name), 1, 16))::UBIGINT AS v FROM part) SELECT a.p_partkey AS a, b.p_partkey AS b, bit_count(xor(a.v, b.v))::INT AS distance FROM k a JOIN k b ON a.p_partkey < b.p_partkey AND bit_count(xor(a.v, b.v)) <= 22"
+)
+def q_simhash_pairs(spark, sf):
+    k = adapters.table(spark, sf, "part").select("p_partkey", F.substring(ids.sha256_hex(F.col("p_name")), 1, 16).alias("h"))
+    a, b = k.select(F.col("p_partkey").alias("a"), F.col("h").alias("ah")), k.select(F.col("p_partkey").alias("b"), F.col("h").alias("bh"))
+    d = text.hamming(F.col("ah"), F.col("bh")).cast("int")
+    return a.join(b, (F.col("a") < F.col("b")) & (d <= dedup.GATE)).select("a", "b", d.alias("distance"))
+
+
+@query(
+    f"""WITH {RAW} SELECT {_uuid5(ids.NS_CLEAN, "'clean:' || id")} AS clean_item_id, id AS raw_item_id, trim(regexp_replace(title, '\\s+', ' ', 'g')) AS title, sha256({_norm("trim(regexp_replace(title, '\\s+', ' ', 'g'))")}) AS title_hash,
+sha256({_norm("trim(regexp_replace(content, '\\s+', ' ', 'g'))")}) AS content_hash FROM raw"""
+)
+def q_clean_project(spark, sf):
+    r = adapters.clean(adapters.raw_documents(spark, sf))
+    t, c = text.collapse_ws(F.col("title")), text.collapse_ws(F.col("content"))
+    return r.select("clean_item_id", F.col("id").alias("raw_item_id"), t.alias("title"), ids.sha256_hex(text.normalize_text(t)).alias("title_hash"), ids.sha256_hex(text.normalize_text(c)).alias("content_hash"))
+
+
+# ---- sources and mappers ----
+@query("SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k, event_id % 5 <> 0 AS valid FROM events WHERE event_id % 5 <> 0 UNION ALL SELECT event_id, NULL, false FROM events WHERE event_id % 5 = 0")
+def q_scan_jsonl(spark, sf):
+    e = adapters.table(spark, sf, "events").withColumn("line", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props")))
+    return jsonl.parsed(e).select("event_id", jsonl.get("k", "bigint").alias("k"), F.col("error").isNull().alias("valid"))
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE event_id % 3 = 1) AS valid FROM events")
+def q_count_valid_json(spark, sf):
+    k = F.col("event_id") % 3
+    e = adapters.table(spark, sf, "events").withColumn("line", F.when(k == 0, F.concat(F.lit("["), "props", F.lit("]"))).when(k == 1, F.col("props")).otherwise(F.substring("props", 1, 3)))
+    return jsonl.count_valid(e)
+
+
+@query(
+    f"""SELECT doc_id, {_uuid5(ids.NS_RAW, "'task:' || (doc_id + 1)::VARCHAR || ':xhs:' || doc_id::VARCHAR || ':' || substr(text, 1, 120)")} AS id, 'xhs:' || doc_id::VARCHAR AS external_id, substr(text, 1, 120) AS title, text AS content, source AS author_name,
+n_chars AS likes, {ISO.format('make_timestamp((1704067200 + doc_id) * 1000000)')} AS published FROM documents"""
+)
+def q_map_raw_item(spark, sf):
+    d = adapters.table(spark, sf, "documents")
+    line = F.to_json(F.struct(F.col("doc_id").alias("note_id"), F.lit("").alias("title"), F.col("text").alias("desc"), F.col("source").alias("nickname"), F.format_number("n_chars", 0).alias("liked_count"), (F.lit(1704067200000) + F.col("doc_id") * 1000).alias("publish_time")))
+    rows = d.select(F.lit("f").alias("path"), (F.col("doc_id") + 1).cast("int").alias("line_number"), line.alias("line"))
+    good, _ = jsonl.split_errors(jsonl.map_items(jsonl.parsed(rows), jsonl.Context()))
+    return good.select(F.regexp_extract("external_id", r"(\d+)$", 1).cast("long").alias("doc_id"), "id", "external_id", "title", "content", "author_name", F.element_at("engagement", F.lit("like")).alias("likes"), iso("published_at").alias("published"))
+
+
+@query(
+    f"""SELECT conv_id, turn, {_uuid5(ids.NS_RAW, "'comment:task:' || (turn + 1)::VARCHAR || ':' || conv_id::VARCHAR || ':' || conv_id::VARCHAR || '-' || turn::VARCHAR")} AS id, 'xhs:' || conv_id::VARCHAR AS note_external_id, text AS content FROM conversations WHERE text <> ''"""
+)
+def q_map_comment(spark, sf):
+    c = adapters.table(spark, sf, "conversations")
+    line = F.to_json(F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("comment_id"), F.col("conv_id").alias("note_id"), F.col("text").alias("content")))
+    rows = c.select(F.col("conv_id").cast("string").alias("path"), (F.col("turn") + 1).cast("int").alias("line_number"), line.alias("line"))
+    good, _ = jsonl.split_errors(jsonl.map_comments(jsonl.parsed(rows), jsonl.Context()))
+    part = F.split("comment_external_id", "-")
+    return good.select(part[0].cast("long").alias("conv_id"), part[1].cast("long").alias("turn"), "id", "note_external_id", "content")
+
+
+_HOST = "lower(regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)', 1))"
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, {_HOST} AS host, trim(url) AS title, row_number() OVER (PARTITION BY {_HOST} ORDER BY page_id) AS rank FROM pages)
+SELECT {_uuid5(ids.NS_HOT, "host || ':2024-01-01T00:00:00+00:00:' || rank::VARCHAR || ':' || title")} AS id, host AS platform, host || ':' || rank::VARCHAR AS external_id, title, rank::INT AS rank, (page_id * 10000)::BIGINT AS hot_value FROM p"""
+)
+def q_map_hotsearch(spark, sf):
+    p = adapters.raw_pages(spark, sf)
+    rows = p.select(F.col("host").alias("platform"), F.lit("2024-01-01").cast("timestamp").alias("collected_at"), F.lit(True).alias("ok"), "rank", F.col("url").alias("title"), "url", F.concat(F.col("page_id").cast("string"), F.lit("万")).alias("hot"), F.lit(None).cast("string").alias("content"), F.lit("{}").alias("payload"))
+    return hotsearch.to_raw_items(rows).select("id", "platform", "external_id", "title", "rank", "hot_value")
+
+
+@F.pandas_udf("string")
+def _title(html: pd.Series) -> pd.Series:
+    return html.map(lambda x: hotsearch.page_title(x or ""))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '''' ), '&#x27;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages")
+def q_page_title(spark, sf):
+    """HTML parsing of whole pages by the parsers' element tree, in Arrow batches."""
+    return adapters.table(spark, sf, "pages").select("page_id", _title("html").alias("title"))
+
+
+@query(f"SELECT {_uuid5(ids.NS_TASK, "'crawler:' || r_name || ':keyword_search:' || n_name || ':' || (n_nationkey % 3)::VARCHAR")} AS task_id, r_name AS platform, 'keyword_search' AS source_type, n_name AS target, (n_nationkey % 3)::INT AS level FROM nation, region")
+def q_task_plan(spark, sf):
+    t = adapters.table(spark, sf, "nation").select(F.lit("keyword_search").alias("source_type"), F.col("n_name").alias("target"), (F.col("n_nationkey") % 3).cast("int").alias("level"))
+    return tasks.plan(t, adapters.table(spark, sf, "region").select(F.col("r_name").alias("platform")))
+
+
+@query("WITH s AS (SELECT n_name AS source_key, (300 + (n_nationkey * 60))::BIGINT AS i FROM nation) SELECT source_key, i::INT AS interval_seconds, strftime(make_timestamp((1704067200 + i) * 1000000), '%Y-%m-%d %H:%M:%S') AS next_run FROM s")
+def q_schedule_catalog(spark, sf):
+    n = adapters.table(spark, sf, "nation").select(F.col("n_name").alias("source_key"), (300 + F.col("n_nationkey") * 60).cast("int").alias("interval_seconds"))
+    from .scheduler import next_run
+
+    t = next_run(F.lit("2024-01-01").cast("timestamp"), F.col("interval_seconds"), F.lit(0), F.lit(0), seed=1)
+    return n.select("source_key", "interval_seconds", iso(t).alias("next_run"))
+
+
+# ---- filters and anti joins ----
+@query(
+    f"""WITH {RAW} SELECT id, CASE WHEN published_at < TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR THEN 'discarded' ELSE 'accepted' END AS outcome, CASE WHEN published_at < TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR THEN 'expired' END AS reason
+FROM raw WHERE published_at IS NOT NULL UNION ALL SELECT id, 'accepted', NULL FROM raw WHERE published_at IS NULL"""
+)
+def q_date_filter(spark, sf):
+    return relational.date_decision(adapters.raw_documents(spark, sf), F.lit(adapters.REF).cast("timestamp")).select("id", "outcome", "reason")
+
+
+@query(f"WITH {RAW} SELECT count(*) AS input_count, count(*) FILTER (WHERE published_at >= TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR) AS accepted_count, count(*) FILTER (WHERE published_at IS NULL OR published_at < TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR) AS discarded_count FROM raw")
+def q_run_summary(spark, sf):
+    return relational.run_summary(relational.date_decision(adapters.raw_documents(spark, sf), F.lit(adapters.REF).cast("timestamp"), missing="drop"))
+
+
+@query(f"WITH {RAW} SELECT id, {ISO.format('collected_at')} AS collected FROM raw WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def q_anti_pending(spark, sf):
+    decided = adapters.table(spark, sf, "labels").select(ids.uuid5(ids.NS_RAW, F.concat(F.lit("doc:"), F.col("doc_id").cast("string"))).alias("raw_item_id"))
+    return relational.pending(adapters.raw_documents(spark, sf), decided).select("id", iso("collected_at").alias("collected"))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def q_anti_missing_analysis(spark, sf):
+    returned = adapters.table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return relational.missing(adapters.table(spark, sf, "orders"), returned, "o_orderkey").select("o_orderkey", "o_custkey")
+
+
+@query(f"WITH {ANALYSES} SELECT doc_id, source, llm_category, risk_score FROM documents JOIN analyses USING (doc_id) WHERE doc_id NOT IN (SELECT conv_id FROM conversations)")
+def q_ready_for_scoring(spark, sf):
+    d = adapters.table(spark, sf, "documents").withColumnRenamed("doc_id", "clean_item_id")
+    done = adapters.table(spark, sf, "conversations").select(F.col("conv_id").alias("clean_item_id")).distinct()
+    return relational.ready_for_scoring(d, adapters.analyses(spark, sf).withColumnRenamed("doc_id", "clean_item_id"), done).select(F.col("clean_item_id").alias("doc_id"), "source", "llm_category", "risk_score")
+
+
+@query("SELECT n_name AS source_key FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) ON c_nationkey = n_nationkey WHERE coalesce(1704067200 + n * 3600 <= 1704067200 + 72000, true) OR n_nationkey % 4 = 0")
+def q_due_sources(spark, sf):
+    n = adapters.table(spark, sf, "nation").withColumnRenamed("n_nationkey", "k")
+    c = adapters.table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("k")).agg(F.count("*").alias("n"))
+    state = n.join(c, "k").where("k % 4 <> 0").select(F.col("n_name").alias("source_key"), F.timestamp_seconds(F.lit(1704067200) + F.col("n") * 3600).alias("next_run_at"))
+    return relational.due(n.select(F.col("n_name").alias("source_key")), state, F.timestamp_seconds(F.lit(1704067200 + 72000))).select("source_key")
+
+
+@query("SELECT CASE WHEN count(*) > 0 THEN greatest(0, min(epoch(ts)::BIGINT) - epoch(TIMESTAMP '2023-12-31 23:00:00')::BIGINT) ELSE 0 END AS idle FROM (SELECT date_trunc('second', max(ts)) AS ts FROM events GROUP BY event_type)")
+def q_idle_seconds(spark, sf):
+    s = adapters.table(spark, sf, "events").groupBy("event_type").agg(F.max("ts").alias("next_run_at"))
+    return s.agg(relational.idle_seconds(F.col("next_run_at"), F.lit("2023-12-31 23:00:00").cast("timestamp")).alias("idle"))
+
+
+# ---- bridge joins ----
+@query(f"WITH {RAW}, {COMMENTS} SELECT DISTINCT {_uuid5(ids.NS_CLEAN, "'clean:' || raw.id")} AS clean_item_id, comments.id, comments.content, comments.like_count FROM raw JOIN comments ON comments.note_external_id = raw.external_id")
+def q_comments_for_item(spark, sf):
+    raw = adapters.clean(adapters.raw_documents(spark, sf))
+    sources = raw.select("clean_item_id", F.col("id").alias("raw_item_id"), F.lit(0).alias("pos"))
+    return relational.comments_by_item(sources, raw, adapters.comments(spark, sf)).select("clean_item_id", "id", "content", "like_count")
+
+
+@query(f"WITH {RAW}, {COMMENTS}, j AS (SELECT raw.doc_id, comments.*, row_number() OVER (PARTITION BY raw.doc_id ORDER BY comments.published_at NULLS FIRST, comments.id) AS rn FROM raw JOIN comments ON note_external_id = external_id) SELECT doc_id, string_agg(id, ',' ORDER BY rn) AS sample FROM j WHERE rn <= 3 GROUP BY doc_id")
+def q_comment_sample(spark, sf):
+    raw = adapters.raw_documents(spark, sf).select(F.col("external_id").alias("note_external_id"), F.col("doc_id").alias("clean_item_id"))
+    c = adapters.comments(spark, sf).join(raw, "note_external_id").withColumn("content", F.col("id"))
+    lists = enrich.comment_lists(c, 3)
+    return lists.select(F.col("clean_item_id").alias("doc_id"), F.array_join(F.transform("comments", lambda x: x["content"]), ",").alias("sample"))
+
+
+@query("SELECT l_orderkey, string_agg(l_partkey::VARCHAR, ',' ORDER BY l_linenumber, l_partkey) AS sources FROM lineitem GROUP BY l_orderkey")
+def q_clean_with_sources(spark, sf):
+    li = adapters.table(spark, sf, "lineitem")
+    s = li.select(F.col("l_orderkey").alias("clean_item_id"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("raw_item_id"))
+    out = relational.with_sources(li.select(F.col("l_orderkey").alias("clean_item_id")).distinct(), s)
+    return out.select(F.col("clean_item_id").alias("l_orderkey"), F.array_join(F.transform("source_raw_item_ids", lambda x: x.cast("string")), ",").alias("sources"))
+
+
+@query("SELECT l_orderkey, l_linenumber, p_name, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS place FROM lineitem JOIN part ON p_partkey = l_partkey")
+def q_raw_for_clean(spark, sf):
+    li, p = adapters.table(spark, sf, "lineitem"), adapters.table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return li.join(p, "l_partkey").select("l_orderkey", "l_linenumber", "p_name", relational.attempt_number(["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"]).alias("place"))
+
+
+_DELIVERIES = "deliveries AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'succeeded' WHEN 'O' THEN 'failed' ELSE 'dry_run' END AS status, (o_custkey % 3 + 1)::INT AS attempt_count FROM orders)"
+
+
+def _deliveries(spark, sf):
+    o = adapters.table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("event_id"), F.when(F.col("o_orderstatus") == "F", "succeeded").when(F.col("o_orderstatus") == "O", "failed").otherwise("dry_run").alias("status"), (F.col("o_custkey") % 3 + 1).cast("int").alias("attempt_count"))
+
+
+@query(f"WITH {_DELIVERIES} SELECT e.event_id::VARCHAR AS event_id, e.event_type FROM events e WHERE e.event_id NOT IN (SELECT o_orderkey FROM deliveries WHERE status = 'succeeded')")
+def q_undelivered_events(spark, sf):
+    e = adapters.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"), "event_type")
+    return relational.undelivered(e, _deliveries(spark, sf))
+
+
+@query(f"WITH {_DELIVERIES} SELECT e.event_id::VARCHAR AS event_id, status, attempt_count FROM events e LEFT JOIN deliveries ON o_orderkey = e.event_id")
+def q_event_delivery_report(spark, sf):
+    e = adapters.table(spark, sf, "events").select(F.to_json(F.struct(F.col("event_id").cast("string").alias("event_id"), "event_type")).alias("event_json"))
+    return relational.delivery_report(e, _deliveries(spark, sf)).select("event_id", "status", "attempt_count")
+
+
+@query(f"WITH {_DELIVERIES} SELECT e.event_id::VARCHAR AS event_id, coalesce(attempt_count, 0) + 1 AS attempt_number FROM events e LEFT JOIN deliveries ON o_orderkey = e.event_id")
+def q_attempt_seq(spark, sf):
+    e = adapters.table(spark, sf, "events").select(F.col("event_id").cast("string").alias("event_id"))
+    return emit.number_attempts(e, _deliveries(spark, sf))
+
+
+@query("SELECT event_id, CASE WHEN value >= 85 THEN 'red' WHEN value >= 70 THEN 'orange' ELSE 'blue' END AS alert_level FROM events WHERE value >= 70")
+def q_event_select(spark, sf):
+    e = adapters.table(spark, sf, "events").select("event_id", scoring.alert_level(Config(), F.col("value")).alias("alert_level"))
+    return relational.select_events(e, {k: tuple(v) for k, v in Config().output.levels.items()})
+
+
+@query("SELECT DISTINCT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)")
+def q_semi_has_analysis(spark, sf):
+    o = adapters.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return adapters.table(spark, sf, "customer").select("c_custkey").join(o, "c_custkey", "left_semi")
+
+
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+def q_except_keys(spark, sf):
+    return adapters.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(adapters.table(spark, sf, "orders").select("o_custkey"))
+
+
+# ---- writes ----
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 4)")
+def q_insert_ignore(spark, sf):
+    have = adapters.table(spark, sf, "lineitem").where("l_linenumber = 4").select(F.col("l_orderkey").alias("o_orderkey"))
+    o = adapters.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return store.insert_ignore(have, o.unionByName(o), ["o_orderkey"])
+
+
+@query("SELECT o_custkey, max_by(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS price, strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S') AS created FROM orders GROUP BY o_custkey")
+def q_upsert_latest(spark, sf):
+    o = adapters.table(spark, sf, "orders").select("o_custkey", F.col("o_totalprice").alias("price"), F.struct("o_orderdate", "o_orderkey").alias("updated_at"), F.col("o_orderdate").alias("created_at"))
+    return store.upsert(o.limit(0), o, ["o_custkey"]).select("o_custkey", "price", iso("created_at").alias("created"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS price FROM orders")
+def q_replace_rows(spark, sf):
+    o = adapters.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price"))
+    return store.replace(o, o.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") * 2), ["o_orderkey"])
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)")
+def q_orphan_rows(spark, sf):
+    return store.orphans(adapters.table(spark, sf, "lineitem"), adapters.table(spark, sf, "part").where("p_partkey % 10 <> 0"), "l_partkey", "p_partkey").select("l_orderkey", "l_linenumber")
+
+
+# ---- folds ----
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels", "conversations")
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}" for t in _TABLES))
+def q_table_stats(spark, sf):
+    return relational.table_stats({t: adapters.table(spark, sf, t) for t in _TABLES})
+
+
+@query("SELECT lang, source AS platform, count(*) AS n FROM documents GROUP BY lang, source")
+def q_source_coverage(spark, sf):
+    return adapters.table(spark, sf, "documents").groupBy("lang", F.col("source").alias("platform")).agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {ANALYSES} SELECT (SELECT count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS missing_analysis, (SELECT count(*) FROM analyses WHERE sentiment_score IS NULL) AS missing_sentiment, (SELECT count(*) FROM analyses WHERE llm_confidence < 0.6) AS unsure")
+def q_pipeline_gaps(spark, sf):
+    a = adapters.analyses(spark, sf)
+    gap = relational.missing(adapters.table(spark, sf, "documents").select("doc_id"), a, "doc_id").agg(F.count("*").alias("missing_analysis"))
+    return gap.crossJoin(a.agg(F.count_if(F.col("sentiment_score").isNull()).alias("missing_sentiment"), F.count_if(F.col("llm_confidence") < 0.6).alias("unsure")))
+
+
+_STATUS = "CASE WHEN l_quantity > 48 THEN 'failed' WHEN l_quantity > 40 THEN 'partial' WHEN l_quantity > 20 THEN 'skipped' ELSE 'succeeded' END"
+
+
+@query(f"SELECT l_orderkey, CASE WHEN bool_or(s = 'failed') THEN 'failed' WHEN bool_or(s = 'partial') THEN 'partial' ELSE 'succeeded' END AS status FROM (SELECT l_orderkey, {_STATUS} AS s FROM lineitem) GROUP BY l_orderkey")
+def q_status_fold(spark, sf):
+    li = adapters.table(spark, sf, "lineitem").select("l_orderkey", F.expr(_STATUS).alias("s"))
+    return li.groupBy("l_orderkey").agg(relational.status_fold(F.col("s")).alias("status"))
+
+
+@query("SELECT user_id, greatest(max(t), 0) AS interaction_total FROM (SELECT user_id, date_trunc('day', ts) AS d, sum(floor(value))::BIGINT AS t FROM (SELECT user_id, ts, event_type, floor(value) AS value FROM events) GROUP BY ALL) GROUP BY user_id")
+def q_interaction_total(spark, sf):
+    e = adapters.table(spark, sf, "events").groupBy("user_id", F.date_trunc("day", "ts").alias("d"), "event_type").agg(F.sum(F.floor("value")).alias("v"))
+    m = e.groupBy("user_id", "d").agg(F.map_from_entries(F.collect_list(F.struct("event_type", "v"))).alias("engagement"))
+    return m.groupBy("user_id").agg(F.greatest(F.max(relational.engagement_total(F.col("engagement"))), F.lit(0)).alias("interaction_total"))
+
+
+@query("SELECT l_orderkey, min(CASE WHEN l_quantity <= 25 THEN l_quantity END)::INT AS best_rank, arg_min(l_returnflag, struct_pack(n := l_linenumber, p := l_partkey)) FILTER (WHERE l_quantity <= 25) AS ranked_platform FROM lineitem GROUP BY l_orderkey")
+def q_rank_first(spark, sf):
+    li = adapters.table(spark, sf, "lineitem")
+    rank = F.when(F.col("l_quantity") <= 25, F.col("l_quantity").cast("int"))
+    return li.groupBy("l_orderkey").agg(F.min(rank).alias("best_rank"), F.min_by("l_returnflag", F.when(rank.isNotNull(), F.struct("l_linenumber", "l_partkey"))).alias("ranked_platform"))
+
+
+@query("SELECT conv_id, sum(length(text)) AS input_tokens, sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS output_tokens FROM conversations GROUP BY conv_id")
+def q_token_usage(spark, sf):
+    c = adapters.table(spark, sf, "conversations").select("conv_id", F.length("text").alias("i"), F.when(F.col("role") == "assistant", F.length("text")).alias("o"))
+    return c.groupBy("conv_id").agg(F.sum(F.coalesce("i", F.lit(0))).alias("input_tokens"), F.sum(F.coalesce("o", F.lit(0))).alias("output_tokens"))
+
+
+# ---- rankings and sets ----
+@query(f"WITH {RAW}, r AS (SELECT id, platform, row_number() OVER (PARTITION BY platform ORDER BY collected_at, id) AS rn FROM raw) SELECT id, platform FROM r WHERE rn <= 5")
+def q_topn_per_platform(spark, sf):
+    return relational.first_n(adapters.raw_documents(spark, sf), 5, ["platform"], ["collected_at", "id"]).select("id", "platform")
+
+
+@query("SELECT source AS platform, least(count(*), 20) AS item_count FROM documents GROUP BY source")
+def q_outcome_counts(spark, sf):
+    d = adapters.table(spark, sf, "documents").groupBy(F.col("source").alias("platform")).agg(F.count("*").alias("n"))
+    return d.select("platform", F.least("n", F.lit(20)).alias("item_count"))
+
+
+@query("SELECT l_orderkey, l_linenumber, sum((l_returnflag <> 'N')::INT) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)::BIGINT AS place FROM lineitem")
+def q_fallback_rank(spark, sf):
+    return adapters.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", relational.fallback_rank(F.col("l_returnflag") != "N", ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"]).alias("place"))
+
+
+@query(f"WITH {RAW} SELECT id, {ISO.format('coalesce(published_at, collected_at)')} AS ord_time, lag(id) OVER (PARTITION BY platform ORDER BY coalesce(published_at, collected_at), collected_at, id) AS before FROM raw")
+def q_proc_order(spark, sf):
+    r = relational.processing_order(adapters.raw_documents(spark, sf))
+    w = Window.partitionBy("platform").orderBy("ord_time", "collected_at", "id")
+    return r.select("id", iso("ord_time").alias("ord_time"), F.lag("id").over(w).alias("before"))
+
+
+@query("SELECT 'document' AS kind, doc_id AS k, length(text)::BIGINT AS n FROM documents UNION ALL SELECT 'page', page_id, length(html) FROM pages UNION ALL SELECT 'turn', conv_id * 1000 + turn, length(text) FROM conversations")
+def q_union_sources(spark, sf):
+    one = lambda t, kind, k, c: adapters.table(spark, sf, t).select(F.lit(kind).alias("kind"), k.alias("k"), F.length(c).cast("long").alias("n"))
+    return one("documents", "document", F.col("doc_id"), "text").unionByName(one("pages", "page", F.col("page_id"), "html")).unionByName(one("conversations", "turn", F.col("conv_id") * 1000 + F.col("turn"), "text"))
+
+
+@query("SELECT DISTINCT lang, source FROM documents")
+def q_distinct_sources(spark, sf):
+    return adapters.table(spark, sf, "documents").select("lang", "source").distinct()
+
+
+@query("SELECT doc_id, percent_rank() OVER (PARTITION BY source ORDER BY n_chars) AS percentile FROM documents")
+def q_heat_percentile(spark, sf):
+    return adapters.table(spark, sf, "documents").select("doc_id", relational.heat_percentile("source", "n_chars").alias("percentile"))
+
+
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def q_heat_windows(spark, sf):
+    return incremental.heat_windows(adapters.table(spark, sf, "events")).select(iso("start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+# ---- scoring ----
+def scored_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled documents with their rules' category, stand-in answers and conversations as heat."""
+    c = classified(spark, sf).select("doc_id", F.col("category").alias("rule_category"), F.col("confidence").alias("rule_confidence"))
+    d = adapters.table(spark, sf, "documents").select("doc_id", "source", "lang", F.substring("text", 1, 120).alias("title"), F.col("n_chars").alias("interaction_total"))
+    x = d.join(c, "doc_id").join(adapters.analyses(spark, sf), "doc_id")
+    ranked = F.element_at(F.array(*(F.lit(k) for k in TOP_RANK_WEIGHTS)), (F.col("doc_id") % 5 + 1).cast("int"))
+    return x.select("*", F.when(F.col("doc_id") % 3 == 0, "account").when(F.col("doc_id") % 3 == 1, "keyword_search").otherwise("hotsearch").alias("source_type"), F.col("source").alias("account_config_id"), F.when(F.col("doc_id") % 2 == 0, (F.col("doc_id") % 60 + 1).cast("int")).alias("best_rank"), ranked.alias("ranked_platform"))
+
+
+CFG = Config()
+CFG.scoring.account_weights = {f"src{k}": 40.0 + 2 * k for k in range(12)}
+_WEIGHT = lambda c: "CASE " + c + " " + " ".join(f"WHEN '{k}' THEN {v.weight}::DOUBLE" for k, v in CFG.rules.items()) + " ELSE 0.0::DOUBLE END"
+SCORED = f"""{CLASSIFIED}, {ANALYSES}, x AS (SELECT d.doc_id, d.source, d.n_chars AS total, c.category AS rule_category, c.confidence AS rule_confidence, a.llm_category, a.llm_confidence, a.risk_score, a.sentiment_score,
+ CASE d.doc_id % 3 WHEN 0 THEN 'account' WHEN 1 THEN 'keyword_search' ELSE 'hotsearch' END AS source_type, CASE WHEN d.doc_id % 2 = 0 THEN d.doc_id % 60 + 1 END AS rank, [95, 90, 85, 80, 75][d.doc_id % 5 + 1]::DOUBLE AS top
+ FROM documents d JOIN classified c USING (doc_id) JOIN analyses a USING (doc_id)),
+y AS (SELECT *, greatest(0.0::DOUBLE, least(100.0::DOUBLE, {_WEIGHT('rule_category')} * rule_confidence)) AS kw,
+ CASE source_type WHEN 'account' THEN CASE source {' '.join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in CFG.scoring.account_weights.items())} ELSE 60.0::DOUBLE END WHEN 'keyword_search' THEN 60.0::DOUBLE ELSE 50.0::DOUBLE END AS src,
+ CASE WHEN total > 0 THEN least(100.0::DOUBLE, 100 * log10(1 + total::DOUBLE) / log10(1000001)) ELSE 0.0::DOUBLE END AS eng, {_WEIGHT('llm_category')} * llm_confidence AS lc,
+ CASE WHEN sentiment_score IS NULL THEN 0.0::DOUBLE WHEN sentiment_score > 0 AND sentiment_score <= 1 THEN sentiment_score * 100 ELSE least(100.0::DOUBLE, sentiment_score) END AS se, least(100.0::DOUBLE, risk_score) AS lr FROM x),
+z AS (SELECT *, CASE WHEN rank IS NOT NULL THEN 0.6::DOUBLE * (greatest(0.0::DOUBLE, 100 * (1 - (rank - 1)::DOUBLE / 50)) * top / 100) + 0.4::DOUBLE * eng ELSE eng END AS heat FROM y),
+s AS (SELECT *, {_round4(' + '.join(_round4(f'{c} * {w}::DOUBLE') for c, w in (('kw', .25), ('src', .1), ('heat', .15), ('lc', .15), ('se', .15), ('lr', .2))))} AS overall FROM z)"""
+
+
+@query(f"WITH {SCORED} SELECT doc_id, {_round4('kw')} AS score, {_round4('kw * 0.25::DOUBLE')} AS weighted FROM s")
+def q_score_keyword(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", "components.keyword_category.score", "components.keyword_category.weighted")
+
+
+@query(f"WITH {SCORED} SELECT doc_id, {_round4('src')} AS score, {_round4('src * 0.1::DOUBLE')} AS weighted FROM s")
+def q_score_source(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", "components.source.score", "components.source.weighted")
+
+
+@query(f"WITH {SCORED} SELECT doc_id, {_round4('heat')} AS score FROM s")
+def q_score_heat(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", "components.heat.score")
+
+
+@query(f"WITH {SCORED} SELECT doc_id, {_round4('se')} AS score, {_round4('lc')} AS llm, {_round4('lr')} AS risk FROM s")
+def q_score_sentiment(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", "components.sentiment.score", F.col("components.llm_category.score").alias("llm"), F.col("components.llm_risk.score").alias("risk"))
+
+
+@query(f"WITH {SCORED} SELECT doc_id, overall AS overall_score FROM s")
+def q_overall_score(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", "overall_score")
+
+
+@query(f"WITH {SCORED} SELECT CASE WHEN overall >= 85 THEN 'red' WHEN overall >= 70 THEN 'orange' WHEN overall >= 40 THEN 'blue' ELSE 'archive' END AS alert_level, count(*) AS n FROM s GROUP BY 1")
+def q_alert_level(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).groupBy("alert_level").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {SCORED} SELECT doc_id, concat_ws(',', CASE WHEN llm_confidence < 0.6 THEN 'low_confidence' END, CASE WHEN rule_category <> llm_category THEN 'category_conflict' END, CASE WHEN sentiment_score IS NULL THEN 'missing_sentiment' END) AS reasons FROM s")
+def q_review_reasons(spark, sf):
+    return scoring.score(scored_items(spark, sf), CFG).select("doc_id", F.array_join("review_reasons", ",").alias("reasons"))
+
+
+# ---- enrichment and output ----
+@query("SELECT doc_id AS clean_item_id, task, length(text)::BIGINT AS n FROM documents, (SELECT unnest(['classification', 'geo_extraction', 'risk_assessment']) AS task) UNION ALL SELECT DISTINCT doc_id, 'sentiment_analysis', NULL::BIGINT FROM documents JOIN conversations ON conv_id = doc_id")
+def q_llm_requests(spark, sf):
+    items = adapters.table(spark, sf, "documents").select(F.col("doc_id").alias("clean_item_id"), F.col("text").alias("content"))
+    c = adapters.comments(spark, sf).withColumn("clean_item_id", F.col("conv_id"))
+    return enrich.requests(items, c, payload_cols=["content"]).select("clean_item_id", "task", F.length(F.get_json_object("payload", "$.content")).cast("long").alias("n"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 7 WHEN 2 THEN 'not JSON' WHEN 3 THEN 'errcode' WHEN 4 THEN 'success' WHEN 5 THEN 'status' END AS problem FROM orders")
+def q_webhook_body_class(spark, sf):
+    bodies = ["", "ok", "<html>", '{"errcode": 310000}', '{"success": false}', '{"status": "FAILED"}', '{"errcode": 0, "code": 0}']
+    body = F.element_at(F.array(*(F.lit(b) for b in bodies)), (F.col("o_orderkey") % 7 + 1).cast("int"))
+    return adapters.table(spark, sf, "orders").select("o_orderkey", emit.body_problem(body).alias("problem"))
+
+
+@query(f"WITH {RAW} SELECT {_uuid5(ids.NS_EVENT, "'event:' || doc_id::VARCHAR")} AS event_id, '## 舆情预警 ' || trim(regexp_replace(title, '[\\r\\n]+', ' ', 'g')) || chr(10) || '- **等级**: blue' || chr(10) || '- **类别**: ' || lang AS markdown FROM raw")
+def q_markdown_payload(spark, sf):
+    r, none = adapters.raw_documents(spark, sf), F.lit(None).cast("string")
+    md = emit.markdown("舆情预警", F.col("title"), F.lit("blue"), F.lit(None).cast("double"), F.col("lang"), none, none, F.lit(""), F.array().cast("array<string>"))
+    return r.select(ids.uuid5(ids.NS_EVENT, F.concat(F.lit("event:"), F.col("doc_id").cast("string"))).alias("event_id"), md.alias("markdown"))
+
+
+@query()
+def q_event_payloads(spark, sf):
+    x = scoring.score(scored_items(spark, sf), CFG).select(F.col("doc_id").cast("string").alias("clean_item_id"), "title", "alert_level", "overall_score", "final_category", F.lit("reason").alias("risk_reason"), F.lit("neutral").alias("sentiment_dominant"), "sentiment_score", "review_reasons", F.lit(None).cast("string").alias("url"))
+    return emit.payloads(emit.project_events(x)).select("event_id", "trace_id", "alert_level", "payload", "payload_hash")
+
+
+# ---- deduplication ----
+def page_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as trending items: a short title, a URL, no body."""
+    raw = adapters.raw_pages(spark, sf)
+    rows = raw.select(
+        F.concat(F.lit("p"), F.lpad(F.col("page_id").cast("string"), 12, "0")).alias("id"), F.lit("hotsearch").alias("source_type"), F.col("host").alias("platform"), F.concat_ws(":", "host", (F.col("rank") % 40).cast("string")).alias("external_id"),
+        F.regexp_replace(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1), "&amp;", "&").alias("title"), F.lit(None).cast("string").alias("content"), "url", F.lit(None).cast("string").alias("keyword"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("page_id")).alias("published_at"), F.lit("2024-01-11").cast("timestamp").alias("collected_at"),
+    )
+    return rows
+
+
+@query()
+def q_dedup_leaders(spark, sf):
+    out = cleaning.run(page_nodes(spark, sf), None, Config(), F.lit("2024-01-02").cast("timestamp"))
+    return out.decisions.select("raw_item_id", "outcome", "reason", "duplicate_of")
+
+
+@query()
+def q_near_dup_edges(spark, sf):
+    c = cleaning.clean_projection(page_nodes(spark, sf), Config())
+    c = c.withColumn("anchor", F.lit(False)).withColumn("ord", dedup.order_key(F.col("anchor"), F.col("published_at"), F.col("collected_at"), F.col("id")))
+    return dedup.similar_edges(c)
+
+
+@query(
+    f"""WITH p AS (SELECT page_id, {_HOST} AS host, row_number() OVER (PARTITION BY {_HOST} ORDER BY page_id) % 40 AS r FROM pages) SELECT page_id, first_value(page_id) OVER (PARTITION BY host, r ORDER BY page_id) AS first_id FROM p"""
+)
+def q_id_dups(spark, sf):
+    p = adapters.raw_pages(spark, sf).select(F.col("page_id").alias("id"), F.col("page_id").alias("ord"), F.col("host").alias("platform"), (F.col("rank") % 40).cast("string").alias("external_id"), F.lit(None).cast("string").alias("url_hash"), F.lit(False).alias("anchor"))
+    found = dedup.leaders(p, spark.createDataFrame([], "a long, b long"), dedup.memberships(p))
+    return found.select(F.col("id").alias("page_id"), F.coalesce("duplicate_of", "id").alias("first_id"))
