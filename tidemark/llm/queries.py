@@ -62,4 +62,36 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_pack, op2_warc, op3_decontaminate, op4_quality, op5_shard, op6_substrings, op7_lm_score, op8_toxicity, op9_secrets, op10_jaccard)}
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+#: Five hexadecimal digits are four of base 32.
+_DIGEST = " || ".join(f"substr({_BASE32}, ((('0x' || substr(h, {5 * k + 1}, 5))::INT >> {5 * (3 - j)}) & 31) + 1, 1)" for k in range(8) for j in range(4))
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages), b AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS best FROM p)
+SELECT page_id, octet_length(encode(t)) AS payload_bytes, {_DIGEST} AS payload_digest, CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> best THEN best END AS refers_to FROM b""",
+    "op3_decontaminate": rf"""WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x FROM (SELECT item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k)),
+m AS (SELECT dw.doc_id, dw.i, dw.k, item_id FROM dw JOIN bw USING (k, x)),
+h AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM m) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
+    "op6_substrings": r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT doc_id, i, hash(w[i:i + 49]) AS h, sha1(array_to_string(w[i:i + 49], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h, s) AS first FROM x),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM f WHERE first < doc_id),
+r AS (SELECT doc_id, list(p) AS gone, count(*) AS n FROM g GROUP BY doc_id),
+k AS (SELECT doc_id, string_agg(v, ' ' ORDER BY p) AS kept FROM (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)""",
+    "op10_jaccard": rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, sha1(array_to_string(w[i:i + 2], ' ')) AS x FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x FROM s GROUP BY x HAVING count(*) > 1),
+t AS (SELECT s.doc_id, s.x FROM s JOIN c USING (x)),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT e.a, e.b FROM e JOIN n na ON na.doc_id = e.a JOIN n nb ON nb.doc_id = e.b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+r AS (SELECT doc_id AS a, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(root) AS component_id FROM r GROUP BY a) m USING (doc_id)""",
+}
