@@ -15,15 +15,19 @@ from tidemark.llm.common import Table, read_table
 from tidemark.llm.queries import PACK_VOCABULARY, SCAN_VOCABULARY
 
 
+#: Names that no column of documents has.
+ROW, REDACTED = "__tidemark_row__", "__tidemark_redacted__"
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    return docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go."""
     d = _keyed(docs)
-    kept = quality.quality(d, id_col="_row").where("kept").select(F.col("doc_id").alias("_row")).distinct()
-    return d.join(kept, "_row", "left_semi").select(docs.columns)
+    kept = quality.quality(d, id_col=ROW).where("kept").select(F.col("doc_id").alias(ROW)).distinct()
+    return d.join(kept, ROW, "left_semi").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,18 +44,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item, or a shorter item whole, go."""
     d = _keyed(docs)
-    found = decontam.decontaminate(d, read_table(spark, sf_dir, "benchmark"), id_col="_row")
-    return d.join(found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct(), "_row", "left_anti").select(docs.columns)
+    found = decontam.decontaminate(d, read_table(spark, sf_dir, "benchmark"), id_col=ROW)
+    return d.join(found.where("contaminated").select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by [SECRET]; n_chars follows."""
     d = _keyed(docs)
-    found = Table(secrets.find_secrets(d, SCAN_VOCABULARY, id_col="_row", redact="[SECRET]").where("spans <> ''").select(F.col("doc_id").alias("_row"), "redacted"), "redacted")
-    out = d.join(found.df.dropDuplicates(["_row"]), "_row", "left")
+    found = Table(secrets.find_secrets(d, SCAN_VOCABULARY, id_col=ROW, redact="[SECRET]").where("spans <> ''").select(F.col("doc_id").alias(ROW), F.col("redacted").alias(REDACTED)), "redacted")
+    out = d.join(found.df.dropDuplicates([ROW]), ROW, "left")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("redacted").isNull(), F.col("n_chars")).otherwise(F.length("redacted")).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("text", F.coalesce("redacted", "text")).select(docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(REDACTED).isNull(), F.col("n_chars")).otherwise(F.length(REDACTED)).cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("text", F.coalesce(REDACTED, "text")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
