@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -23,8 +25,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = getattr(spark, "_tidemark_shared", None)
         if root is None:
-            root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-            spark._tidemark_shared = root
+            folder = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            root = spark._tidemark_shared = f"file://{folder}"
     return root.rstrip("/")
 
 
