@@ -14,6 +14,7 @@ from .common import Table, batch, components, map_batches, texts
 from .hashing import chunks, hash_words, rolling
 
 _LEAF = 24
+_CELLS = 256
 
 
 def shingle_sets(docs: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -36,6 +37,38 @@ def node_of(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64))
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many members fall into each of _CELLS cells by hash, up to 255. The L1 distance of two sets' histograms is never
+    more than the size of their symmetric difference."""
+    return np.minimum(np.bincount((s >> np.uint64(40)) & np.uint64(_CELLS - 1), minlength=_CELLS), 255).astype(np.uint8).tobytes()
+
+
+class Regions:
+    """The pivots of one shingle's region, among sets that arrive one by one, by a distance that is known to be a lower bound.
+
+    Linked sets differ in at most b = n (1 - t) / t members, n being either's size. A set's home is a pivot within
+    rho * b of it; without one it becomes a pivot. It joins every pivot within b + rho * b / t: that reaches the home of
+    each earlier set it can link with, by the triangle inequality, so linked sets always have a pivot in common.
+    """
+
+    def __init__(self, num: int, den: int):
+        self.t, self.rows, self.names, self.count = num / den, np.zeros((64, _CELLS), np.int16), np.zeros(64, np.int64), 0
+
+    def place(self, node: int, n: int, hist: np.ndarray) -> np.ndarray:
+        """The pivots joined; the node itself isn't among them."""
+        b = n * (1 - self.t) / self.t
+        apart = 0.8 * _CELLS * (2 / np.sqrt(np.pi)) * np.sqrt(n / _CELLS)  # what unrelated sets of this size differ by
+        rho = 1.0 if b * (1 + 1 / self.t) <= apart else 0.25
+        d = np.abs(self.rows[: self.count] - hist).sum(1, dtype=np.int32)
+        out = self.names[: self.count][d <= b + rho * b / self.t + 1e-6]
+        if not (d <= rho * b + 1e-6).any():
+            if self.count == len(self.names):
+                self.rows, self.names = np.concatenate([self.rows, np.zeros_like(self.rows)]), np.concatenate([self.names, np.zeros_like(self.names)])
+            self.rows[self.count], self.names[self.count] = hist, node
+            self.count += 1
+        return out
+
+
 class Links:
     """Exact links among sets held in memory, by recursion over Voronoi regions."""
 
@@ -147,7 +180,7 @@ class Links:
 
 
 def _set_rows(shingle: int, heavy_min: int, heavy_share: float):
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("heavy", pa.int64()), ("c", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("hist", pa.binary()), ("heavy", pa.int64()), ("c", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,14 +189,14 @@ def _set_rows(shingle: int, heavy_min: int, heavy_share: float):
                 sets = shingle_sets([r[1] for r in part], shingle)
                 k = len(part)
                 none = [None] * k
-                yield batch(schema, [r[0] for r in part], [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], none, none)
+                yield batch(schema, [r[0] for r in part], [node_of(s) if len(s) else None for s in sets], [len(s) for s in sets], [histogram(s) for s in sets], none, none)
                 flat = np.sort(np.concatenate(sets))
                 starts = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]]) if len(flat) else np.empty(0, np.int64)
                 counts = np.diff(np.r_[starts, len(flat)])
                 many = counts >= max(heavy_min, heavy_share * k)
                 if many.any():
                     m = int(many.sum())
-                    yield batch(schema, [None] * m, [None] * m, [None] * m, flat[starts[many]].view(np.int64), counts[many])
+                    yield batch(schema, [None] * m, [None] * m, [None] * m, [None] * m, flat[starts[many]].view(np.int64), counts[many])
 
     return run
 
@@ -176,11 +209,13 @@ def jaccard_components(
     Equal sets are one node from the start, so exact copies cost one row each. Jaccard distance is a metric, with these
     pivots and regions:
 
-    1. Single shingles are the first pivots. A set links only with sets that share one of its first n - ceil(n * t) + 1
-       shingles in any fixed order, so each set goes to the regions of those (the triangle inequality alone would let
-       distances near 1 send every set to every region). The order puts shingles that are frequent anywhere last; the
-       list of them is bounded by `heavy_rows`, and it decides the order only, never which links are found. In each region
-       the node of the least hash is the pivot; sets and pivots give connected regions, never pairs.
+    1. Single shingles make the first regions. A set links only with sets that share one of its first n - ceil(n * t) + 1
+       shingles in any fixed order, so it goes to the regions of those. (Distances between documents are near 1, so
+       documents as first pivots would, by the triangle inequality alone, send every set to every region.) The order puts
+       shingles that are frequent anywhere last; the list of them is bounded by `heavy_rows`, and it decides the order
+       only, never which links are found. Inside such a region, sets are pivots: see Regions. Sets that share a passage
+       but little else have pivots of their own there, and are never compared again. No pairs are emitted: an edge is a
+       set and a pivot, and what edges connect is a region of the next step.
     2. Regions with more than `region_docs` nodes are split into Voronoi regions of nodes sampled as pivots, and sets whose
        distance to another pivot is within twice the radius of the nearest go there too. This repeats for `levels`, or
        until a region doesn't shrink.
@@ -193,7 +228,7 @@ def jaccard_components(
     """
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = Table(map_batches(d, _set_rows(shingle, 8, 0.02), "doc_id long, node long, n long, heavy long, c long"), "sets")
+    table = Table(map_batches(d, _set_rows(shingle, 8, 0.02), "doc_id long, node long, n long, hist binary, heavy long, c long"), "sets")
     sets = table.df.where("heavy is null").select("doc_id", "node", "n")
     often = table.df.where("heavy is not null").groupBy("heavy").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "heavy").limit(heavy_rows).toArrow()
     key = often.column(0).to_numpy().view(np.uint64)
@@ -225,13 +260,33 @@ def jaccard_components(
                     yield batch(p_schema, np.concatenate(out_s).view(np.int64), np.concatenate(out_n))
 
     posted = Table(map_batches(d.select("text"), postings, "s long, node long"), "postings")
-    live = Table(posted.df.groupBy("s").agg(F.min("node").alias("pivot"), F.max("node").alias("hi")).where("pivot < hi").select("s", "pivot"), "live")
-    edges = Table(posted.df.join(live.df, "s").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "candidates")
+    live = Table(posted.df.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("s"), "live")
+    nodes = Table(table.df.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("hist").alias("hist")), "nodes")
+    met = posted.df.join(live.df.select("s"), "s").join(nodes.df.select("node", "n", "hist"), "node")
+    e_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, region = None, None
+        for b in batches:
+            hist = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
+            out_a, out_b = [], []
+            for k, (s, node, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())):
+                if s != current:
+                    current, region = s, Regions(num, den)
+                pivots = region.place(node, n, hist[k])
+                out_a.append(np.full(len(pivots), node, np.int64))
+                out_b.append(pivots)
+            if out_a:
+                pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
+                yield batch(e_schema, pair[0], pair[1])
+
+    dealt = met.select("s", "node", "n", "hist").repartition("s").sortWithinPartitions("s", "node")
+    edges = Table(map_batches(dealt, meet, "a long, b long").distinct(), "candidates")
     posted.drop()
     live.drop()
     regions = components(edges.df, "regions").withColumnRenamed("component", "region")
-    nodes = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    wanted = Table(nodes.join(regions, "node").where("rep is not null"), "wanted")
+    reps = nodes.df.select("node", "rep")
+    wanted = Table(reps.join(regions, "node").where("rep is not null"), "wanted")
     members = Table(d.join(wanted.df, d["doc_id"] == wanted.df["rep"]).select("region", "node", "text"), "members")
     edges.drop()
     wanted.drop()
@@ -267,11 +322,11 @@ def jaccard_components(
         joined = joined.unionByName(linked.df.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
     else:
         joined = components(linked.df, "links")
-    least = Table(joined.join(nodes, "node").select("node", "component", "rep"), "components")
+    least = Table(joined.join(reps, "node").select("node", "component", "rep"), "components")
     of_component = least.df.groupBy("component").agg(F.min("rep").alias("least"))
-    result = Table(nodes.join(least.df.select("node", "component").join(of_component, "component"), "node", "left").select("node", F.coalesce("least", "rep").alias("component_id")), "classes")
-    least.drop()
-    linked.drop()
+    result = Table(reps.join(least.df.select("node", "component").join(of_component, "component"), "node", "left").select("node", F.coalesce("least", "rep").alias("component_id")), "classes")
+    for t in (least, linked, nodes):
+        t.drop()
     return sets.join(result.df, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
