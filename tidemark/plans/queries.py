@@ -197,13 +197,15 @@ def q_simhash64(spark, sf):
 
 
 @query(
-    "WITH k AS (SELECT p_partkey, substr(sha256(p_name), 1, 16) AS h, ('0x' || substr(sha256(p_name), 1, 16))::UBIGINT AS v FROM part) SELECT a.p_partkey AS a, b.p_partkey AS b, bit_count(xor(a.v, b.v))::INT AS distance FROM k a JOIN k b ON a.p_partkey < b.p_partkey AND bit_count(xor(a.v, b.v)) <= 22"
+    """WITH k AS (SELECT p_partkey, ('0x' || substr(sha256(p_name), 1, 16))::UBIGINT AS v FROM part)
+SELECT a.p_partkey AS a, b.p_partkey AS b, bit_count(xor(a.v, b.v))::INT AS distance, bit_count(xor(a.v, b.v)) <= 22 AS compared FROM k a JOIN k b ON b.p_partkey = a.p_partkey + 1"""
 )
-def q_simhash_pairs(spark, sf):
+def q_simhash_gate(spark, sf):
+    """The gate before texts are compared, on neighbours."""
     k = adapters.table(spark, sf, "part").select("p_partkey", F.substring(ids.sha256_hex(F.col("p_name")), 1, 16).alias("h"))
-    a, b = k.select(F.col("p_partkey").alias("a"), F.col("h").alias("ah")), k.select(F.col("p_partkey").alias("b"), F.col("h").alias("bh"))
+    a, b = k.select(F.col("p_partkey").alias("a"), F.col("h").alias("ah")), k.select((F.col("p_partkey") - 1).alias("a"), F.col("p_partkey").alias("b"), F.col("h").alias("bh"))
     d = text.hamming(F.col("ah"), F.col("bh")).cast("int")
-    return a.join(b, (F.col("a") < F.col("b")) & (d <= dedup.GATE)).select("a", "b", d.alias("distance"))
+    return a.join(b, "a").select("a", "b", d.alias("distance"), (d <= dedup.GATE).alias("compared"))
 
 
 @query(
@@ -456,7 +458,9 @@ def q_source_coverage(spark, sf):
 def q_pipeline_gaps(spark, sf):
     a = adapters.analyses(spark, sf)
     gap = relational.missing(adapters.table(spark, sf, "documents").select("doc_id"), a, "doc_id").agg(F.count("*").alias("missing_analysis"))
-    return gap.crossJoin(a.agg(F.count_if(F.col("sentiment_score").isNull()).alias("missing_sentiment"), F.count_if(F.col("llm_confidence") < 0.6).alias("unsure")))
+    of_answers = a.agg(F.count_if(F.col("sentiment_score").isNull()).alias("missing_sentiment"), F.count_if(F.col("llm_confidence") < 0.6).alias("unsure"))
+    both = gap.unionByName(of_answers, allowMissingColumns=True)
+    return both.agg(*(F.sum(c).alias(c) for c in ("missing_analysis", "missing_sentiment", "unsure")))
 
 
 _STATUS = "CASE WHEN l_quantity > 48 THEN 'failed' WHEN l_quantity > 40 THEN 'partial' WHEN l_quantity > 20 THEN 'skipped' ELSE 'succeeded' END"
