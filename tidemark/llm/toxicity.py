@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,23 @@ def word_features(word: str) -> list[int]:
     return [zlib.crc32(b"w" + word.encode())] + [zlib.crc32(b"p" + word[:k].encode()) for k in range(3, min(8, len(word) - 1) + 1)]
 
 
+LEVELS = (2, 3, 5)
+
+
+def level(feature: int, times: int) -> int:
+    """The feature that something occurs so often or more."""
+    return (feature * 0x9E3779B1 + times) & 0xFFFFFFFF
+
+
+def counted(words: dict[str, int], of=word_features) -> dict[int, int]:
+    """How often each feature occurs in a text, from its words' counts."""
+    out: dict[int, int] = {}
+    for w, c in words.items():
+        for f in of(w):
+            out[f] = out.get(f, 0) + c
+    return out
+
+
 def patterns(text: str, words: list[str]) -> tuple[int, int, int]:
     """Votes of the patterns (1, 0 or -1): an insult from the list, an insult aimed at someone, shouting."""
     there = set(words)
@@ -61,32 +79,37 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 100) -> np.ndarra
     return post
 
 
-def train(rows: list[tuple[list[int], tuple[int, int, int], int]], lexicon_size: int = 400, voters: int = 12, steps: int = 1000, l2: float = 1e-5, rate_of_change: float = 0.1, positive: float = 2.0) -> tuple[dict[int, float], float]:
-    """Weights by feature and the bias, from (features, pattern votes, label)."""
-    y = np.array([r[2] for r in rows], float)
-    if not len(y) or y.min() == y.max():
-        rate = (y.sum() + 0.5) / (len(y) + 1)
-        return {}, float(np.log(rate / (1 - rate)))
-    doc = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    ids, col = np.unique(np.array([f for r in rows for f in r[0]], np.int64), return_inverse=True)
-    pos, tot = np.bincount(col, y[doc], len(ids)), np.bincount(col, minlength=len(ids))
+def train(
+    features: np.ndarray, lengths: np.ndarray, patterns: np.ndarray, y: np.ndarray, lexicon_size: int = 400, voters: int = 12, steps: int = 1000, l2: float = 1e-5, rate_of_change: float = 0.1, positive: float = 2.0
+) -> tuple[dict[int, float], float]:
+    """Weights by feature and the bias. features: those of all rows, one after the other (32 bits); lengths: of each row."""
+    n = len(y)
+    if not n or y.min() == y.max():
+        share = (y.sum() + 0.5) / (n + 1)
+        return {}, float(np.log(share / (1 - share)))
+    doc = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    ids, col, tot = np.unique(features, return_inverse=True, return_counts=True)
+    often = tot >= 8  # rarer features tell nothing and are most of all
+    keep = often[col]
+    doc, col = doc[keep], (np.cumsum(often) - 1)[col[keep]].astype(np.int32)
+    ids, tot = ids[often], tot[often]
+    pos = np.bincount(col, y[doc], len(ids))
     rate = y.mean()
     z = (pos - tot * rate) / np.sqrt(tot * rate * (1 - rate) + 1e-9)
-    usable = tot >= 5
     # lexicon voters: the most telling features, each in one voter; and one for how many there are
-    lexicon = [i for i in np.argsort(-z)[:lexicon_size] if usable[i] and z[i] > 4 and pos[i] >= 0.5 * tot[i]]
+    lexicon = [i for i in np.argsort(-z)[:lexicon_size] if z[i] > 4 and pos[i] >= 0.5 * tot[i]]
     of = np.full(len(ids), -1)
     of[lexicon] = np.arange(len(lexicon)) % voters
-    votes = np.zeros((len(rows), voters + 5))
+    votes = np.zeros((n, voters + 5))
     hit = of[col] >= 0
     votes[doc[hit], of[col][hit]] = 1
-    number = np.bincount(doc[hit], minlength=len(rows))
+    number = np.bincount(doc[hit], minlength=n)
     votes[:, voters] = np.where(number >= 2, 1, np.where(number == 0, -1, 0))
-    votes[:, voters + 1 : voters + 4] = [r[1] for r in rows]
+    votes[:, voters + 1 : voters + 4] = patterns
     votes[:, -1] = np.where(y > 0, 1, -1)
     q = label_model(votes, rate)
-    # the linear classifier: logistic regression on soft labels, features of at least five rows that tell something
-    chosen = np.flatnonzero(usable & (np.abs(z) > 3))
+    # the linear classifier: logistic regression on soft labels, features that tell something
+    chosen = np.flatnonzero(np.abs(z) > 4)
     at = np.full(len(ids), -1)
     at[chosen] = np.arange(len(chosen))
     keep = at[col] >= 0
@@ -94,15 +117,15 @@ def train(rows: list[tuple[list[int], tuple[int, int, int], int]], lexicon_size:
     w, bias = np.zeros(len(chosen)), float(np.log(rate / (1 - rate)))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(d, w[c], len(rows)), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(d, w[c], n), -30, 30)))
         e = (p - q) * (1 + (positive - 1) * q)  # rare positives weigh more
-        g = np.bincount(c, e[d], len(w)) / len(rows) + l2 * w
+        g = np.bincount(c, e[d], len(w)) / n + l2 * w
         gb = float(e.mean())
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         w -= rate_of_change * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
         bias -= rate_of_change * (mb / (1 - 0.9**t)) / (vb / (1 - 0.99**t)) ** 0.5 if vb else 0
     big = np.abs(w) > 1e-3
-    return {int(ids[i]): float(x) for i, x in zip(chosen[big], w[big])}, float(bias)
+    return {int(ids[i]) & 0xFFFFFFFF: float(x) for i, x in zip(chosen[big], w[big])}, float(bias)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 4, held_out_is: int = 2, sample_rows: int = 8000, threshold: float = 0.3) -> DataFrame:
@@ -123,36 +146,49 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labelled = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")
     labelled = labelled.where(~held(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = spark.createDataFrame([tuple(r) for r in labelled.collect()], "doc_id long, y int")  # at most sample_rows
-    schema = pa.schema([("features", pa.list_(pa.int64())), ("votes", pa.list_(pa.int64())), ("y", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.int32())), ("votes", pa.list_(pa.int32())), ("y", pa.int32())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            found, votes = [], []
+            for text in b.column(1).to_pylist():
                 words = _WORD.findall((text or "").lower())
-                out.append((sorted({f for w in set(words) for f in word_features(w)}), list(patterns(text or "", words)), y))
-            yield batch(schema, *([r[i] for r in out] for i in range(3)))
-
-    sample = map_batches(d.join(F.broadcast(chosen), "doc_id").select("text", "y"), extract, "features array<long>, votes array<long>, y int").toArrow()
-    rows = sorted(zip(sample.column(0).to_pylist(), map(tuple, sample.column(1).to_pylist()), sample.column(2).to_pylist()))
-    model = spark.sparkContext.broadcast(train(rows))
+                times = counted(Counter(words))
+                all_of = [*times, *(level(f, k) for f, c in times.items() if c > 1 for k in LEVELS if c >= k)]
+                found.append(np.unique(np.array(all_of, np.uint32)).view(np.int32))
+                votes.append(list(patterns(text or "", words)))
+            yield batch(schema, b.column(0), found, votes, b.column(2))
+
+    sample = map_batches(d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), extract, "doc_id long, features array<int>, votes array<int>, y int")
+    sample = sample.orderBy("doc_id", F.xxhash64("features")).drop("doc_id").toArrow().combine_chunks()
+    rows = sample.num_rows
+    f = sample.column(0).combine_chunks() if rows else None
+    arrays = (f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()), np.array(sample.column(1).to_pylist()), sample.column(2).to_numpy().astype(float)) if rows else (np.empty(0, np.int32), np.empty(0, np.int64), np.empty((0, 3)), np.empty(0))
+    weights = train(*arrays)
+    del sample, f, arrays
+    model = spark.sparkContext.broadcast(weights)
     out_schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = model.value
+        known = {f for f in weights}
         cache: dict[str, tuple] = {}
+
+        def telling(w: str) -> tuple:
+            f = cache.get(w)
+            if f is None:
+                if len(cache) > 500_000:
+                    cache.clear()
+                f = cache[w] = tuple(x for x in word_features(w) if x in known or any(level(x, k) in known for k in LEVELS))
+            return f
+
         for b in batches:
             scores = []
             for text in b.column(2).to_pylist():
-                found: set[int] = set()
-                for w in set(_WORD.findall((text or "").lower())):
-                    f = cache.get(w)
-                    if f is None:
-                        if len(cache) > 500_000:
-                            cache.clear()
-                        f = cache[w] = tuple(x for x in word_features(w) if x in weights)
-                    found.update(f)
-                scores.append(1 / (1 + np.exp(-np.clip(bias + sum(weights[x] for x in sorted(found)), -30, 30))))
+                total = bias
+                for f, c in sorted(counted(Counter(_WORD.findall((text or "").lower())), telling).items()):
+                    total += weights.get(f, 0.0) + sum(weights.get(level(f, k), 0.0) for k in LEVELS if c >= k)
+                scores.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
             yield batch(out_schema, b.column(0), b.column(1), np.array(scores, float), np.array([s >= threshold for s in scores], np.int32))
 
     return map_batches(d.select("doc_id", held(F.col("doc_id")).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double, predicted int")
