@@ -70,13 +70,15 @@ class Model:
         self.weights, self.refine = weights.astype(np.float32), refine
 
     def bits(self, key: np.ndarray) -> np.ndarray:
-        """Log2 probability of each key's last byte after the five before it."""
+        """Log2 probability of each key's last byte after the five before it; keys are sorted."""
         total = np.zeros(len(key))
         for shift in range(7, -1, -1):
-            at, bit = slots(key, shift)
-            p, _ = mix(self.stretch[at].astype(np.float32), self.level[at], self.weights)
-            p = refined(p, key, shift, self.refine)
-            total += np.log2(np.where(bit == 1, p, 1 - p))
+            runs = np.flatnonzero(np.r_[True, (key[1:] >> np.uint64(shift)) != (key[:-1] >> np.uint64(shift))])
+            k = key[runs]  # keys that are alike so far
+            at, bit = slots(k, shift)
+            p, _ = mix(self.stretch.take(at).astype(np.float32), self.level.take(at), self.weights)
+            p = refined(p, k, shift, self.refine)
+            total += np.repeat(np.log2(np.where(bit == 1, p, 1 - p)), np.diff(np.r_[runs, len(key)]))
         return total
 
 
@@ -128,27 +130,28 @@ class Learner:
         self.budget = 1 << 18
 
     def feed(self, docs: list[bytes]) -> None:
+        pairs, low = self.counts.view("<u8").reshape(-1), np.uint64(2**32 - 1)
         for part in chunks([(d,) for d in docs], 0, self.budget):
-            self.budget = min(4 << 20, self.budget * 2)
-            key, n = np.unique(keys_of([r[0] for r in part])[0], return_counts=True)
+            self.budget = min(6 << 20, self.budget * 2)
+            keys, counts = np.unique(keys_of([r[0] for r in part])[0], return_counts=True)
             for shift in range(7, -1, -1):
+                runs = np.flatnonzero(np.r_[True, (keys[1:] >> np.uint64(shift)) != (keys[:-1] >> np.uint64(shift))])
+                key, n = keys[runs], np.add.reduceat(counts, runs)  # keys that are alike so far
                 at, bit = slots(key, shift)
-                c = self.counts[at].astype(np.float32)
-                stretch = np.log((c[..., 1] + np.float32(0.2)) / (c[..., 0] + np.float32(0.2)))
-                p, g = mix(stretch, _level(c.sum(-1)), self.weights.astype(np.float32))
-                error = n * (bit - p)
+                both = pairs.take(at)  # both counters of a slot at once
+                n0, n1 = (both & low).astype(np.float32), (both >> np.uint64(32)).astype(np.float32)
+                stretch = np.log((n1 + np.float32(0.2)) / (n0 + np.float32(0.2)))
+                p, g = mix(stretch, _level(n0 + n1), self.weights.astype(np.float32))
+                error, times = (n * (bit - p)).astype(np.float32), n.astype(np.float32)
                 mass = np.bincount(g, n, _GATES)
                 step = np.stack([np.bincount(g, error * s, _GATES) for s in stretch], 1) / np.maximum(mass, 1)[:, None]
-                power = np.stack([np.bincount(g, n * s * s, _GATES) for s in stretch], 1).sum(1) / np.maximum(mass, 1)
+                power = np.bincount(g, times * (stretch * stretch).sum(0), _GATES) / np.maximum(mass, 1)
                 self.weights = np.clip(self.weights + 0.8 * step / (1 + 0.25 * power)[:, None], -1, 2)
                 self.seen += mass
                 cell = _cell(p, key, shift)
                 self.refine[:, 0] += np.bincount(cell, n, len(self.refine))
                 self.refine[:, 1] += np.bincount(cell, n * bit, len(self.refine))
-                for k in range(len(ORDERS)):
-                    flat = at[k] * 2 + bit
-                    lo, hi = 2 * int(_OFFSETS[k]), 2 * int(_OFFSETS[k + 1])
-                    self.counts.reshape(-1)[lo:hi] += np.bincount(flat - lo, n, hi - lo).astype(np.uint32) if len(flat) * 8 > hi - lo else _sparse(flat - lo, n, hi - lo)
+                np.add.at(self.counts.reshape(-1), (at * 2 + bit).ravel(), np.tile(n.astype(np.uint32), len(ORDERS)))
 
     def rows(self) -> Iterator[tuple[int, bytes]]:
         """Counters by block, only those that aren't zero; block -1 has weights and refinement."""
@@ -160,12 +163,6 @@ class Learner:
         yield -1, zlib.compress(np.r_[(self.weights * self.seen[:, None]).ravel(), self.seen, self.refine.ravel()].tobytes(), 1)
 
 
-def _sparse(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros(size, np.uint32)
-    np.add.at(out, at, n.astype(np.uint32))
-    return out
-
-
 def _added(block: int, parts: Iterator[bytes]) -> bytes:
     total = None
     for raw in parts:
