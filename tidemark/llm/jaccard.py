@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Table, batch, components, map_batches, texts
 from .hashing import chunks, hash_words, rolling
@@ -38,33 +40,64 @@ def node_of(s: np.ndarray) -> int:
 
 
 def histogram(s: np.ndarray) -> bytes:
-    """How many members fall into each of _CELLS cells by hash, up to 255. The L1 distance of two sets' histograms is never
-    more than the size of their symmetric difference."""
-    return np.minimum(np.bincount((s >> np.uint64(40)) & np.uint64(_CELLS - 1), minlength=_CELLS), 255).astype(np.uint8).tobytes()
+    """How many members fall into each of _CELLS cells by hash, modulo 16, two cells a byte."""
+    x = (np.bincount((s >> np.uint64(40)) & np.uint64(_CELLS - 1), minlength=_CELLS) & 15).astype(np.uint8)
+    return (x[: _CELLS // 2] | (x[_CELLS // 2 :] << 4)).tobytes()
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    x = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, _CELLS // 2)
+    return np.concatenate([x & 15, x >> 4], axis=1).astype(np.int8)
+
+
+def _lower_bound(rows: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """L1 of counts known modulo 16: never more than the symmetric difference."""
+    d = np.abs(rows - other)
+    return np.minimum(d, 16 - d).sum(-1, dtype=np.int32)
+
+
+def _reach(n: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray]:
+    """How near a pivot must be to be a home, and how near to be joined, for sets of n members.
+
+    Linked sets differ in at most b = n (1 - t) / t members, n being either's size. A home is within rho * b. A set joins
+    every pivot within b + rho * b / t: that reaches the home of each set it can link with, by the triangle inequality.
+    rho is smaller for sizes at which unrelated sets could come as near as that; what is joined goes by the larger rho that
+    a linked set of fewer members can have.
+    """
+
+    def rho(n: np.ndarray) -> np.ndarray:
+        apart = 0.8 * _CELLS * np.minimum(4, (2 / np.sqrt(np.pi)) * np.sqrt(n / _CELLS))
+        return np.where(n * (1 - t) / t * (1 + 1 / t) <= apart, 1.0, 0.25)
+
+    b = n * (1 - t) / t
+    return rho(n) * b + 1e-6, b + rho(n * t) * b / t + 1e-6
 
 
 class Regions:
-    """The pivots of one shingle's region, among sets that arrive one by one, by a distance that is known to be a lower bound.
+    """The pivots of one shingle's region, among sets that arrive one by one.
 
-    Linked sets differ in at most b = n (1 - t) / t members, n being either's size. A set's home is a pivot within
-    rho * b of it; without one it becomes a pivot. It joins every pivot within b + rho * b / t: that reaches the home of
-    each earlier set it can link with, by the triangle inequality, so linked sets always have a pivot in common.
+    A set without a home becomes a pivot. Linked sets always have a pivot in common, since a set joins the home of every
+    earlier set it can link with. Pivots that one set joins are connected; of each connected kind only one is named, so
+    edges are as many as sets, not as pairs.
     """
 
-    def __init__(self, num: int, den: int):
-        self.t, self.rows, self.names, self.count = num / den, np.zeros((64, _CELLS), np.int16), np.zeros(64, np.int64), 0
-
-    def place(self, node: int, n: int, hist: np.ndarray) -> np.ndarray:
-        """The pivots joined; the node itself isn't among them."""
-        b = n * (1 - self.t) / self.t
-        apart = 0.8 * _CELLS * (2 / np.sqrt(np.pi)) * np.sqrt(n / _CELLS)  # what unrelated sets of this size differ by
-        rho = 1.0 if b * (1 + 1 / self.t) <= apart else 0.25
-        d = np.abs(self.rows[: self.count] - hist).sum(1, dtype=np.int32)
-        out = self.names[: self.count][d <= b + rho * b / self.t + 1e-6]
-        if not (d <= rho * b + 1e-6).any():
-            if self.count == len(self.names):
-                self.rows, self.names = np.concatenate([self.rows, np.zeros_like(self.rows)]), np.concatenate([self.names, np.zeros_like(self.names)])
-            self.rows[self.count], self.names[self.count] = hist, node
+    def __init__(self):
+        self.rows, self.count = np.zeros((16, _CELLS), np.int8), 0
+        self.names, self.kind, self.size = (np.zeros(16, np.int64) for _ in range(3))
+
+    def place(self, node: int, n: int, home: float, near: float, hist: np.ndarray) -> np.ndarray:
+        """One pivot of each kind that is joined; the node itself isn't among them."""
+        k = self.count
+        d = np.maximum(_lower_bound(self.rows[:k], hist), np.abs(self.size[:k] - n))
+        joined = np.flatnonzero(d <= near)
+        kinds, at = np.unique(self.kind[joined], return_index=True)
+        out = self.names[joined[at]]
+        if len(kinds) > 1:
+            self.kind[:k][np.isin(self.kind[:k], kinds)] = kinds[0]
+        if not (d <= home).any():
+            if k == len(self.names):
+                self.rows, self.names, self.kind, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.rows, self.names, self.kind, self.size))
+            self.rows[k], self.names[k], self.size[k], self.kind[k] = hist, node, n, kinds[0] if len(kinds) else k
             self.count += 1
         return out
 
@@ -259,35 +292,75 @@ def jaccard_components(
                 if out_s:
                     yield batch(p_schema, np.concatenate(out_s).view(np.int64), np.concatenate(out_n))
 
-    posted = Table(map_batches(d.select("text"), postings, "s long, node long"), "postings")
-    live = Table(posted.df.groupBy("s").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("s"), "live")
+    live_schema = pa.schema([("s", pa.int64()), ("node", pa.int64()), ("lo", pa.int64())])
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of rows in order of (s, node): those of shingles with two nodes or more, each node once, with the first."""
+        last_s = last_node = first = None
+        told = True
+        for b in batches:
+            out = []
+            for s, node in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if s != last_s:
+                    last_s, last_node, first, told = s, node, node, False
+                elif node != last_node:
+                    if not told:
+                        out.append((s, first, first))
+                        told = True
+                    out.append((s, node, first))
+                    last_node = node
+            yield batch(live_schema, *([r[i] for r in out] for i in range(3)))
+
+    posted = map_batches(d.select("text"), postings, "s long, node long").repartition("s").sortWithinPartitions("s", "node")
+    live = Table(map_batches(posted, shared, "s long, node long, lo long"), "live")
     nodes = Table(table.df.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("hist").alias("hist")), "nodes")
-    met = posted.df.join(live.df.select("s"), "s").join(nodes.df.select("node", "n", "hist"), "node")
+    t = num / den
+    # first against the first node of each shingle, a pair once: most near copies have their home there
+    pairs = live.df.where("node <> lo").select("node", "lo").distinct()
+    known = nodes.df.select("node", "n", "hist")
+    pairs = pairs.join(known, "node").join(nodes.df.select(F.col("node").alias("lo"), F.col("n").alias("lo_n"), F.col("hist").alias("lo_hist")), "lo").select("node", "lo", "n", "hist", "lo_hist", "lo_n")
+    near_schema = pa.schema([("node", pa.int64()), ("lo", pa.int64()), ("near", pa.bool_()), ("home", pa.bool_())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                dist = _lower_bound(_unpacked(b.column(3).to_pylist()), _unpacked(b.column(4).to_pylist()))
+                dist = np.maximum(dist, np.abs(b.column(2).to_numpy() - b.column(5).to_numpy()))
+                home, near = _reach(b.column(2).to_numpy(), t)
+                yield batch(near_schema, b.column(0), b.column(1), dist <= near, dist <= home)
+
+    first = Table(map_batches(pairs, compare, "node long, lo long, near boolean, home boolean"), "first-pivots")
+    # the others among themselves, shingle by shingle
+    rest = live.df.where("node <> lo").join(first.df.where("not home").select("node", "lo"), ["node", "lo"]).select("s", "node").join(known, "node")
     e_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, region = None, None
         for b in batches:
-            hist = np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, _CELLS).astype(np.int16)
+            if not b.num_rows:
+                continue
+            hist = _unpacked(b.column(3).to_pylist())
+            home, near = _reach(b.column(2).to_numpy(), t)
             out_a, out_b = [], []
             for k, (s, node, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())):
                 if s != current:
-                    current, region = s, Regions(num, den)
-                pivots = region.place(node, n, hist[k])
+                    current, region = s, Regions()
+                pivots = region.place(node, n, home[k], near[k], hist[k])
                 out_a.append(np.full(len(pivots), node, np.int64))
                 out_b.append(pivots)
-            if out_a:
-                pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
-                yield batch(e_schema, pair[0], pair[1])
+            pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
+            yield batch(e_schema, pair[0], pair[1])
 
-    dealt = met.select("s", "node", "n", "hist").repartition("s").sortWithinPartitions("s", "node")
-    edges = Table(map_batches(dealt, meet, "a long, b long").distinct(), "candidates")
-    posted.drop()
+    dealt = rest.select("s", "node", "n", "hist").repartition("s").sortWithinPartitions("s", "node")
+    met = map_batches(dealt, meet, "a long, b long").unionByName(first.df.where("near").select(F.col("node").alias("a"), F.col("lo").alias("b")))
+    edges = Table(met.distinct(), "candidates")
     live.drop()
+    first.drop()
     regions = components(edges.df, "regions").withColumnRenamed("component", "region")
     reps = nodes.df.select("node", "rep")
     wanted = Table(reps.join(regions, "node").where("rep is not null"), "wanted")
-    members = Table(d.join(wanted.df, d["doc_id"] == wanted.df["rep"]).select("region", "node", "text"), "members")
+    asked = _asked(d, wanted.df.select(F.col("rep").alias("doc_id")))
+    members = Table(asked.join(wanted.df, asked["doc_id"] == wanted.df["rep"]).select("region", "node", "text"), "members")
     edges.drop()
     wanted.drop()
     members, links = _split(members, shingle, num, den, region_docs, levels)
@@ -330,6 +403,24 @@ def jaccard_components(
     return sets.join(result.df, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _asked(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
+    """The documents whose id's bit is set by one of `ids`: all that are asked for, and few others, so that their texts
+    alone are shuffled. The bit map has a fixed size; it only fills up, and then filters less, as ids become more."""
+    spark = docs.sparkSession
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
+    words = ids.select(F.shiftright(at, 5).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 32) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 5), np.uint32)
+    table[words.column(0).to_numpy()] = words.column(1).to_numpy().astype(np.uint32)
+    sent = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf(T.BooleanType())
+    def there(h: pd.Series) -> pd.Series:
+        x = h.to_numpy()
+        return pd.Series((sent.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1)
+
+    return docs.where("doc_id is not null").where(there(at))
+
+
 def _split(members: Table, shingle: int, num: int, den: int, region_docs: int, levels: int) -> tuple[Table, Table | None]:
     """Splits large regions into Voronoi regions; returns the members and, if any was split, the pivots' own links."""
     eps, links = 1 - num / den, None
