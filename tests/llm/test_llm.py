@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -248,6 +250,25 @@ def test_lm(spark, docs, odd):
     assert lm.score(empty(spark)).count() == 0
 
 
+def test_lm_query_lowers_words(spark, docs):
+    rows = pairs(docs)
+    words = {d: ["".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in w) for w in re.split("[ \t\n\r\x0b\x0c]+", t or "") if w] for d, t in rows}
+    seen = defaultdict(int)
+    for d, ws in words.items():
+        if zlib.crc32(str(d).encode()) % 10:
+            for w in [*ws, None]:
+                seen[w] += 1
+    n = sum(seen.values())
+    assert any(re.search("[A-Z]", t or "") for _, t in rows) and len(words) == len(rows)
+    got = QUERIES["op7_lm_score"](spark, SF).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        ws = [*words[r.doc_id], None]
+        base = sum(math.log10((seen.get(w, 0) + 0.1) / (n + 0.1 * (len(seen) + 1))) for w in ws)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(w in seen for w in ws), n)
+        assert abs(r.base_score - base) < 1e-4
+
+
 def test_lm_bits_add_up():
     """After any context the 256 bytes' probabilities sum to one."""
     import numpy as np

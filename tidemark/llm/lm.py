@@ -252,7 +252,7 @@ class Scorer:
         return np.add.reduceat(value, starts[:-1]) if len(docs) else np.empty(0)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = 10, held_out_is: int = 0, head_words: int = 400_000) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out_of: int = 10, held_out_is: int = 0, head_words: int = 400_000, fold_case: bool = False) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
     Training texts are those whose crc32 of the id as text, mod `held_out_of`, is not `held_out_is`.
@@ -263,7 +263,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     partition being predicted before it is counted. An adaptive table maps what was predicted to what came. Partitions'
     counters are summed and their weights averaged by use. Texts are scored with the sums, whole.
 
-    Base. Words of training texts are counted exactly. The up to `head_words` most frequent, a documented bound, go to all
+    Base. Words of training texts are counted exactly; with `fold_case` A-Z are lowered first, in training texts and in
+    those that are scored (the model reads the bytes as they are). The up to `head_words` most frequent, a documented bound, go to all
     tasks; every other word of a text is joined with the counts by shuffle, so the sum is over the whole vocabulary.
 
     Nulls: a null text is an empty one, whose only token is the end. A null id is not held out. Repeated rows are scored
@@ -272,6 +273,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), _is_held(F.col(id_col), held_out_of, held_out_is).alias("held_out"))
     train = d.where(~F.col("held_out")).select("text")
+    split = (lambda t: t.lower().split()) if fold_case else bytes.split  # bytes.lower() lowers A-Z alone
     c_schema = pa.schema([("h", pa.int64()), ("c", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +289,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
 
         for b in batches:
             for part in chunks([(t,) for t in texts(b.column(0))], 0):
-                words = list(chain.from_iterable(r[0].split() for r in part))
+                words = list(chain.from_iterable(split(r[0]) for r in part))
                 if words:
                     held.append(np.unique(np.fromiter(map(get, words), np.uint64, len(words)), return_counts=True))
                     size += len(held[-1][0])
@@ -327,7 +329,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_
             for part in chunks(rows, 1, 2 << 20):
                 bits = scorer([r[1] for r in part])
                 out = []
-                tokens = [r[1].split() for r in part]
+                tokens = [split(r[1]) for r in part]
                 at = np.cumsum([0, *map(len, tokens)])
                 h = np.fromiter(map(get, chain.from_iterable(tokens)), np.uint64, int(at[-1]))
                 if len(keys):

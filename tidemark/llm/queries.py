@@ -45,7 +45,7 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score(read_table(spark, sf_dir, "documents"))
+    return lm.score(read_table(spark, sf_dir, "documents"), fold_case=True)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
