@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, map_batches, texts
+from .common import Table, batch, map_batches, texts
 
 #: ASCII upper case becomes lower case, other ASCII that isn't a letter or digit a blank, bytes of longer characters stay.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -83,20 +83,27 @@ def decontaminate(
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, hit_spans (code points in the original text).
 
     The benchmark's bytes are summed first. Up to `block_bytes` one automaton goes to every task and one scan answers; a
-    larger benchmark is dealt into blocks of about that many bytes by a hash of its id, documents are scanned once for
-    each block, and a document's hits are merged. The text is never shuffled.
+    larger benchmark is dealt into blocks of about that many bytes by a hash of its id; documents are written once with a
+    number for each row and scanned once for each block, and a row's hits are merged by its number. The text is never
+    shuffled.
 
     Nulls: a null text has no words; a benchmark row with a null text or no words has no window; one with a null item_id
-    still marks words but is in no list of items. Rows of documents are answered each, so repeated ids come back repeated
-    while one block holds the benchmark, and merged into one row where there are more. Empty tables give no rows, or rows
-    without hits. Other columns are ignored.
+    still marks words but is in no list of items. Rows of documents are answered each, whatever the benchmark's size, so
+    null and repeated ids come back once for each row. Empty tables give no rows, or rows without hits. Other columns are
+    ignored.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_bytes))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    hit_schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("first", pa.list_(pa.int64())), ("last", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("hit_spans", pa.list_(pa.list_(pa.int64())))])
+    if blocks == 1:
+        d = d.withColumn("row", F.lit(0).cast("long"))
+    else:
+        d = Table(d.withColumn("row", F.monotonically_increasing_id()), "numbered").df  # written, as numbers may change when made anew
+    hit_schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("first", pa.list_(pa.int64())), ("last", pa.list_(pa.int64())), ("items", pa.list_(pa.string())), ("hit_spans", pa.list_(pa.list_(pa.int64())))])
+
+    hit_columns = "row long, doc_id long, n_words long, first array<long>, last array<long>, items array<string>, hit_spans array<array<long>>"
 
     def matcher(rows: list[tuple[object, bytes]]):
         sent = spark.sparkContext.broadcast(rows)
@@ -105,14 +112,24 @@ def decontaminate(
             a = build(sent.value, size)
             for b in batches:
                 out = []
-                for doc_id, raw in zip(b.column(0).to_pylist(), texts(b.column(1))):
+                for row, doc_id, raw in zip(b.column(2).to_pylist(), b.column(0).to_pylist(), texts(b.column(1))):
                     doc = words(raw)
                     first, last, found = scan(a, doc)
                     f, z = merge(first, last)
-                    out.append((doc_id, len(doc), f, z, sorted(x for x in found if x is not None), [list(s) for s in char_spans(raw.decode(), f, z)] if f else []))
-                yield batch(hit_schema, *([r[i] for r in out] for i in range(6)))
+                    out.append((row, doc_id, len(doc), f, z, sorted(x for x in found if x is not None), [list(s) for s in char_spans(raw.decode(), f, z)] if f else []))
+                yield batch(hit_schema, *([r[i] for r in out] for i in range(7)))
 
-        return map_batches(d, run, "doc_id long, n_words long, first array<long>, last array<long>, items array<string>, hit_spans array<array<long>>")
+        return map_batches(d, run, hit_columns)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The blocks' hits of each row as one block would give them."""
+        for b in batches:
+            out = []
+            for row, doc_id, n_words, first, last, found, spans in zip(*(c.to_pylist() for c in b.columns)):
+                f, z = merge(np.array(first, np.int64), np.array(last, np.int64))
+                starts, stops = dict(zip(first, (s[0] for s in spans))), dict(zip(last, (s[1] for s in spans)))
+                out.append((row, doc_id, n_words, f, z, sorted(set(found)), [[starts[a], stops[b]] for a, b in zip(f, z)]))
+            yield batch(hit_schema, *([r[i] for r in out] for i in range(7)))
 
     hits = None
     for k in range(blocks):
@@ -120,10 +137,9 @@ def decontaminate(
         part = matcher([(r.item, r.text.encode()) for r in block.collect()])
         hits = part if hits is None else hits.unionByName(part)
     if blocks > 1:
-        hits = hits.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("first")).alias("first"), F.flatten(F.collect_list("last")).alias("last"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("hit_spans")).alias("hit_spans"))
-        covered = F.size(F.array_distinct(F.flatten(F.transform(F.arrays_zip("first", "last"), lambda x: F.sequence(x["first"], x["last"] - 1)))))
-    else:
-        covered = F.aggregate(F.arrays_zip("first", "last"), F.lit(0).cast("long"), lambda acc, x: acc + x["last"] - x["first"])
+        parts = hits.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("first", "last", "items", "hit_spans")))
+        hits = map_batches(parts, merged, hit_columns)
+    covered = F.aggregate(F.arrays_zip("first", "last"), F.lit(0).cast("long"), lambda acc, x: acc + x["last"] - x["first"])
     out = hits.select("doc_id", "n_words", covered.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "items", "hit_spans")
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"), "items", "hit_spans")
 
