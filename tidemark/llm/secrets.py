@@ -51,6 +51,12 @@ def known(s: str) -> bool:
     return len(_PARTS.sub("", core)) <= 0.1 * len(core) and not (any(c.isdigit() for c in core) and len(re.findall("[0-9]+", core)) > 3)
 
 
+def one_case(s: str) -> bool:
+    """Letters of one case, or with one leading capital: a word or a random key, which only its tokens tell."""
+    core = s.strip("+/_=-")
+    return core.isalpha() and (core.islower() or core.isupper() or core[1:].islower())
+
+
 def scan(text: str, encode, min_ratio: float) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of every span, in order; code points, end exclusive."""
     spans = []
@@ -62,7 +68,7 @@ def scan(text: str, encode, min_ratio: float) -> list[tuple[int, int, int]]:
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in _CANDIDATE.finditer(text):
         s = m.group()
-        if known(s) or any(a < m.end() and m.start() < z for a, _, z in spans):
+        if (known(s) and not one_case(s)) or any(a < m.end() and m.start() < z for a, _, z in spans):
             continue
         if len(s) < min_ratio * len(encode(s)):
             spans.append((m.start(), 3, m.end()))
@@ -73,8 +79,8 @@ def find_secrets(docs: DataFrame, vocabulary: tuple[str, str], id_col: str = "do
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random; with `redact`, also the text with spans replaced.
 
     vocabulary: the file of tiktoken ranks and its pattern. A run of 20 or more base-64 characters with fewer than
-    `min_ratio` characters per token is random, unless it is a known digest, UUID, number, word or identifier, or overlaps
-    a base span. Base spans always stay.
+    `min_ratio` characters per token is random, unless it is a known digest, UUID, number or identifier, or overlaps a base
+    span. Runs of letters in one case are judged by their tokens alone. Base spans always stay.
 
     A null text is an empty one (redacted, it stays null). Null ids and repeated rows are answered each. An empty table
     gives no rows. Other columns are ignored.
