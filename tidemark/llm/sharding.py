@@ -13,20 +13,25 @@ from pyspark.sql import functions as F
 from .common import Table, batch, map_batches
 
 
-def place(vectors: np.ndarray, shards: int, weights: np.ndarray) -> np.ndarray:
-    """Shard of each vector: the largest first, each where its dot product with the residual capacity is highest.
+def place(vectors: np.ndarray, shards: int, weights: np.ndarray, total: np.ndarray | None = None, left: np.ndarray | None = None, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Shard of each vector, and the residual capacity: the largest first, each where its dot product with the residual is highest.
 
-    Vectors are scaled to shares of a shard, residuals may go below zero, and ties go to the lower shard.
+    Vectors are scaled to shares of a shard of `total` (their own sum by default), residuals may go below zero, and ties
+    go to the lower shard. With `whole` only shards that a vector fits into are asked, and one that fits none gets -1.
     """
-    total = vectors.sum(0)
+    total = vectors.sum(0) if total is None else total
     share = vectors / np.where(total > 0, total / shards, 1) * np.sqrt(weights)
-    left = np.tile(np.where(total > 0, np.sqrt(weights), 0), (shards, 1))
+    left = np.tile(np.where(total > 0, np.sqrt(weights), 0), (shards, 1)) if left is None else left.copy()
     out = np.zeros(len(vectors), np.int64)
     for i in np.lexsort((np.arange(len(share)), -(share**2).sum(1))):
-        best = int((left @ share[i]).argmax())
-        out[i] = best
-        left[best] -= share[i]
-    return out
+        product = left @ share[i]
+        if whole:
+            product[(left < share[i] - 1e-9).any(1)] = -np.inf
+        best = int(product.argmax())
+        out[i] = -1 if product[best] == -np.inf else best
+        if out[i] >= 0:
+            left[best] -= share[i]
+    return out, left
 
 
 def shard(
@@ -42,8 +47,9 @@ def shard(
 
     Groups of equal texts are dealt by their digest into shards x cells_per_shard cells, and only the cells' sums of
     bytes, tokens (words) and rows, a number that doesn't depend on the corpus, come to the driver to be packed. A group
-    that would outweigh a cell by four is split by a hash of its ids into as many parts as make it small again; there are
-    at most shards x cells_per_shard / 4 such groups. Slots are counted per task and offset by the counts of the tasks
+    that would outweigh a cell by four, of which there are at most shards x cells_per_shard / 4, is a vector of its own and
+    placed whole, before the cells; only one that fits no shard's residual capacity is split by a hash of its ids into
+    parts of a cell's size. Slots are counted per task and offset by the counts of the tasks
     before, so no shard is ever sorted or held by one task.
 
     Null texts are empty ones of their own group. A null id is a row like any other; repeated rows are each placed. An
@@ -61,16 +67,21 @@ def shard(
     )
     table = Table(features, "shard-features")
     f = table.df
-    total = f.agg(F.sum("size")).first()[0] or 0
-    limit = max(1, 4 * total // cells)
-    hot = f.groupBy("group").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > limit).select("group", F.ceil(F.col("bytes") * cells / F.lit(max(1, total))).alias("parts"))
-    parts = {bytes(r.group): r.parts for r in hot.collect()}  # at most cells / 4
-    hot = spark.createDataFrame([(bytearray(k), v) for k, v in parts.items()], "group binary, parts long")
+    total = np.array([x or 0 for x in f.agg(F.sum("size"), F.sum("tokens"), F.count("*")).first()], float)
+    limit = max(1, 4 * int(total[0]) // cells)
+    large = f.groupBy("group").agg(F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("n")).where(F.col("bytes") > limit).orderBy("group").collect()  # at most cells / 4
+    vectors, w = np.array([[r.bytes, r.tokens, r.n] for r in large], float).reshape(-1, 3), np.array(weights)
+    own, left = place(vectors, shards, w, total, whole=True)
+    parts = np.ceil(vectors[:, 0] * cells / max(1, total[0])).astype(np.int64)
+    rows = [(bytearray(r.group), None, int(s)) if s >= 0 else (bytearray(r.group), int(p), None) for r, p, s in zip(large, parts, own)]
+    hot = spark.createDataFrame(rows, "group binary, parts long, own int")
     part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts")))
-    celled = f.join(F.broadcast(hot), "group", "left").withColumn("cell", F.pmod(F.xxhash64("group", part), F.lit(cells)).cast("int")).drop("parts", "group")
-    sums = celled.groupBy("cell").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()
-    found = place(np.array([[r[1], r[2], r[3]] for r in sums], float).reshape(-1, 3), shards, np.array(weights))
-    of_cell = spark.createDataFrame([(r[0], int(s)) for r, s in zip(sums, found)], "cell int, shard int")
+    # cells from `cells` on are the shards of groups that are placed already
+    cell = F.coalesce(F.col("own") + F.lit(cells), F.pmod(F.xxhash64("group", part), F.lit(cells)).cast("int"))
+    celled = f.join(F.broadcast(hot), "group", "left").withColumn("cell", cell).drop("parts", "own", "group")
+    sums = celled.where(F.col("cell") < cells).groupBy("cell").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()
+    found, _ = place(np.array([[r[1], r[2], r[3]] for r in sums], float).reshape(-1, 3), shards, w, total, left)
+    of_cell = spark.createDataFrame([(r[0], int(s)) for r, s in zip(sums, found)] + [(cells + s, s) for s in range(shards)], "cell int, shard int")
     schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("text_crc32", pa.int64()), ("tokens", pa.int64()), ("shard", pa.int32()), ("task", pa.int32()), ("rank", pa.int64())])
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
