@@ -31,14 +31,21 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that five-word shingles of similarity 0.8 or more connect, the document of the least id stays.
+    """Of each group that five-word shingles of similarity 0.8 or more connect, the row of the least id stays, nulls last.
 
-    A row without an id stays, unless a text without words; of rows that repeat an id one stays.
+    Rows are compared by their key, those without an id as any other; rows that repeat in full are one. Of rows that
+    repeat an id with other texts one stays, the one with the fewest others in its group, as those can stand for it.
     """
-    groups = jaccard.jaccard_components(docs.where("doc_id is not null"))
-    least = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(least, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    d = _keyed(docs)
+    groups = jaccard.jaccard_components(d, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id").distinct()
+    rows = Table(d.select("doc_id", ROW).distinct().join(groups, ROW), "row-groups").df
+    repeated = rows.join(rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "doc_id")
+    sized = repeated.join(rows.groupBy("component_id").count(), "component_id")
+    chosen = sized.groupBy("doc_id").agg(F.min(F.struct("count", ROW))[ROW].alias(ROW)).select(ROW)
+    others = repeated.join(chosen, ROW, "left_anti").select(ROW)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
+    least = rows.join(others, ROW, "left_anti").groupBy("component_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW)
+    return d.join(least, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
