@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -12,17 +13,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows an Arrow batch holds; texts can be long, so batches are short.
-ARROW_ROWS = 1000
+#: Rows and bytes an Arrow batch holds; texts can be long, so batches are short.
+ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
 
 #: Every byte but space, tab and the line breaks ends no word: `bytes.split()` is the rule `[^\\x20\\x09-\\x0D]+`.
 WHITE = b" \t\n\r\x0b\x0c"
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share, read from the session; a folder of its own only where none is set."""
+    """The folder all executors share, read from the session. Only a local session may do without: it gets a folder of its own."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster, tables between steps need a folder that all executors share")
         root = getattr(spark, "_tidemark_shared", None)
         if root is None:
             folder = tempfile.mkdtemp(prefix="tidemark-")
@@ -55,8 +58,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches short enough for very long texts."""
+    """mapInArrow with batches short enough for very long texts: the session's limits are set for that, as there is no other way."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return df.mapInArrow(fn, schema)
 
 

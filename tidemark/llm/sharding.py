@@ -62,7 +62,7 @@ def shard(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + overhead).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        (F.length(F.trim(text)) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("long").alias("tokens"),
+        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         F.unhex(F.md5(text.cast("binary"))).alias("group"),
     )
     table = Table(features, "shard-features")
