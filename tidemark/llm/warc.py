@@ -67,7 +67,11 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", payload_col
     """Writes a gzip member per row to archives under `path` and returns the manifest (file, bytes, records).
 
     Every task attempt writes a file of its own name; only files in the manifest, itself written under Spark's commit
-    protocol, are part of the result, so retried and speculative attempts do no harm. A null payload is an empty one.
+    protocol, are part of the result, so retried and speculative attempts do no harm.
+
+    A null payload is an empty one; a null id is written as an empty name and may be referred to only if all equal payloads
+    lack one; rows that repeat an id are records each, responses if it is the largest of their payload; a null url has no
+    header. An empty table writes no archive and gives an empty manifest. Other columns are ignored.
     """
     schema = pa.schema([("file", pa.string()), ("bytes", pa.int64()), ("records", pa.int64())])
     fs, base = _open(path)
@@ -98,12 +102,14 @@ def _header(raw: bytes) -> tuple[str, dict[str, str]]:
 
 
 def members(f, start: int, end: int, size: int, chunk: int = 1 << 20) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of the WARC members that start in [start, end).
+    """(offset, content) of the WARC members that start in [start, end); (offset, None) where one is damaged.
 
     Finds gzip magic bytes, believes a candidate only if what it inflates to begins as a WARC record and the member's
-    checksum holds, and looks on one byte later if not. The last member is read past `end` to its own end.
+    checksum holds, and looks on one byte later if not. The last member is read past `end` to its own end. At the file's
+    start, and where a member ends, another one must begin: if none does, that place is told as damaged, by the range of the
+    member before.
     """
-    held, at = b"", start  # held: bytes of the file from `at`
+    held, at, due = b"", start, start == 0  # held: bytes of the file from `at`; due: a member must begin there
 
     def more(upto: int) -> bool:
         nonlocal held
@@ -112,16 +118,19 @@ def members(f, start: int, end: int, size: int, chunk: int = 1 << 20) -> Iterato
         held += new
         return bool(new)
 
-    while at < end:
+    while at < end or due and at < size:
         i = held.find(_MAGIC)
+        if due and i and (i > 0 or len(held) > 2):
+            yield at, None
+            due = False
         if i < 0:
             keep = min(len(held), 2)
             at, held = at + len(held) - keep, held[len(held) - keep :]
-            if at >= end or not more(chunk):
+            if at >= end and not due or not more(chunk):
                 return
             continue
         at, held = at + i, held[i:]
-        if at >= end:
+        if at >= end and not due:
             return
         z, out, used, good = zlib.decompressobj(31), [], 0, True
         checked = 0
@@ -145,11 +154,17 @@ def members(f, start: int, end: int, size: int, chunk: int = 1 << 20) -> Iterato
             if not more(chunk):
                 good = False
                 break
+        if at >= end:
+            if not (good and checked == 5):
+                yield at, None
+            return
         if good and checked == 5:
             yield at, b"".join(out)
-            skip = used - len(z.unused_data)
+            skip, due = used - len(z.unused_data), True
         else:
-            skip = 1
+            if due:
+                yield at, None
+            skip, due = 1, False
         at, held = at + skip, held[skip:]
 
 
@@ -157,8 +172,12 @@ def read_warc(spark: SparkSession, manifest: DataFrame, split_bytes: int = 32 <<
     """Reads archives (columns file and bytes) back as rows, in tasks of byte ranges that need no index.
 
     Columns: file, offset, record_id, record_type, url, refers_to, payload_digest (as the header has it), payload_sha1 (of
-    the payload that is there), http_length (of the full payload, from the HTTP header, which revisits keep), payload.
-    A record belongs to the range it starts in. Files cut short end with their last whole member.
+    the payload that is there), http_length (of the payload where it is there; of revisits what the HTTP header keeps),
+    payload. A record belongs to the range it starts in, so every split size gives the same rows.
+
+    Nothing goes unseen: a place where a member should begin and none can be read, or a record whose block is shorter than
+    its header says, is a row of record_type "damaged", with null columns but for file and offset. Reading goes on at the
+    next member. Null or empty files, and an empty manifest, give no rows. A manifest that names a file twice reads it twice.
     """
     schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()), ("refers_to", pa.string()), ("payload_digest", pa.string()), ("payload_sha1", pa.string()), ("http_length", pa.int64()), ("payload", pa.binary())])
     n = F.greatest(F.lit(1), F.ceil(F.col("bytes") / split_bytes)).cast("int")
@@ -172,15 +191,16 @@ def read_warc(spark: SparkSession, manifest: DataFrame, split_bytes: int = 32 <<
                 rows, held = [], 0
                 with fs.open_input_file(path) as f:
                     for offset, content in members(f, start, end, size):
-                        raw, _, block = content.partition(b"\r\n\r\n")
+                        raw, _, block = (content or b"").partition(b"\r\n\r\n")
                         _, h = _header(raw)
-                        if len(block) < (length := int(h.get("content-length", 0))):
+                        if content is None or len(block) < (length := int(h.get("content-length", 0))):
+                            rows.append((file, offset, None, "damaged", *[None] * 6))
                             continue
                         http, _, payload = block[:length].partition(b"\r\n\r\n")
                         _, hh = _header(http)
                         kind = h.get("warc-type")
                         there = kind == "response"
-                        rows.append((file, offset, h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:"), digest(payload) if there else None, int(hh.get("content-length", len(payload))), payload if there and payloads else None))
+                        rows.append((file, offset, h.get("warc-record-id"), kind, h.get("warc-target-uri"), h.get("warc-refers-to"), h.get("warc-payload-digest", "").removeprefix("sha1:"), digest(payload) if there else None, len(payload) if there else int(hh.get("content-length", 0)), payload if there and payloads else None))
                         held += len(content) if payloads else 0
                         if held > 16 << 20 or len(rows) >= 4096:
                             yield batch(schema, *([r[i] for r in rows] for i in range(10)))
