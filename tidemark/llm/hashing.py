@@ -26,6 +26,51 @@ class WordHashes(dict):
 _hashes = WordHashes()
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG = 64  # bytes from which a word is hashed by itself
+
+
+def _stir(h: np.ndarray) -> np.ndarray:
+    h *= np.uint64(BASE)
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    return h
+
+
+def hash_texts(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and each text's first position (and the end).
+
+    Words are read eight bytes at a time, all words at once, so there is no object and no cache for a word. `lower` lowers
+    A-Z. Words of up to eight bytes have distinct hashes if they are of one length; others are as good as random.
+    """
+    texts = [t or b"" for t in texts]
+    raw = b"\n".join([*texts, b"\0" * 8])
+    if lower:
+        raw = raw.lower()
+    n = len(raw) - 8
+    flat = np.frombuffer(raw, np.uint8)
+    inner = ~_BLANK[flat[:n]]
+    edges = np.flatnonzero(inner[1:] != inner[:-1]) + 1
+    if n and inner[0]:
+        edges = np.r_[0, edges]
+    first, size = edges[::2], edges[1::2] - edges[::2]
+    loads = np.ndarray((n + 1,), "<u8", raw, 0, (1,))  # the eight bytes from every place on
+    h = _stir(size.astype(np.uint64) + np.uint64(1))
+    at, off = np.arange(len(first)), 0
+    while len(at) and off < _LONG:
+        v = loads[first[at] + off] & _MASKS[np.minimum(size[at] - off, 8)]
+        h[at] = _stir(h[at] ^ v)
+        off += 8
+        at = at[size[at] > off]
+    for k in at.tolist():
+        h[k] = xxhash.xxh64_intdigest(raw[first[k] : first[k] + size[k]])
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return h, np.searchsorted(first, begins)
+
+
 def chunks(rows: list, text_at: int, limit: int = _CHUNK) -> Iterator[list]:
     """Consecutive rows of about `limit` bytes of text, or of one longer text."""
     out, size = [], 0
