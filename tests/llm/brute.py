@@ -116,3 +116,36 @@ def lm_base(docs, held, end="\0end"):
     for i, (d, _) in enumerate(docs):
         ws = tokens[i]
         yield d, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in ws)
+
+
+def vote_model(votes, rounds=500):
+    """Expectation-maximisation text by text: the posterior probability of good for each row of votes (-1, 0, 1)."""
+    import math
+
+    rules = range(len(votes[0]))
+    post = [0.05 if v.count(-1) >= 2 else 0.7 if -1 in v else 0.95 for v in votes]
+    for _ in range(rounds):
+        right = {}
+        for cls, vote in ((1, 1), (0, -1)):
+            for j in rules:
+                yes = all_ = 0.0
+                for v, p in zip(votes, post):
+                    if v[j]:
+                        w = p if cls else 1 - p
+                        all_ += w
+                        yes += w * (v[j] == vote)
+                right[cls, j] = (yes + 1) / (all_ + 2)
+        prior = (sum(post) + 1) / (len(votes) + 2)
+        new = []
+        for v in votes:
+            odds = math.log(prior / (1 - prior))
+            for j in rules:
+                if v[j] > 0:
+                    odds += math.log(right[1, j] / (1 - right[0, j]))
+                elif v[j] < 0:
+                    odds += math.log((1 - right[1, j]) / right[0, j])
+            new.append(1 / (1 + math.exp(-max(-40, min(40, odds)))))
+        moved, post = max(abs(a - b) for a, b in zip(new, post)), new
+        if moved < 1e-9:
+            break
+    return post

@@ -15,21 +15,24 @@ SYMBOLS = b"#*$%&|<>"
 #: Bytes inside a character: all others begin one.
 _INNER = bytes(range(0x80, 0xC0))
 
-#: (rule, statistic, votes bad at or beyond, votes good at or within): between the two it abstains.
+#: (rule, statistic, votes bad at or beyond, votes good at or within): between the two it abstains. Rules overlap, and some
+#: are often wrong by themselves (clean texts can have long words, few distinct ones, or be short).
 RULES = (
-    ("symbols", "symbol_share", 0.30, 0.08),
-    ("symbol_chars", "symbol_char_share", 0.08, 0.02),
-    ("marked_words", "marked_share", 0.25, 0.08),
-    ("repeats", "repeat_share", 0.30, 0.05),
-    ("dup_lines", "dup_line_share", 0.50, 0.10),
-    ("shouting", "upper_share", 0.40, 0.10),
-    ("exclaims", "exclaim_share", 0.30, 0.08),
-    ("word_length", "length_off", 4.0, 2.5),
-    ("digits", "digit_share", 0.25, 0.08),
-    ("poor_words", "same_share", 0.75, 0.55),
+    ("symbols", "symbol_share", 0.20, 0.02),
+    ("symbol_chars", "symbol_char_share", 0.05, 0.01),
+    ("marked_words", "marked_share", 0.15, 0.05),
+    ("word_length", "length_off", 1.5, 1.0),
+    ("poor_words", "same_share", 0.40, 0.20),
+    ("repeats", "repeat_share", 0.10, 0.02),
+    ("dup_lines", "dup_line_share", 0.30, 0.05),
+    ("shouting", "upper_share", 0.20, 0.05),
+    ("exclaims", "exclaim_share", 0.15, 0.03),
+    ("digits", "digit_share", 0.15, 0.03),
+    ("stutter", "stutter_share", 0.10, 0.02),
+    ("short", "shortness", 0.02, 0.01),
 )
 
-_STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims", "n_digits", "n_distinct", "n_marked")
+_STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_exclaims", "n_digits", "n_distinct", "n_marked", "n_stutters")
 
 
 def repeated(words: list[bytes], size: int = 8) -> int:
@@ -76,32 +79,32 @@ def measure(text: bytes | None) -> tuple[int, ...]:
         len(words), points - white, symbols, dup, repeated(words), kept,
         sum(w.isupper() for w in words), raw.count(b"!"), len(raw) - len(raw.translate(None, b"0123456789")), len(set(words)),
         sum(len(w) != len(w.translate(None, SYMBOLS)) for w in words) if symbols else 0,
+        sum(map(bytes.__eq__, words, words[1:])),
     )
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, prior: float = 0.85, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
+def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> tuple[np.ndarray, np.ndarray]:
     """Posterior probability of good for each vote pattern (rows of -1, 0, 1), and each rule's accuracies (good, bad).
 
-    Votes are independent given quality. A rule has an accuracy for either class: a text without one defect can have
-    another, so a vote for good tells less than one for bad, and the estimate finds out how much. Abstentions say nothing.
-    Starts from texts with any vote for bad being bad. A rule is written to be right of good texts: that accuracy is kept
-    at 0.98 or more, and each rule at least as likely to vote bad of bad texts as of good ones, so the classes can't swap.
+    Votes are independent given quality, and abstentions say nothing. A rule has an accuracy for either class, each free
+    between 0 and 1 but for one vote of either kind that smooths it: a text with one defect often lacks the others, so most
+    rules are mostly wrong of bad texts, and the estimate finds out how much a vote for good is worth. It starts from how
+    many rules vote bad: two or more, one, or none. That start is all that tells the classes apart.
     """
     good, bad = (patterns > 0).astype(float), (patterns < 0).astype(float)
-    post = np.where(bad.any(1), 0.1, 0.98)
+    n_bad = bad.sum(1)
+    post = np.where(n_bad >= 2, 0.05, np.where(n_bad == 1, 0.7, 0.95))
     on_good = on_bad = np.full(patterns.shape[1], 0.5)
     for _ in range(rounds):
         w1, w0 = counts * post, counts * (1 - post)
-        on_good = (w1 @ good + 9.5) / (w1 @ (good + bad) + 10)  # starts at 0.95 right of good texts
-        on_good = np.maximum(on_good, 0.98)
-        on_bad = (w0 @ bad + 0.5) / (w0 @ (good + bad) + 2)
-        on_bad = np.maximum(on_bad, 1 - on_good)
-        prior = float(np.clip(w1.sum() / max(1, counts.sum()), 0.05, 0.98)) if len(counts) else prior
+        on_good = (w1 @ good + 1) / (w1 @ (good + bad) + 2)
+        on_bad = (w0 @ bad + 1) / (w0 @ (good + bad) + 2)
+        prior = (w1.sum() + 1) / (counts.sum() + 2)
         odds = np.log(prior / (1 - prior)) + good @ np.log(on_good / (1 - on_bad)) + bad @ np.log((1 - on_good) / on_bad)
         new = 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
-        if len(new) == 0 or np.abs(new - post).max() < 1e-9:
+        moved, post = np.abs(new - post).max(initial=0), new
+        if moved < 1e-9:
             break
-        post = new
     return post, np.stack([on_good, on_bad])
 
 
@@ -131,6 +134,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         "symbol_share": per("n_symbols", "n_words"), "symbol_char_share": per("n_symbols", "word_chars"), "marked_share": per("n_marked", "n_words"), "repeat_share": per("n_repeat_words", "n_words"), "dup_line_share": per("n_dup_lines", "n_lines"),
         "upper_share": per("n_upper", "n_words"), "exclaim_share": per("n_exclaims", "n_words"), "length_off": F.abs(per("word_chars", "n_words") - 6.0),
         "digit_share": per("n_digits", "word_chars"), "same_share": 1 - per("n_distinct", "n_words"),
+        "stutter_share": per("n_stutters", "n_words"), "shortness": 1 / F.greatest(F.col("n_words"), F.lit(1)),
     }
     vote = lambda s, bad, good: F.when(stats[s] >= bad, F.lit(-1)).when(stats[s] <= good, F.lit(1)).otherwise(F.lit(0))
     voted = table.df.withColumn("votes", F.concat_ws(",", *(vote(*r[1:]).cast("string") for r in RULES)))
