@@ -269,18 +269,6 @@ def test_lm_query_lowers_words(spark, docs):
         assert abs(r.base_score - base) < 1e-4
 
 
-def test_lm_bits_add_up():
-    """After any context the 256 bytes' probabilities sum to one."""
-    import numpy as np
-
-    learner = lm.Learner()
-    learner.feed([prose(k, 200).encode() for k in range(20)])
-    model = lm.Model(learner.counts.astype("f4"), learner.weights, learner.refine)
-    for context in (0, 0x6261206B69, 0xFFFEFDFCFB):
-        key = np.array([(context << 8) | b for b in range(256)], np.uint64)
-        assert abs((2.0 ** model.bits(key)).sum() - 1) < 1e-6
-
-
 def test_toxicity(spark, docs, odd):
     sf = "/root/testdata/sf0.1"
     d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
