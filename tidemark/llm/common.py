@@ -9,9 +9,12 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows and bytes an Arrow batch holds; texts can be long, so batches are short.
 ARROW_ROWS, ARROW_BYTES = 1000, 8 << 20
@@ -57,7 +60,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow with batches short enough for very long texts: the session's limits are set for that, as there is no other way."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
@@ -73,6 +76,44 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema)
 
 
+def passed(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
+    """Every batch of all columns through `fn`, which filters it or replaces columns: nothing is joined or shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield fn(b)
+
+    return map_batches(df, run, df.schema)
+
+
+def replaced(b: pa.RecordBatch, **columns) -> pa.RecordBatch:
+    """The batch with columns of other values, of the types they had."""
+    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else b.column(k) for k, f in enumerate(b.schema)], schema=b.schema)
+
+
+def may_be_among(column: Column, keys: DataFrame, bits: int = 26) -> Column:
+    """False only where the value of `column` is surely none of the one column of `keys`.
+
+    Keys set bits, by hash, of a map of 2 to the `bits`, whatever their number: what may be among them can then be shuffled
+    and joined, and all other rows stay where they are. The map only fills up, and lets more pass, as keys become more.
+    """
+    spark = keys.sparkSession
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    own = F.col(keys.columns[0])
+    words = keys.select(F.shiftright(at(own), 5).cast("int").alias("w"), F.lit(1).cast("long").alias("one"), F.pmod(at(own), F.lit(32)).cast("int").alias("k"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, k)")).alias("b")).toArrow()
+    table = np.zeros(1 << (bits - 5), np.uint32)
+    table[words.column(0).to_numpy()] = words.column(1).to_numpy().astype(np.uint32)
+    sent = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf(T.BooleanType())
+    def there(h: pd.Series) -> pd.Series:
+        x = h.to_numpy()
+        return pd.Series((sent.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1)
+
+    return there(at(column))
+
+
 def components(edges: DataFrame, checkpoint_name: str = "cc") -> DataFrame:
     """Connected components of (a, b) links: returns (node, component), component being the least node reached.
 

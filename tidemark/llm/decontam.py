@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, batch, map_batches, texts
+from .common import Table, batch, map_batches, passed, texts
 
 #: ASCII upper case becomes lower case, other ASCII that isn't a letter or digit a blank, bytes of longer characters stay.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -22,42 +22,49 @@ def words(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_TABLE).split()
 
 
-def windows(item: list[bytes], size: int) -> set[bytes]:
-    if not item:
-        return set()
-    return {b" ".join(item[i : i + size]) for i in range(max(1, len(item) - size + 1))}
-
-
-def build(items: list[tuple[object, bytes]], size: int) -> ahocorasick.Automaton | None:
-    """An automaton over all windows; each knows its number of words and its items."""
-    found: dict[bytes, set] = {}
-    for item, text in items:
-        for w in windows(words(text), size):
-            found.setdefault(w, set()).add(item)
-    if not found:
-        return None
-    a = ahocorasick.Automaton()
-    for w, ids in found.items():  # blanks around it: matches are whole words
-        a.add_word(f" {w.decode('latin-1')} ", (len(w) + 2, w.count(b" ") + 1, tuple(ids)))
-    a.make_automaton()
-    return a
-
-
-def scan(a: ahocorasick.Automaton | None, doc: list[bytes]) -> tuple[np.ndarray, np.ndarray, set]:
-    """First and one-past-last word of each occurrence, and the items with one."""
-    if a is None or not doc:
-        return np.empty(0, np.int64), np.empty(0, np.int64), set()
-    text = (b" " + b" ".join(doc) + b" ").decode("latin-1")
-    ends, sizes, items = [], [], set()
-    for end, (_, n, ids) in a.iter(text):
-        ends.append(end)
-        sizes.append(n)
-        items.update(ids)
-    if not ends:
-        return np.empty(0, np.int64), np.empty(0, np.int64), items
-    blanks = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 32)
-    stop = np.searchsorted(blanks, ends)  # the k-th blank follows word k - 1
-    return stop - np.array(sizes), stop, items
+class Windows:
+    """The automaton of some items' windows. Words are single characters of it, so a state is a word, not a letter.
+
+    Equal windows are one pattern; each knows its number of words and its items. 300,000 windows of ten words, 2 MB of
+    text, take about 180 MB at their peak, so callers bound them.
+    """
+
+    def __init__(self, items: list[tuple[object, bytes]], size: int):
+        self.code: dict[bytes, str] = {}
+        found: dict[str, set] = {}
+        for item, text in items:
+            s = "".join([self._char(w) for w in words(text)])
+            for i in range(max(1, len(s) - size + 1) if s else 0):
+                found.setdefault(s[i : i + size], set()).add(item)
+        self.automaton = ahocorasick.Automaton() if found else None
+        while found:
+            w, ids = found.popitem()
+            self.automaton.add_word(w, (len(w), tuple(ids)))
+        if self.automaton is not None:
+            self.automaton.make_automaton()
+
+    def _char(self, word: bytes) -> str:
+        c = self.code.get(word)
+        if c is None:
+            n = len(self.code) + 1
+            c = self.code[word] = chr(n if n < 0xD800 else n + 0x800)
+        return c
+
+    def scan(self, doc: list[bytes]) -> tuple[np.ndarray, np.ndarray, set]:
+        """First and one-past-last word of each occurrence, and the items with one."""
+        none = np.empty(0, np.int64)
+        if self.automaton is None or not doc:
+            return none, none, set()
+        get = self.code.get
+        stops, sizes, items = [], [], set()
+        for end, (n, ids) in self.automaton.iter("".join([get(w, "\0") for w in doc])):
+            stops.append(end + 1)
+            sizes.append(n)
+            items.update(ids)
+        if not stops:
+            return none, none, items
+        stop = np.array(stops, np.int64)
+        return stop - np.array(sizes), stop, items
 
 
 def char_spans(text: str, first: list[int], last: list[int]) -> list[tuple[int, int]]:
@@ -70,6 +77,46 @@ def char_spans(text: str, first: list[int], last: list[int]) -> list[tuple[int,
     return [(int(at[starts[a]]), int(at[stops[b - 1]])) for a, b in zip(first, last)]
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> list[DataFrame]:
+    """The benchmark's (item, text), dealt into blocks of about `block_bytes`."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    n = max(1, -(-int(total) // block_bytes))
+    return [items] if n == 1 else [items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
+
+
+def _rows(block: DataFrame) -> list[tuple[object, bytes]]:
+    return [(r.item, r.text.encode()) for r in block.collect()]
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 10, block_bytes: int = 2 << 20) -> DataFrame:
+    """The rows of `docs` that `decontaminate` finds clean, with all their columns.
+
+    The text goes through one automaton, and nothing is written or shuffled. A benchmark of several blocks filters one
+    after the other, each of what the last one has left, written between. Null and empty texts stay; repeated rows stay or
+    go together; ids aren't looked at. An empty benchmark keeps all rows, an empty table gives none.
+    """
+    spark, at, previous = docs.sparkSession, docs.columns.index(text_col), None
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
+    for k, block in enumerate(blocks):
+        sent = spark.sparkContext.broadcast(_rows(block))
+        made: list[Windows] = []  # by the task that uses it
+
+        def clean(b: pa.RecordBatch, sent=sent, made=made) -> pa.RecordBatch:
+            if not made:
+                made.append(Windows(sent.value, size))
+            return b.filter(pa.array([not len(made[0].scan(words(t))[0]) for t in texts(b.column(at))], pa.bool_()))
+
+        docs = passed(docs, clean)
+        if k < len(blocks) - 1:
+            table = Table(docs, "decontaminated")
+            docs = table.df
+            if previous is not None:
+                previous.drop()
+            previous = table
+    return docs
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -78,14 +125,15 @@ def decontaminate(
     item_col: str = "item_id",
     item_text_col: str = "text",
     size: int = 10,
-    block_bytes: int = 32 << 20,
+    block_bytes: int = 2 << 20,
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, hit_spans (code points in the original text).
 
-    The benchmark's bytes are summed first. Up to `block_bytes` one automaton goes to every task and one scan answers; a
-    larger benchmark is dealt into blocks of about that many bytes by a hash of its id; documents are written once with a
-    number for each row and scanned once for each block, and a row's hits are merged by its number. The text is never
-    shuffled.
+    The benchmark's bytes are summed first; they bound its windows, as each begins with a word and a blank. Up to
+    `block_bytes` one automaton goes to every task and one scan answers. The block is what a Python worker holds in memory:
+    a larger benchmark, which no worker could hold, is dealt into blocks of about that many bytes by a hash of its id and
+    text; documents are written once with a number for each row and scanned once for each block, and a row's hits are merged
+    by its number. The text is never shuffled.
 
     Nulls: a null text has no words; a benchmark row with a null text or no words has no window; one with a null item_id
     still marks words but is in no list of items. Rows of documents are answered each, whatever the benchmark's size, so
@@ -93,11 +141,9 @@ def decontaminate(
     ignored.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-int(total) // block_bytes))
+    blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    if blocks == 1:
+    if len(blocks) == 1:
         d = d.withColumn("row", F.lit(0).cast("long"))
     else:
         d = Table(d.withColumn("row", F.monotonically_increasing_id()), "numbered").df  # written, as numbers may change when made anew
@@ -109,12 +155,12 @@ def decontaminate(
         sent = spark.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            a = build(sent.value, size)
+            a = Windows(sent.value, size)
             for b in batches:
                 out = []
                 for row, doc_id, raw in zip(b.column(2).to_pylist(), b.column(0).to_pylist(), texts(b.column(1))):
                     doc = words(raw)
-                    first, last, found = scan(a, doc)
+                    first, last, found = a.scan(doc)
                     f, z = merge(first, last)
                     out.append((row, doc_id, len(doc), f, z, sorted(x for x in found if x is not None), [list(s) for s in char_spans(raw.decode(), f, z)] if f else []))
                 yield batch(hit_schema, *([r[i] for r in out] for i in range(7)))
@@ -132,11 +178,10 @@ def decontaminate(
             yield batch(hit_schema, *([r[i] for r in out] for i in range(7)))
 
     hits = None
-    for k in range(blocks):
-        block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        part = matcher([(r.item, r.text.encode()) for r in block.collect()])
+    for block in blocks:
+        part = matcher(_rows(block))
         hits = part if hits is None else hits.unionByName(part)
-    if blocks > 1:
+    if len(blocks) > 1:
         parts = hits.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *(F.flatten(F.collect_list(c)).alias(c) for c in ("first", "last", "items", "hit_spans")))
         hits = map_batches(parts, merged, hit_columns)
     covered = F.aggregate(F.arrays_zip("first", "last"), F.lit(0).cast("long"), lambda acc, x: acc + x["last"] - x["first"])

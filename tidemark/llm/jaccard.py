@@ -5,14 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import Table, batch, components, map_batches, texts
+from .common import Table, batch, components, map_batches, may_be_among, texts
 from .hashing import chunks, hash_texts, rolling
 
 _LEAF = 24
@@ -412,8 +410,8 @@ def jaccard_components(
     reps = nodes.df.select("node", "rep", "n")
     wanted = Table(reps.join(components(edges.df, "regions").withColumnRenamed("component", "region"), "node"), "wanted")
     edges.drop()
-    # rows without an id can't be asked for by it: such nodes are asked for by the least row hash that has them
-    asked = _asked(d, wanted.df.where("rep is not null").select(F.col("rep").alias("doc_id")))
+    # the texts of nodes are asked for by an id that has them, and those that no id has by their sets
+    asked = d.where("doc_id is not null").where(may_be_among(F.col("doc_id"), wanted.df.where("rep is not null").select("rep")))
     by_id = asked.join(wanted.df, asked["doc_id"] == wanted.df["rep"]).select("region", "node", "n", "text")
     members = by_id
     if wanted.df.where("rep is null").take(1):
@@ -462,24 +460,6 @@ def jaccard_components(
     return sets.join(result.df, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _asked(docs: DataFrame, ids: DataFrame, bits: int = 26) -> DataFrame:
-    """The documents whose id's bit is set by one of `ids`: all that are asked for, and few others, so that their texts
-    alone are shuffled. The bit map has a fixed size; it only fills up, and then filters less, as ids become more."""
-    spark = docs.sparkSession
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
-    words = ids.select(F.shiftright(at, 5).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id), 32) as int))").alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
-    table = np.zeros(1 << (bits - 5), np.uint32)
-    table[words.column(0).to_numpy()] = words.column(1).to_numpy().astype(np.uint32)
-    sent = spark.sparkContext.broadcast(table)
-
-    @F.pandas_udf(T.BooleanType())
-    def there(h: pd.Series) -> pd.Series:
-        x = h.to_numpy()
-        return pd.Series((sent.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1)
-
-    return docs.where("doc_id is not null").where(there(at))
-
-
 def _without_ids(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """region, node, n and a text of nodes that only rows with a null doc_id have."""
     schema = pa.schema([("node", pa.int64()), ("text", pa.string())])

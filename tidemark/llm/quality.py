@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, Table, batch, map_batches, texts
+from .common import WHITE, Table, batch, map_batches, passed, texts
 
 SYMBOLS = b"#*$%&|<>"
 #: Bytes inside a character: all others begin one.
@@ -108,41 +108,79 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 500) -> tuple[np
     return post, np.stack([on_good, on_bad])
 
 
+def vote(m: tuple[int, ...]) -> tuple[int, ...]:
+    """The rules' votes on what `measure` gives."""
+    x = dict(zip(_STATS, m))
+    words, chars, lines = max(1, x["n_words"]), max(1, x["word_chars"]), max(1, x["n_lines"])
+    shares = {
+        "symbol_share": x["n_symbols"] / words, "symbol_char_share": x["n_symbols"] / chars, "marked_share": x["n_marked"] / words, "repeat_share": x["n_repeat_words"] / words,
+        "dup_line_share": x["n_dup_lines"] / lines, "upper_share": x["n_upper"] / words, "exclaim_share": x["n_exclaims"] / words, "length_off": abs(x["word_chars"] / words - 6.0),
+        "digit_share": x["n_digits"] / chars, "same_share": 1 - x["n_distinct"] / words, "stutter_share": x["n_stutters"] / words, "shortness": 1 / words,
+    }
+    return tuple(-1 if shares[s] >= bad else 1 if shares[s] <= good else 0 for _, s, bad, good in RULES)
+
+
+def _votes(m: tuple[int, ...]) -> str:
+    return ",".join(map(str, vote(m)))
+
+
+def fails(m: tuple[int, ...], min_words: int, max_repeat_percent: int) -> bool:
+    """The base rules."""
+    return m[0] < min_words or 100 * m[4] > max_repeat_percent * m[0]
+
+
+def posteriors(voted: DataFrame) -> dict[str, float]:
+    """Votes as text to the posterior probability of good, for every pattern of votes in the column `votes`."""
+    counted = voted.groupBy("votes").count().collect()  # 3 to the number of rules at most, however many texts there are
+    counted.sort(key=lambda r: r.votes)
+    patterns = np.array([[int(x) for x in r.votes.split(",")] for r in counted], float).reshape(-1, len(RULES))
+    post, _ = fit(patterns, np.array([r["count"] for r in counted], float))
+    return {r.votes: float(p) for r, p in zip(counted, post)}
+
+
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, posterior, votes.
 
-    Each rule of RULES votes +1, -1 or 0 on a statistic of the whole text. The votes of all documents are counted by
-    pattern (3 to the number of rules at most, however many documents there are), and expectation-maximisation over those
-    counts gives the rules' accuracies and each pattern's posterior probability of good quality. kept: the base rules hold
-    and that posterior is at least `threshold`.
+    Each rule of RULES votes +1, -1 or 0 on a statistic of the whole text. The votes of all documents with `min_words` or
+    more are counted by pattern, and expectation-maximisation over those counts gives the rules' accuracies and each
+    pattern's posterior probability of good quality. kept: the base rules hold and that posterior is at least `threshold`.
 
     Null and empty texts have no words and fail the base. Rows with null ids and repeated rows are answered each. An
     empty table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
-    schema = pa.schema([("doc_id", pa.int64()), *((s, pa.int64()) for s in _STATS)])
+    schema = pa.schema([("doc_id", pa.int64()), *((s, pa.int64()) for s in _STATS), ("votes", pa.string()), ("base_failed", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [measure(t) for t in texts(b.column(1))]
-            yield batch(schema, b.column(0), *([r[i] for r in rows] for i in range(len(_STATS))))
+            yield batch(schema, b.column(0), *([r[i] for r in rows] for i in range(len(_STATS))), [_votes(r) for r in rows], [fails(r, min_words, max_repeat_percent) for r in rows])
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = Table(map_batches(d, run, "doc_id long, " + ", ".join(f"{s} long" for s in _STATS)), "quality")
-    per = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    stats = {
-        "symbol_share": per("n_symbols", "n_words"), "symbol_char_share": per("n_symbols", "word_chars"), "marked_share": per("n_marked", "n_words"), "repeat_share": per("n_repeat_words", "n_words"), "dup_line_share": per("n_dup_lines", "n_lines"),
-        "upper_share": per("n_upper", "n_words"), "exclaim_share": per("n_exclaims", "n_words"), "length_off": F.abs(per("word_chars", "n_words") - 6.0),
-        "digit_share": per("n_digits", "word_chars"), "same_share": 1 - per("n_distinct", "n_words"),
-        "stutter_share": per("n_stutters", "n_words"), "shortness": 1 / F.greatest(F.col("n_words"), F.lit(1)),
-    }
-    vote = lambda s, bad, good: F.when(stats[s] >= bad, F.lit(-1)).when(stats[s] <= good, F.lit(1)).otherwise(F.lit(0))
-    voted = table.df.withColumn("votes", F.concat_ws(",", *(vote(*r[1:]).cast("string") for r in RULES)))
-    # empty texts fail the base in any case and would only blur the rules
-    counted = voted.where(F.col("n_words") >= min_words).groupBy("votes").count().collect()
-    patterns = np.array([[int(x) for x in r.votes.split(",")] for r in counted], float).reshape(-1, len(RULES))
-    post, _ = fit(patterns, np.array([r["count"] for r in counted], float))
-    known = spark.createDataFrame([(r.votes, float(p)) for r, p in zip(counted, post)], "votes string, posterior double")
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    out = voted.join(F.broadcast(known), "votes", "left").withColumn("base_failed", failed)
+    voted = Table(map_batches(d, run, "doc_id long, " + ", ".join(f"{s} long" for s in _STATS) + ", votes string, base_failed boolean"), "quality")
+    known = posteriors(voted.df.where(F.col("n_words") >= min_words))
+    known = spark.createDataFrame(list(known.items()), "votes string, posterior double")
+    out = voted.df.join(F.broadcast(known), "votes", "left")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(F.col("posterior") >= threshold, F.lit(False))).alias("kept"), "posterior", "votes")
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, min_words: int = 20, max_repeat_percent: int = 30) -> DataFrame:
+    """The rows of `docs` that `quality` keeps, with all their columns.
+
+    Texts are read twice, once for the votes and once to filter, and never written or shuffled. Null and empty texts go;
+    repeated rows stay or go together; ids aren't looked at. An empty table gives no rows.
+    """
+    schema = pa.schema([("votes", pa.string())])
+
+    def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield batch(schema, [_votes(m) for m in map(measure, texts(b.column(0))) if m[0] >= min_words])
+
+    sent = docs.sparkSession.sparkContext.broadcast(posteriors(map_batches(docs.select(F.col(text_col).cast("string").alias("text")), votes, "votes string")))
+    at = docs.columns.index(text_col)
+
+    def good(text: bytes | None) -> bool:
+        m = measure(text)
+        return not fails(m, min_words, max_repeat_percent) and sent.value.get(_votes(m), 0.0) >= threshold
+
+    return passed(docs, lambda b: b.filter(pa.array([good(t) for t in texts(b.column(at))], pa.bool_())))

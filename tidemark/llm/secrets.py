@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, map_batches
+from .common import batch, map_batches, passed, replaced
 
 #: The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -75,6 +75,40 @@ def scan(text: str, encode, min_ratio: float) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def _replaced(text: str | None, spans: list[tuple[int, int, int]], mark: str) -> str | None:
+    """The text with every run of overlapping spans replaced once."""
+    if not text or not spans:
+        return text
+    parts, at = [], 0
+    for a, _, z in spans:
+        if z > at:
+            parts += [text[at:a], mark] if a >= at else []
+            at = z
+    return "".join([*parts, text[at:]])
+
+
+def redact(docs: DataFrame, vocabulary: tuple[str, str], text_col: str = "text", length_col: str | None = None, min_ratio: float = 2.0, mark: str = "[SECRET]") -> DataFrame:
+    """All rows and columns of `docs`, with the spans of `find_secrets` replaced by `mark` in the text.
+
+    `length_col`, where it is given and there, becomes the text's number of code points in the rows that change. Null and
+    empty texts stay as they are, ids aren't looked at, repeated rows change alike, and an empty table gives no rows.
+    """
+    names = docs.columns
+    at = names.index(text_col)
+    length_at = names.index(length_col) if length_col in names else None
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        encode = encoding(*vocabulary).encode_ordinary
+        before = b.column(at).to_pylist()
+        after = [_replaced(t, scan(t, encode, min_ratio), mark) if t else t for t in before]
+        new = {text_col: after}
+        if length_at is not None:
+            new[length_col] = [n if x == y else len(y) for n, x, y in zip(b.column(length_at).to_pylist(), before, after)]
+        return replaced(b, **new)
+
+    return passed(docs, run)
+
+
 def find_secrets(docs: DataFrame, vocabulary: tuple[str, str], id_col: str = "doc_id", text_col: str = "text", min_ratio: float = 2.0, redact: str | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random; with `redact`, also the text with spans replaced.
 
@@ -96,14 +130,7 @@ def find_secrets(docs: DataFrame, vocabulary: tuple[str, str], id_col: str = "do
                 n = [sum(k == x for _, k, _ in spans) for x in range(4)]
                 named = [f"{KINDS[k]}:{a}:{z}" for a, k, z in spans]
                 base = ",".join(x for x, (_, k, _) in zip(named, spans) if k < 3)
-                clean = text if redact is not None else None
-                if clean and spans:
-                    parts, at = [], 0
-                    for a, _, z in spans:
-                        if z > at:
-                            parts += [text[at:a], redact] if a >= at else []
-                            at = z
-                    clean = "".join([*parts, text[at:]])
+                clean = _replaced(text, spans, redact) if redact is not None else None
                 out.append((doc_id, *n[:3], hashlib.sha256(base.encode()).hexdigest(), ",".join(named), n[3], clean))
             yield batch(schema, *([r[i] for r in out] for i in range(8)))
 
