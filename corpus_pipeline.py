@@ -1,8 +1,9 @@
 """A training-corpus pipeline: quality rules, near duplicates, benchmark decontamination, secrets, packing.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return the
-columns of documents. A row is known by a hash of its id and text, so null ids and ids that repeat with other texts are
-decided one by one, and rows that repeat in full alike.
+columns of documents, in any order of rows. Three of them read each row and keep, change or drop it where it is. Only the
+near-duplicate stage compares rows: it knows them by a hash of id and text, so null ids and ids that repeat with other
+texts are decided one by one.
 """
 
 from __future__ import annotations
@@ -11,62 +12,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, jaccard, packing, quality, secrets
-from tidemark.llm.common import Table, read_table
+from tidemark.llm.common import Table, may_be_among, read_table
 from tidemark.llm.queries import PACK_VOCABULARY, SCAN_VOCABULARY
 
-
-#: Names that no column of documents has.
-ROW, REDACTED = "__tidemark_row__", "__tidemark_redacted__"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
+#: A name that no column of documents has.
+ROW = "__tidemark_row__"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go."""
-    d = _keyed(docs)
-    kept = quality.quality(d, id_col=ROW).where("kept").select(F.col("doc_id").alias(ROW)).distinct()
-    return d.join(kept, ROW, "left_semi").select(docs.columns)
+    """Documents that the rules reject go; so do null and empty texts, which have no words. Repeated rows stay or go together."""
+    return quality.keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group that five-word shingles of similarity 0.8 or more connect, the row of the least id stays, nulls last.
+    """Of each group that links of five-word shingles and similarity 0.8 or more connect, the row of the least id stays.
+
+    Null ids come last, and of rows with one id and other texts in a group that with the least row hash stays. Rows that
+    repeat in full are one. Rows without words (null or empty texts) are groups of their own. So a text is lost only to a
+    row of its group: ids that repeat with unlike texts, and rows without an id, cost nothing. An empty table stays empty.
 
-    Rows are compared by their key, those without an id as any other; rows that repeat in full are one. Of rows that
-    repeat an id with other texts one stays, the one with the fewest others in its group, as those can stand for it.
+    Only rows that may have to go, or repeat, are shuffled with their texts; the others stay where they are.
     """
-    d = _keyed(docs)
+    d = docs.withColumn(ROW, F.xxhash64("doc_id", "text"))
     groups = jaccard.jaccard_components(d, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id").distinct()
-    rows = Table(d.select("doc_id", ROW).distinct().join(groups, ROW), "row-groups").df
-    repeated = rows.join(rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "doc_id")
-    sized = repeated.join(rows.groupBy("component_id").count(), "component_id")
-    chosen = sized.groupBy("doc_id").agg(F.min(F.struct("count", ROW))[ROW].alias(ROW)).select(ROW)
-    others = repeated.join(chosen, ROW, "left_anti").select(ROW)
+    ids = Table(d.groupBy(ROW).agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("times")), "row-ids")
+    rows = Table(ids.df.join(groups, ROW), "row-groups")
+    ids.drop()
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", ROW)
-    least = rows.join(others, ROW, "left_anti").groupBy("component_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW)
-    return d.join(least, ROW, "left_semi").dropDuplicates([ROW]).select(docs.columns)
+    least = Table(rows.df.groupBy("component_id").agg(F.min(order)[ROW].alias(ROW)).select(ROW), "survivors")
+    doubtful = rows.df.where("times = 1").join(least.df, ROW, "left_anti").select(ROW).unionByName(rows.df.where("times > 1").select(ROW))
+    maybe = d.withColumn("__tidemark_maybe__", may_be_among(F.col(ROW), doubtful))
+    judged = maybe.where("__tidemark_maybe__").join(least.df, ROW, "left_semi").dropDuplicates([ROW])
+    rows.drop()
+    return maybe.where("not __tidemark_maybe__").unionByName(judged.select(maybe.columns)).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold ten consecutive words of a benchmark item, or a shorter item whole, go."""
-    d = _keyed(docs)
-    found = decontam.decontaminate(d, read_table(spark, sf_dir, "benchmark"), id_col=ROW)
-    return d.join(found.where("contaminated").select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").select(docs.columns)
+    """Documents that hold ten consecutive words of a benchmark item, or a shorter item whole, go. Null and empty texts stay."""
+    return decontam.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by [SECRET]; n_chars follows."""
-    d = _keyed(docs)
-    found = Table(secrets.find_secrets(d, SCAN_VOCABULARY, id_col=ROW, redact="[SECRET]").where("spans <> ''").select(F.col("doc_id").alias(ROW), F.col("redacted").alias(REDACTED)), "redacted")
-    out = d.join(found.df.dropDuplicates([ROW]), ROW, "left")
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col(REDACTED).isNull(), F.col("n_chars")).otherwise(F.length(REDACTED)).cast(docs.schema["n_chars"].dataType))
-    return out.withColumn("text", F.coalesce(REDACTED, "text")).select(docs.columns)
+    """Secrets are replaced by [SECRET], and n_chars follows; every row stays, null and empty texts as they are."""
+    return secrets.redact(docs, SCAN_VOCABULARY, length_col="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of 2048-token sequences, with their token ids."""
+    """Pieces of 2048-token sequences, with their token ids. A null text is an empty one: one end token."""
     return packing.pack(docs, PACK_VOCABULARY)
 
 
