@@ -6,13 +6,11 @@ from tests.llm.test_llm import prose
 
 
 def test_repeated_and_missing_ids(spark):
+    """Each group keeps one row, that of its least id; unlike texts of one id are rows of groups of their own."""
     a, b, c, d = (prose(300 + k, 80) for k in range(4))
-    rows = [(3, a), (3, b), (9, b), (None, c), (None, c + " end"), (None, d), (20, d), (21, d + " end")]
-    for _ in range(2):
-        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-        got = sorted((r.doc_id or 0, r.text) for r in cp.near_duplicates(spark, docs, "").collect())
-        assert [x for x in got if x[0]] == [(3, a), (9, b), (20, d)]
-        assert len(got) == 4 and got[0][1] in (c, c + " end")
-        rows = [(i, t) for i, t in rows][::-1]
-        if _ == 0:
-            rows = [(i, {a: b, b: a}.get(t, t)) if i != 9 else (9, b) for i, t in rows]
+    rows = [(3, a), (3, b), (9, b), (None, c), (None, c + " end"), (None, d), (20, d), (21, d + " end"), (20, d), (5, None), (5, None), (6, "")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = sorted(((r.doc_id or 0, r.text or "") for r in cp.near_duplicates(spark, docs, "").collect()))
+        assert [x for x in got if x[0]] == [(3, min(a, b)), (3, max(a, b)), (5, ""), (6, ""), (20, d)]
+        assert len(got) == 6 and got[0][1] in (c, c + " end")
