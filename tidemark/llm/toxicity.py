@@ -15,9 +15,7 @@ from pyspark.sql import functions as F
 from .common import batch, map_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
-#: Common English insults, the vote of a general word list.
-INSULTS = ("clown", "disgusting", "dumb", "fool", "garbage", "idiot", "idiots", "imbecile", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "ugly", "vermin", "worthless")
-_AIMED = re.compile(r"\b(?:you|he|she|they)\s+(?:are|is|re)\s+(?:such\s+)?(?:an?\s+)?(\w+)", re.I)
+_MARKS = re.compile(r"[#*$%&|<>@]")
 
 
 def word_features(word: str) -> list[int]:
@@ -42,73 +40,149 @@ def counted(words: dict[str, int], of=word_features) -> dict[int, int]:
     return out
 
 
-def patterns(text: str, words: list[str]) -> tuple[int, int, int]:
-    """Votes of the patterns (1, 0 or -1): an insult from the list, an insult aimed at someone, shouting."""
-    there = set(words)
-    listed = any(w in there for w in INSULTS)
-    aimed = listed and any(m.group(1).lower() in INSULTS for m in _AIMED.finditer(text))
-    return int(listed), int(aimed), -1 if len(words) < 5 else 0
+#: The pattern voters, in the order of `patterns`: they need no language.
+PATTERNS = ("shouts", "exclaims", "repeats a letter", "marks words", "hardly a text")
+_DRAWN_OUT = re.compile(r"([^\W\d_])\1{3}")
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 100) -> np.ndarray:
-    """Posterior of label 1 for rows of votes (-1, 0, 1), by expectation-maximisation.
+def patterns(text: str, words: list[str]) -> tuple[int, ...]:
+    """Votes of the patterns: 1 for toxic, -1 against, 0 to abstain."""
+    n = max(1, len(words))
+    return (
+        int(sum(len(w) > 2 and w.isupper() for w in _WORD.findall(text)) >= max(3, n // 10)),
+        int(text.count("!") >= max(3, n // 10)),
+        int(_DRAWN_OUT.search(text) is not None),
+        int(len(_MARKS.findall(text)) >= n // 2 + 3),
+        -int(len(words) < 5),
+    )
 
-    Each voter has a probability for each vote under each label. Voters that agree more than the labels explain count
-    less: a voter's log-odds are divided by one plus its positive correlations with the others, given the label. The last
-    voter is the given label; it starts the estimate.
+
+def lexicons(doc: np.ndarray, col: np.ndarray, y: np.ndarray, n_features: int, most: int) -> list[int]:
+    """The features that make lexicon voters: a stem or word each, so what a voter votes for has a name.
+
+    The most telling one of the toxic rows comes first; rows that a voter has found count half for the next, so voters go on
+    to other words and languages. Telling: in four standard deviations more toxic rows than by chance, half of its rows or more.
+    A feature that is found in the same rows as a voter, within a tenth, is that voter's word cut otherwise, and is left out.
+    """
+    rate, tot, pos = y.mean(), np.bincount(col, minlength=n_features), np.bincount(col, y[doc], n_features)
+    spread = np.sqrt(tot * rate * (1 - rate) + 1e-9)
+    free = ((pos - tot * rate) / spread > 4) & (pos >= 0.5 * tot)
+    keep = free[col]
+    doc, col = doc[keep], col[keep]
+    weight, chosen = y.astype(float).copy(), []
+    while free.any() and len(chosen) < most:
+        gain = np.where(free, (np.bincount(col, weight[doc], n_features) - tot * rate * weight.sum() / max(1.0, y.sum())) / spread, -np.inf)
+        best = int(gain.argmax())
+        if gain[best] <= 2:
+            break
+        chosen.append(best)
+        rows = np.unique(doc[col == best])
+        there = np.zeros(len(y), bool)
+        there[rows] = True
+        both = np.bincount(col, there[doc], n_features)
+        free &= both < 0.9 * np.maximum(tot, len(rows))
+        free[best] = False
+        weight[rows] *= 0.5
+    return chosen
+
+
+def voted(doc: np.ndarray, col: np.ndarray, chosen: list[int], patterns: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Votes (rows, voters): lexicons, how many of them agree, patterns, and the given label last."""
+    votes = np.zeros((len(y), len(chosen) + 1 + patterns.shape[1] + 1), np.int64)
+    for j, f in enumerate(chosen):
+        votes[doc[col == f], j] = 1
+    number = votes.sum(1)
+    votes[:, len(chosen)] = np.where(number >= 2, 1, np.where(number == 0, -1, 0))
+    votes[:, len(chosen) + 1 : -1] = patterns
+    votes[:, -1] = np.where(y > 0, 1, -1)
+    return votes
+
+
+def tree_of(joint: np.ndarray) -> list[int]:
+    """Each voter's parent: the maximum spanning tree of the voters' mutual information given the label, from the last one.
+
+    joint: (label, voter, vote, voter, vote) weights. Ties go to the lower voter; the root's parent is itself.
+    """
+    p = joint / max(1e-12, joint[:, 0, :, 0, :].sum())
+    own = np.einsum("yjvjv->yjv", p)
+    of_label = own.sum(2)[:, :1, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        ratio = p * of_label[:, :, :, None, None] / (own[:, :, :, None, None] * own[:, None, None, :, :])
+        info = np.where(p > 0, p * np.log(ratio), 0).sum((0, 2, 4)).round(12)
+    m = info.shape[0]
+    parent, best, left = [m - 1] * m, info[m - 1].copy(), set(range(m - 1))
+    while left:
+        j = max(sorted(left), key=lambda x: best[x])
+        left.remove(j)
+        for k in left:
+            if info[j, k] > best[k]:
+                best[k], parent[k] = info[j, k], j
+    return parent
+
+
+def label_model(votes: np.ndarray, prior: float, rounds: int = 60, smooth: float = 5.0) -> tuple[np.ndarray, list[int]]:
+    """Posterior of label 1 for rows of votes (-1, 0, 1), and the voters' tree, by expectation-maximisation.
+
+    The generative model: a label is drawn, then each voter's vote given the label and the vote of one other voter, its
+    parent. So every voter has a probability of each vote under each label (its accuracy), and each edge of the tree a table
+    of how its two voters agree beyond what the label explains (their correlation); all are estimated. The tree is the one of
+    the most information given the label, found again while the posterior still moves in the first rounds. The last voter
+    is the given label: it is the root, and starts the estimate. Tables lean towards no correlation by the weight of
+    `smooth` rows: with less, a few rows that label 0 has wrongly gained make what they share usual there, and more follow.
     """
     n, m = votes.shape
-    hot = np.stack([votes == v for v in (-1, 0, 1)]).astype(float)  # 3, n, m
-    post = np.clip((votes[:, -1] > 0) * 0.9 + 0.05, 0, 1)
-    weight = np.ones(m)
+    hot = np.zeros((n, m, 3))
+    hot[np.arange(n)[:, None], np.arange(m)[None], votes + 1] = 1
+    flat = hot.reshape(n, 3 * m)
+    post = np.where(votes[:, -1] > 0, 0.95, 0.05)
+    parent: list[int] = []
     for r in range(rounds):
-        p1 = (np.einsum("knm,n->km", hot, post) + 0.5) / (post.sum() + 1.5)
-        p0 = (np.einsum("knm,n->km", hot, 1 - post) + 0.5) / ((1 - post).sum() + 1.5)
-        if r % 10 == 5:
-            shown = (votes != 0).astype(float)
-            left = shown - np.outer(post, (shown * post[:, None]).sum(0) / max(1e-9, post.sum())) - np.outer(1 - post, (shown * (1 - post)[:, None]).sum(0) / max(1e-9, (1 - post).sum()))
-            sd = np.sqrt((left**2).mean(0)) + 1e-9
-            corr = (left.T @ left) / n / np.outer(sd, sd)
-            np.fill_diagonal(corr, 0)
-            weight = 1 / (1 + np.clip(corr, 0, 1).sum(1))
-        odds = np.log(prior / (1 - prior)) + np.einsum("knm,km,m->n", hot, np.log(p1 / p0), weight)
+        joint = np.stack([(flat * w[:, None]).T @ flat for w in (1 - post, post)]).reshape(2, m, 3, m, 3)
+        if r in (0, 3, 6):
+            parent = tree_of(joint)
+        single = np.einsum("yjvjv->yjv", joint)
+        alone = (single + 0.5) / (single.sum(2, keepdims=True) + 1.5)
+        odds = np.full(n, np.log(prior / (1 - prior)))
+        for j, of in enumerate(parent):
+            if of == j:
+                odds += np.log(alone[1, j] / alone[0, j])[votes[:, j] + 1]
+            else:
+                given = (joint[:, of, :, j, :] + smooth * alone[:, j][:, None, :]) / (single[:, of][:, :, None] + smooth)
+                odds += np.log(given[1] / given[0])[votes[:, of] + 1, votes[:, j] + 1]
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        if r > 10 and np.abs(new - post).max() < 1e-6:
+        moved, post = np.abs(new - post).max(), new
+        if r > 6 and moved < 1e-6:
             break
-        post = new
-    return post
+    return post, parent
 
 
 def train(
-    features: np.ndarray, lengths: np.ndarray, patterns: np.ndarray, y: np.ndarray, lexicon_size: int = 400, voters: int = 12, steps: int = 1000, l2: float = 1e-5, rate_of_change: float = 0.1, positive: float = 2.0
+    features: np.ndarray, lengths: np.ndarray, patterns: np.ndarray, y: np.ndarray, voters: int = 32, steps: int = 1000, l2: float = 1e-5, rate_of_change: float = 0.1, positive: float = 2.0, rare: int = 8
 ) -> tuple[dict[int, float], float]:
-    """Weights by feature and the bias. features: those of all rows, one after the other (32 bits); lengths: of each row."""
+    """Weights by feature and the bias. features: those of all rows, one after the other (32 bits); lengths: of each row.
+
+    Features in fewer than `rare` rows tell nothing and are most of all. They go in two steps, first by counts of a fixed
+    number of cells, so that memory stays near that of the features themselves.
+    """
     n = len(y)
     if not n or y.min() == y.max():
         share = (y.sum() + 0.5) / (n + 1)
         return {}, float(np.log(share / (1 - share)))
     doc = np.repeat(np.arange(n, dtype=np.int32), lengths)
+    cell = features & np.int32((1 << 22) - 1)
+    keep = np.bincount(cell, minlength=1 << 22)[cell] >= rare
+    del cell
+    doc, features = doc[keep], features[keep]
     ids, col, tot = np.unique(features, return_inverse=True, return_counts=True)
-    often = tot >= 8  # rarer features tell nothing and are most of all
+    often = tot >= rare
     keep = often[col]
     doc, col = doc[keep], (np.cumsum(often) - 1)[col[keep]].astype(np.int32)
     ids, tot = ids[often], tot[often]
-    pos = np.bincount(col, y[doc], len(ids))
     rate = y.mean()
-    z = (pos - tot * rate) / np.sqrt(tot * rate * (1 - rate) + 1e-9)
-    # lexicon voters: the most telling features, each in one voter; and one for how many there are
-    lexicon = [i for i in np.argsort(-z)[:lexicon_size] if z[i] > 4 and pos[i] >= 0.5 * tot[i]]
-    of = np.full(len(ids), -1)
-    of[lexicon] = np.arange(len(lexicon)) % voters
-    votes = np.zeros((n, voters + 5))
-    hit = of[col] >= 0
-    votes[doc[hit], of[col][hit]] = 1
-    number = np.bincount(doc[hit], minlength=n)
-    votes[:, voters] = np.where(number >= 2, 1, np.where(number == 0, -1, 0))
-    votes[:, voters + 1 : voters + 4] = patterns
-    votes[:, -1] = np.where(y > 0, 1, -1)
-    q = label_model(votes, rate)
+    votes = voted(doc, col, lexicons(doc, col, y, len(ids), voters), patterns, y)
+    q, _ = label_model(votes, rate)
     # the linear classifier: logistic regression on soft labels, features that tell something
+    z = (np.bincount(col, y[doc], len(ids)) - tot * rate) / np.sqrt(tot * rate * (1 - rate) + 1e-9)
     chosen = np.flatnonzero(np.abs(z) > 4)
     at = np.full(len(ids), -1)
     at[chosen] = np.arange(len(chosen))
@@ -128,45 +202,56 @@ def train(
     return {int(ids[i]) & 0xFFFFFFFF: float(x) for i, x in zip(chosen[big], w[big])}, float(bias)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 4, held_out_is: int = 2, sample_rows: int = 8000, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score (0 to 1), predicted.
+def features_of(text: str | None) -> tuple[np.ndarray, tuple[int, ...]]:
+    """A text's distinct features as 32-bit numbers, and the votes of the patterns."""
+    words = _WORD.findall((text or "").lower())
+    times = counted(Counter(words))
+    all_of = [*times, *(level(f, k) for f, c in times.items() if c > 1 for k in LEVELS if c >= k)]
+    return np.unique(np.array(all_of, np.uint32)).view(np.int32), patterns(text or "", words)
 
-    Learns from labelled rows that aren't held out (crc32 of the id as text, mod `held_out_of`, is not `held_out_is`): the
-    `sample_rows` of them that come first by a hash of the id, a documented bound that keeps the fit on the driver small.
-    Voters are word-list groups mined from those rows, a general list of insults, and patterns. The score reads the whole
-    text and nothing else.
 
-    Null and empty texts get the score of a text without any known feature. A null id counts as an empty one and isn't
-    held out. Labels that are null are ignored; of several for a document the highest holds. Without labels all scores
-    are one half. Repeated rows are answered each; other columns are ignored.
-    """
+def _is_held(c, of: int, at: int):
+    return F.coalesce(F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(of)) == at, F.lit(False))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 4, held_out_is: int = 2, sample_rows: int = 8000) -> tuple[dict[int, float], float]:
+    """The classifier's weights by feature, and its bias: see toxicity."""
     spark = docs.sparkSession
-    held = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(held_out_of)) == held_out_is, F.lit(False))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     labelled = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")
-    labelled = labelled.where(~held(F.col("doc_id"))).groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    labelled = labelled.where(~_is_held(F.col("doc_id"), held_out_of, held_out_is)).groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = spark.createDataFrame([tuple(r) for r in labelled.collect()], "doc_id long, y int")  # at most sample_rows
     schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.int32())), ("votes", pa.list_(pa.int32())), ("y", pa.int32())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found, votes = [], []
-            for text in b.column(1).to_pylist():
-                words = _WORD.findall((text or "").lower())
-                times = counted(Counter(words))
-                all_of = [*times, *(level(f, k) for f, c in times.items() if c > 1 for k in LEVELS if c >= k)]
-                found.append(np.unique(np.array(all_of, np.uint32)).view(np.int32))
-                votes.append(list(patterns(text or "", words)))
-            yield batch(schema, b.column(0), found, votes, b.column(2))
+            found = [features_of(t) for t in b.column(1).to_pylist()]
+            yield batch(schema, b.column(0), [x[0] for x in found], [list(x[1]) for x in found], b.column(2))
 
     sample = map_batches(d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), extract, "doc_id long, features array<int>, votes array<int>, y int")
     sample = sample.orderBy("doc_id", F.xxhash64("features")).drop("doc_id").toArrow().combine_chunks()
-    rows = sample.num_rows
-    f = sample.column(0).combine_chunks() if rows else None
-    arrays = (f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()), np.array(sample.column(1).to_pylist()), sample.column(2).to_numpy().astype(float)) if rows else (np.empty(0, np.int32), np.empty(0, np.int64), np.empty((0, 3)), np.empty(0))
-    weights = train(*arrays)
-    del sample, f, arrays
-    model = spark.sparkContext.broadcast(weights)
+    if not sample.num_rows:
+        return train(np.empty(0, np.int32), np.empty(0, np.int64), np.empty((0, len(PATTERNS)), np.int64), np.empty(0))
+    f = sample.column(0).combine_chunks()
+    return train(f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()), np.array(sample.column(1).to_pylist()), sample.column(2).to_numpy().astype(float))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 4, held_out_is: int = 2, sample_rows: int = 8000, threshold: float = 0.3) -> DataFrame:
+    """doc_id, held_out, score (0 to 1), predicted.
+
+    Learns from labelled rows that aren't held out (crc32 of the id as text, mod `held_out_of`, is not `held_out_is`): the
+    `sample_rows` of them that come first by a hash of the id, a documented bound that keeps the fit on the driver small.
+    Voters are lexicons mined from those rows, a word or stem each (see lexicons), how many of them agree, patterns, and the
+    given label; the label model's posterior (see label_model) trains a logistic regression on words and stems. The score
+    reads the whole text and nothing else.
+
+    Null and empty texts get the score of a text without any known feature. A null id counts as an empty one and isn't
+    held out. Labels that are null are ignored; of several for a document the highest holds. Without labels all scores
+    are one half. Repeated rows are answered each; other columns are ignored.
+    """
+    spark = docs.sparkSession
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    model = spark.sparkContext.broadcast(fit(docs, labels, id_col, text_col, label_col, held_out_of, held_out_is, sample_rows))
     out_schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,4 +276,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 scores.append(1 / (1 + np.exp(-np.clip(total, -30, 30))))
             yield batch(out_schema, b.column(0), b.column(1), np.array(scores, float), np.array([s >= threshold for s in scores], np.int32))
 
-    return map_batches(d.select("doc_id", held(F.col("doc_id")).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(d.select("doc_id", _is_held(F.col("doc_id"), held_out_of, held_out_is).alias("held_out"), "text"), score, "doc_id long, held_out boolean, score double, predicted int")
