@@ -107,10 +107,10 @@ def document_frequency(tokens: DataFrame) -> np.ndarray:
     return out
 
 
-class _Block:
+class Block:
     """The inverted index of one bounded block of documents, and those that are still unused."""
 
-    def __init__(self, parts: list[np.ndarray], idf: np.ndarray, mean: float, query_terms: int, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, parts: list[np.ndarray], idf: np.ndarray, mean: float, query_terms: int, candidates: int, k1: float = 1.2, b: float = 0.75):
         n = len(parts)
         lengths = np.array([len(p) for p in parts], np.int64)
         key = (np.repeat(np.arange(n, dtype=np.uint32), lengths) << np.uint32(16)) | np.concatenate(parts).astype(np.uint32)
@@ -127,19 +127,35 @@ class _Block:
         order = np.argsort(tok, kind="stable")
         self.post_doc, self.post_weight = doc[order], weight[order]
         self.post_at = np.searchsorted(tok[order], np.arange(_VOCABULARY + 1))
-        self.unused, self.query_terms, self.n = np.ones(n, bool), query_terms, n
+        self.unused, self.query_terms, self.candidates, self.n = np.ones(n, bool), query_terms, candidates, n
+        self.asked = np.zeros(_VOCABULARY, bool)
 
     def neighbours(self, seed: int) -> np.ndarray:
-        """BM25 of every unused document for the seed's most telling terms."""
+        """BM25 of the unused documents for the seed's terms.
+
+        The seed's `query_terms` most telling terms find the `candidates` best documents, which are then scored by all
+        terms. The others keep the score by the first terms, which is never more than their own.
+        """
         a, z = self.doc_at[seed], self.doc_at[seed + 1]
         terms, weight = self.tok[a:z], self.weight[a:z]
-        if len(terms) > self.query_terms:
-            terms = terms[np.argpartition(-weight, self.query_terms)[: self.query_terms]]
         if not len(terms):
             return np.zeros(self.n)
-        spans = [slice(self.post_at[t], self.post_at[t + 1]) for t in terms]
+        telling = terms
+        if len(terms) > self.query_terms:
+            telling = terms[np.argpartition(-weight, self.query_terms)[: self.query_terms]]
+        spans = [slice(self.post_at[t], self.post_at[t + 1]) for t in telling]
         scores = np.bincount(np.concatenate([self.post_doc[s] for s in spans]), np.concatenate([self.post_weight[s] for s in spans]), self.n)
         scores[~self.unused] = 0
+        if len(terms) > self.query_terms:
+            best = np.argpartition(-scores, self.candidates)[: self.candidates] if self.n > self.candidates else np.arange(self.n)
+            best = best[scores[best] > 0]
+            sizes = self.doc_at[best + 1] - self.doc_at[best]
+            first = np.r_[0, np.cumsum(sizes)]
+            if len(best):
+                entry = np.arange(first[-1]) + np.repeat(self.doc_at[best] - first[:-1], sizes)
+                self.asked[terms] = True
+                scores[best] = np.add.reduceat(np.where(self.asked[self.tok[entry]], self.weight[entry], np.float32(0)), first[:-1], dtype=np.float64)
+                self.asked[terms] = False
         return scores
 
 
@@ -153,7 +169,8 @@ def pack(
     shard_tokens: int = 8_000_000,
     block_tokens: int = 2_000_000,
     block_docs: int = 4096,
-    query_terms: int = 16,
+    query_terms: int = 48,
+    candidates: int = 64,
 ) -> DataFrame:
     """Packs every token of every document into windows of `window` tokens and returns a row for each piece.
 
@@ -164,9 +181,11 @@ def pack(
     The index is sharded: documents are range-partitioned by their rarest token that another document shares, so that
     lexical neighbours and copies meet, and by doc_id within, so that no key can overfill a shard. Each shard is read as a
     stream of blocks of bounded size, each with its own inverted index (document frequencies and the mean length are those
-    of the whole corpus). A seed's `query_terms` best BM25 terms rank the block's unused documents, which fill its window
-    in that order; the one that overruns it is cut, and its rest seeds the next window. A shard's last window is cut at
-    powers of two, so nothing is padded there either.
+    of the whole corpus). A seed's BM25 ranks the block's unused documents, which fill its window in that order; the one that
+    overruns it is cut, and its rest seeds the next window. Ranking goes in two steps: the seed's `query_terms` most telling
+    terms name `candidates` documents, all its terms score them. Neighbours in other blocks are out of reach: a search of
+    the whole corpus for every document grows with its square. A shard's last window is cut at powers of two, so nothing is
+    padded there either.
 
     Null texts are empty (one end token). Rows with a null doc_id are packed as any other; repeated rows are packed each.
     An empty table gives no rows. Other columns are ignored.
@@ -217,7 +236,7 @@ def pack(
                 start += length
 
         def block(docs: list[tuple]) -> None:
-            index = _Block([d[1] for d in docs], idf, mean, query_terms)
+            index = Block([d[1] for d in docs], idf, mean, query_terms, candidates)
             for seed in range(index.n):
                 while seed is not None and index.unused[seed]:
                     index.unused[seed] = False
