@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import base64
-import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,51 +16,68 @@ from pyspark.sql import functions as F
 
 from .common import Table, batch, map_batches
 
-#: A blank that stands between blanks, or between a blank and the end: there, pieces cut at blanks could differ.
-_UNSAFE = re.compile(r" (?<=\s )(?=\s|\Z)")
 _SPECIAL = "<|endoftext|>"
 _VOCABULARY = 1 << 16
 
 
+def _bytes(ids: list[int]) -> bytes:
+    """Little-endian, 16 bits each."""
+    out = array("H", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+class _Odd(Exception):
+    """Blanks stand so that pieces may not be cut at them."""
+
+
+class _Pieces(dict):
+    """The ids of pieces that follow a blank; the first `most` that come are kept, which frequent ones are among."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[-1].isspace():
+            raise _Odd
+        ids = _bytes(self.encode(" " + piece))
+        if len(self) < self.most and len(piece) < 40:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Token ids of whole texts as little-endian 16-bit bytes, equal to those of the `tokenizers` file.
 
     Texts are cut at blanks (a pre-token of this vocabulary never runs from a non-blank into a blank), and pieces are
-    encoded once each by tiktoken's form of the same vocabulary. Texts with odd runs of blanks are encoded whole, and
-    texts that spell the special token by `tokenizers` itself. The cache is emptied when it holds `cache_size` pieces.
+    encoded by tiktoken's form of the same vocabulary, most of them once. Texts with odd runs of blanks, which show as pieces that are
+    empty or end with white space, are encoded whole, and texts that spell the special token by `tokenizers` itself.
     """
 
-    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str, cache_size: int = 300_000):
+    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str, cache_size: int = 500_000):
         import tiktoken
 
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer_json, self.cache, self.cache_size = tokenizer_json, {}, cache_size
+        self.tokenizer_json, self.pieces = tokenizer_json, _Pieces(self.encoding.encode_ordinary, cache_size)
 
     def whole(self, text: str) -> bytes:
         if _SPECIAL in text:
             from tokenizers import Tokenizer
 
-            return np.array(Tokenizer.from_file(self.tokenizer_json).encode(text, add_special_tokens=False).ids, "<u2").tobytes()
-        return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
+            return _bytes(Tokenizer.from_file(self.tokenizer_json).encode(text, add_special_tokens=False).ids)
+        return _bytes(self.encoding.encode_ordinary(text))
 
     def __call__(self, text: str) -> bytes:
-        if _SPECIAL in text or _UNSAFE.search(text):
+        if _SPECIAL in text:
             return self.whole(text)
         first, *rest = text.split(" ")
-        cache = self.cache
-        if len(cache) > self.cache_size:
-            cache.clear()
-        out = [self.whole(first)] if first else []
-        for piece in rest:
-            ids = cache.get(piece)
-            if ids is None:
-                ids = np.array(self.encoding.encode_ordinary(" " + piece), "<u2").tobytes()
-                if len(piece) < 40:
-                    cache[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        try:
+            return (self.whole(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
+        except _Odd:
+            return self.whole(text)
 
 
 _encoders: dict[tuple, Encoder] = {}
