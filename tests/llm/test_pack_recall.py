@@ -34,8 +34,8 @@ def test_recall(spark):
     found = wanted = 0
     for start in range(0, n - size + 1, size):
         part = docs[start : start + size]
-        index = packing.Block(part, idf, mean, 48, 64)
-        full = packing.Block(part, idf, mean, 1 << 16, 64)
+        index = packing.Block(part, idf, mean, 40, 48)
+        full = packing.Block(part, idf, mean, 1 << 16, 48)
         for k in range(size):
             if rows[start + k].doc_id % 100 == 0:
                 got, exact = index.neighbours(k), full.neighbours(k)

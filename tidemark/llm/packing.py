@@ -55,7 +55,7 @@ class Encoder:
     empty or end with white space, are encoded whole, and texts that spell the special token by `tokenizers` itself.
     """
 
-    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str, cache_size: int = 500_000):
+    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str, cache_size: int = 250_000):
         import tiktoken
 
         with open(ranks_file, "rb") as f:
@@ -187,8 +187,8 @@ def pack(
     shard_tokens: int = 8_000_000,
     block_tokens: int = 2_000_000,
     block_docs: int = 4096,
-    query_terms: int = 48,
-    candidates: int = 64,
+    query_terms: int = 40,
+    candidates: int = 48,
 ) -> DataFrame:
     """Packs every token of every document into windows of `window` tokens and returns a row for each piece.
 
