@@ -110,5 +110,20 @@ def attempt_number(by: list[str], order: list) -> Column:
     return F.row_number().over(Window.partitionBy(*by).orderBy(*order))
 
 
-def heat_percentile(by: str, heat: str) -> Column:
-    return F.percent_rank().over(Window.partitionBy(by).orderBy(heat))
+def heat_percentiles(df: DataFrame, by: str, heat: str, out: str = "percentile") -> DataFrame:
+    """Adds percent_rank of `heat` in its group, nulls first.
+
+    Rows are counted by value before anything is sorted, so a task sorts a group's distinct values and never its rows, and a
+    group of a third of all rows weighs no more than its values.
+    """
+    values = df.groupBy(by, heat).agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(by)
+    before = F.sum("_n").over(w.orderBy(heat)) - F.col("_n")
+    values = values.select(F.col(by).alias("_by"), F.col(heat).alias("_heat"), F.when(F.sum("_n").over(w) > 1, before / (F.sum("_n").over(w) - 1)).otherwise(F.lit(0.0)).cast("double").alias(out))
+    return df.join(values, F.col(by).eqNullSafe(F.col("_by")) & F.col(heat).eqNullSafe(F.col("_heat"))).drop("_by", "_heat")
+
+
+def heat_rollup(df: DataFrame, keys: list[str], heat: str) -> DataFrame:
+    """Grouping sets of heat: rows and their sum for every prefix of the keys, the grand total last; `depth` keys are set."""
+    depth = sum((1 - F.grouping(k) for k in keys), F.lit(0))
+    return df.rollup(*keys).agg(depth.cast("int").alias("depth"), F.count("*").alias("n"), F.sum(heat).alias("heat"))

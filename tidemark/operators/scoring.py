@@ -84,8 +84,12 @@ def score(items: DataFrame, cfg: Config) -> DataFrame:
     """Adds components (a struct of six, each score, weight and weighted), overall_score, alert_level, category_conflict, review_reasons, final_category.
 
     Needs rule_category, rule_confidence, llm_category, llm_confidence, risk_score, sentiment_score (or null), source_type,
-    account_config_id, best_rank, ranked_platform, interaction_total. One select: nothing is shuffled.
+    account_config_id, best_rank, ranked_platform, interaction_total. One select: nothing is shuffled. With analysis_item_id
+    beside clean_item_id, a row in which they differ fails the query.
     """
+    if "analysis_item_id" in items.columns:  # an answer that is another item's must not be scored
+        wrong = F.concat(F.lit("the analysis of "), F.coalesce(F.col("analysis_item_id").cast("string"), F.lit("nothing")), F.lit(" stands with item "), F.col("clean_item_id").cast("string"))
+        items = items.withColumn("clean_item_id", F.when(F.col("clean_item_id").eqNullSafe(F.col("analysis_item_id")), F.col("clean_item_id")).otherwise(F.raise_error(wrong).cast(items.schema["clean_item_id"].dataType)))
     weights = {k: c.weight for k, c in cfg.rules.items()}
     parts = {
         "keyword_category": keyword_score(cfg, F.col("rule_category"), F.col("rule_confidence")),

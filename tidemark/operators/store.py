@@ -1,11 +1,15 @@
 """Tables on Parquet: idempotent appends, upserts that keep the first created_at, replacement, and integrity checks.
 
-A table is a folder of versions; a small pointer file names the one that counts and is replaced by rename, so readers see
-a commit whole or not at all and a failed write leaves nothing behind.
+A table is a folder of versions. Numbered manifests name the versions of all tables that count; the one with the highest
+number is the store. A commit writes its tables, then a manifest beside the others, and renames it to the next number as
+its last act: readers see all tables of a commit or none, a crash before that leaves the last commit as it was, and of two
+writers that began from the same number one fails.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -45,53 +49,57 @@ class Store:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
-
-    def version(self, name: str) -> str | None:
-        fs, p = self._fs(self._pointer(name))
+    def _numbers(self) -> list[int]:
+        fs, p = self._fs(f"{self.root}/_manifests")
         if not fs.exists(p):
-            return None
+            return []
+        return sorted(int(m[1]) for f in fs.listStatus(p) if (m := re.fullmatch(r"(\d+)\.json", f.getPath().getName())))
+
+    def manifest(self) -> tuple[int, dict[str, list[str]]]:
+        """The number of the last commit, and each table's versions."""
+        numbers = self._numbers()
+        if not numbers:
+            return 0, {}
+        fs, p = self._fs(f"{self.root}/_manifests/{numbers[-1]:012d}.json")
         stream = fs.open(p)
         try:
-            return bytes(stream.readAllBytes()).decode().strip()
+            return numbers[-1], json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
     def read(self, name: str) -> DataFrame | None:
-        v = self.version(name)
-        return None if v is None else self.spark.read.parquet(*[f"{self.root}/{name}/{x}" for x in v.split(",")])
+        versions = self.manifest()[1].get(name)
+        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in versions]) if versions else None
 
     def commit(self, tables: dict[str, DataFrame], append: bool = False) -> None:
-        """Writes all tables first, then turns their pointers: a run's outputs appear together."""
-        done = {}
-        for name, df in tables.items():
-            v = uuid.uuid4().hex
-            df.write.parquet(f"{self.root}/{name}/{v}")
-            old = self.version(name)
-            done[name] = f"{old},{v}" if append and old else v
-        for name, v in done.items():
-            self._turn(name, v)
-
-    def _turn(self, name: str, value: str) -> None:
-        fs, target = self._fs(self._pointer(name))
-        _, temp = self._fs(f"{self._pointer(name)}.{uuid.uuid4().hex}")
+        """Writes all tables, then one manifest: a run's outputs appear together, or none of them."""
+        number, old = self.manifest()
+        written = {name: self._write(name, df) for name, df in tables.items()}
+        self._publish(number, old | {name: [*(old.get(name, []) if append else []), v] for name, v in written.items()})
+
+    def _write(self, name: str, df: DataFrame) -> str:
+        v = uuid.uuid4().hex
+        df.write.parquet(f"{self.root}/{name}/{v}")
+        return v
+
+    def _publish(self, number: int, tables: dict[str, list[str]]) -> None:
+        fs, target = self._fs(f"{self.root}/_manifests/{number + 1:012d}.json")
+        _, temp = self._fs(f"{self.root}/_manifests/.{uuid.uuid4().hex}")
         out = fs.create(temp, True)
-        out.write(bytearray(value.encode()))
+        out.write(bytearray(json.dumps(tables, sort_keys=True).encode()))
         out.close()
-        fs.delete(target, False)
-        fs.rename(temp, target)
+        if fs.exists(target) or not fs.rename(temp, target):
+            fs.delete(temp, False)
+            raise RuntimeError(f"commit {number + 1} of {self.root} has been made by another writer")
 
     def append_new(self, name: str, new: DataFrame) -> int:
         """Insert or ignore by the table's key; how many rows are new."""
+        number, tables = self.manifest()
         old = self.read(name)
         rows = new.dropDuplicates(KEYS[name]) if old is None else insert_ignore(old, new, KEYS[name])
-        path = f"{self.root}/{name}/{uuid.uuid4().hex}"
-        rows.write.parquet(path)
-        n = self.spark.read.schema(rows.schema).parquet(path).count()
-        v, prior = path.rsplit("/", 1)[1], self.version(name)
-        self._turn(name, f"{prior},{v}" if prior else v)
-        return n
+        v = self._write(name, rows)
+        self._publish(number, tables | {name: [*tables.get(name, []), v]})
+        return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}/{v}").count()
 
     def upsert(self, name: str, new: DataFrame, version: str = "updated_at", created: str | None = "created_at") -> None:
         old = self.read(name)

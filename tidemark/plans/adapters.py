@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; a local session may do without a setting."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: files between steps need a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    return folder.rstrip("/")
+
+
 def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as keyword-search items: the title is the first line's 120 characters, as for items without a title."""
     d = table(spark, sf, "documents")

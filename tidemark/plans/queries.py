@@ -161,10 +161,15 @@ def q_level_number(spark, sf):
     return adapters.table(spark, sf, "customer").select("c_custkey", parse.level_number(name, F.col("c_nationkey")).alias("level"))
 
 
-@query(r"SELECT doc_id, regexp_extract_all(text, '(^|[^0-9])(1[3-9][0-9]{9})([^0-9]|$)', 2) IS NOT NULL AS scanned, length(text) > 0 AS there FROM documents")
+@query(
+    r"""SELECT doc_id, len(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: regexp_full_match(x, '(86)?1[3-9][0-9]{9}')))::BIGINT AS phones,
+len(list_filter(regexp_extract_all(text, '[0-9A-Za-z]+'), lambda x: regexp_full_match(x, '[0-9]{17}[0-9Xx]')))::BIGINT AS identities FROM documents"""
+)
 def q_scan_phone_numbers(spark, sf):
-    d = adapters.table(spark, sf, "documents")
-    return d.select("doc_id", text.redact_pii(F.col("text")).isNotNull().alias("scanned"), (F.length("text") > 0).alias("there"))
+    """How many numbers of either kind are redacted in each whole text."""
+    redacted = text.redact_pii(F.col("text"))
+    more = lambda mark: (F.regexp_count(redacted, F.lit(mark)) - F.regexp_count("text", F.lit(mark))).cast("long")
+    return adapters.table(spark, sf, "documents").select("doc_id", more(r"\[手机号\]").alias("phones"), more(r"\[身份证号\]").alias("identities"))
 
 
 @query("SELECT c_custkey, 'call ' || '[手机号]' || ' or mail ' || c_name || ' id ' || '[身份证号]' AS redacted FROM customer")
@@ -183,29 +188,39 @@ def q_fence_json(spark, sf):
 
 
 # ---- fingerprints ----
-@query(
-    f"""WITH t AS (SELECT conv_id, turn, {_norm('text')} AS n FROM conversations),
+SIMHASHED = f"""t AS (SELECT conv_id, turn, {_norm('text')} AS n FROM conversations),
 f AS (SELECT conv_id, turn, unnest(list_concat(string_split(n, ' '), list_transform(range(1, greatest(1, length(n) - 2) + 1), lambda i: substr(n, i, 3)))) AS f FROM t WHERE n <> ''),
-c AS (SELECT conv_id, turn, f, count(*) AS k FROM f GROUP BY ALL), h AS (SELECT conv_id, turn, k, ('0x' || substr(sha256(f), 1, 16))::UBIGINT AS h FROM c),
-b AS (SELECT conv_id, turn, r.range AS bit, sum(CASE WHEN (h >> r.range) & 1 = 1 THEN k ELSE -k END) > 0 AS one FROM h, range(64) r GROUP BY ALL),
-s AS (SELECT conv_id, turn, sum(CASE WHEN one THEN 1::HUGEINT << bit ELSE 0 END) AS v FROM b GROUP BY ALL)
-SELECT t.conv_id, t.turn, coalesce(printf('%016x', s.v::UBIGINT), repeat('0', 16)) AS simhash FROM t LEFT JOIN s USING (conv_id, turn)"""
-)
-def q_simhash64(spark, sf):
+c AS (SELECT conv_id, turn, f, count(*) AS k FROM f GROUP BY ALL), hc AS (SELECT conv_id, turn, k, ('0x' || substr(sha256(f), 1, 16))::UBIGINT AS h FROM c),
+b AS (SELECT conv_id, turn, r.range AS bit, sum(CASE WHEN (h >> r.range) & 1 = 1 THEN k ELSE -k END) > 0 AS one FROM hc, range(64) r GROUP BY ALL),
+sv AS (SELECT conv_id, turn, sum(CASE WHEN one THEN 1::HUGEINT << bit ELSE 0 END) AS v FROM b GROUP BY ALL),
+simhashed AS (SELECT t.conv_id, t.turn, coalesce(printf('%016x', sv.v::UBIGINT), repeat('0', 16)) AS simhash FROM t LEFT JOIN sv USING (conv_id, turn))"""
+
+
+def simhashed(spark: SparkSession, sf: str) -> DataFrame:
     c = adapters.table(spark, sf, "conversations")
     return c.select("conv_id", "turn", text.simhash64_arrow(text.normalize_text("text")).alias("simhash"))
 
 
 @query(
-    """WITH k AS (SELECT p_partkey, ('0x' || substr(sha256(p_name), 1, 16))::UBIGINT AS v FROM part)
-SELECT a.p_partkey AS a, b.p_partkey AS b, bit_count(xor(a.v, b.v))::INT AS distance, bit_count(xor(a.v, b.v)) <= 22 AS compared FROM k a JOIN k b ON b.p_partkey = a.p_partkey + 1"""
+    f"""WITH {SIMHASHED} SELECT conv_id, turn, simhash FROM simhashed"""
 )
+def q_simhash64(spark, sf):
+    return simhashed(spark, sf)
+
+
+@query(f"WITH {SIMHASHED}, h AS (SELECT DISTINCT simhash, ('0x' || simhash)::UBIGINT AS v FROM simhashed) SELECT a.simhash AS a, b.simhash AS b, bit_count(xor(a.v, b.v))::INT AS distance FROM h a JOIN h b ON a.simhash < b.simhash AND bit_count(xor(a.v, b.v)) <= 8")
+def q_simhash_pairs(spark, sf):
+    """All pairs of distinct fingerprints of the turns within eight bits of each other, found by blocks of bits."""
+    return dedup.simhash_pairs(simhashed(spark, sf), most=8, blocks=10)
+
+
+@query(f"WITH {SIMHASHED} SELECT bit_count(xor(('0x' || a.simhash)::UBIGINT, ('0x' || b.simhash)::UBIGINT))::INT AS distance, count(*) AS n, bool_or(bit_count(xor(('0x' || a.simhash)::UBIGINT, ('0x' || b.simhash)::UBIGINT)) <= 22) AS compared FROM simhashed a JOIN simhashed b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1 GROUP BY 1")
 def q_simhash_gate(spark, sf):
-    """The gate before texts are compared, on neighbours."""
-    k = adapters.table(spark, sf, "part").select("p_partkey", F.substring(ids.sha256_hex(F.col("p_name")), 1, 16).alias("h"))
-    a, b = k.select(F.col("p_partkey").alias("a"), F.col("h").alias("ah")), k.select((F.col("p_partkey") - 1).alias("a"), F.col("p_partkey").alias("b"), F.col("h").alias("bh"))
-    d = text.hamming(F.col("ah"), F.col("bh")).cast("int")
-    return a.join(b, "a").select("a", "b", d.alias("distance"), (d <= dedup.GATE).alias("compared"))
+    """The gate before texts are compared, on each conversation's successive turns: how many stand at each distance."""
+    h = simhashed(spark, sf)
+    after = h.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("simhash").alias("other"))
+    d = text.hamming(F.col("simhash"), F.col("other")).cast("int")
+    return h.join(after, ["conv_id", "turn"]).groupBy(d.alias("distance")).agg(F.count("*").alias("n")).withColumn("compared", F.col("distance") <= dedup.GATE)
 
 
 @query(
@@ -286,13 +301,75 @@ def q_task_plan(spark, sf):
     return tasks.plan(t, adapters.table(spark, sf, "region").select(F.col("r_name").alias("platform")))
 
 
-@query("WITH s AS (SELECT n_name AS source_key, (300 + (n_nationkey * 60))::BIGINT AS i FROM nation) SELECT source_key, i::INT AS interval_seconds, strftime(make_timestamp((1704067200 + i) * 1000000), '%Y-%m-%d %H:%M:%S') AS next_run FROM s")
+@query(
+    """WITH s AS (SELECT 'hotsearch:' || p AS source_key, 'hotsearch' AS kind, 600 AS i FROM (SELECT unnest(['weibo', 'baidu', 'zhihu', 'douyin', 'bilibili']) AS p) UNION ALL
+SELECT 'keyword:' || n_name, 'keyword', 1800 FROM nation WHERE n_nationkey % 3 <> 0 UNION ALL SELECT 'account:' || s_name, 'account', 7200 FROM supplier)
+SELECT source_key, kind, i::INT AS interval_seconds, strftime(make_timestamp((1704067200 + i + 5)::BIGINT * 1000000), '%Y-%m-%d %H:%M:%S') AS next_run FROM s"""
+)
 def q_schedule_catalog(spark, sf):
-    n = adapters.table(spark, sf, "nation").select(F.col("n_name").alias("source_key"), (300 + F.col("n_nationkey") * 60).cast("int").alias("interval_seconds"))
-    from .scheduler import next_run
+    """The catalog of a configuration whose keywords and accounts are nations and suppliers, and each source's next run."""
+    from ..config import Interval
+    from .scheduler import catalog, next_run
+
+    cfg = Config()
+    cfg.collect.hot_platforms = ["weibo", "baidu", "zhihu", "douyin", "bilibili"]
+    cfg.collect.keyword_levels = {r.n_name: ["word"] if r.n_nationkey % 3 else [] for r in adapters.table(spark, sf, "nation").collect()}  # configuration
+    cfg.collect.accounts = {r.s_name: r.s_name for r in adapters.table(spark, sf, "supplier").select("s_name").collect()}
+    cfg.scheduler.hotsearch, cfg.scheduler.keyword, cfg.scheduler.account = Interval(600, 5, 5), Interval(1800, 5, 5), Interval(7200, 5, 5)
+    t = next_run(F.lit("2024-01-01").cast("timestamp"), F.col("interval_seconds"), F.col("jitter_min_seconds"), F.col("jitter_max_seconds"), seed=1)
+    return catalog(spark, cfg).select("source_key", "kind", "interval_seconds", iso(t).alias("next_run"))
+
+
+# ---- saved pages, scripts and files ----
+_PAGE_ROWS = """x AS (SELECT n_name AS page, c_name AS title, floor(abs(c_acctbal))::BIGINT AS hot, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) AS rn FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
 
-    t = next_run(F.lit("2024-01-01").cast("timestamp"), F.col("interval_seconds"), F.lit(0), F.lit(0), seed=1)
-    return n.select("source_key", "interval_seconds", iso(t).alias("next_run"))
+
+@query(
+    f"""WITH {_PAGE_ROWS} SELECT platform, page, CASE WHEN platform = 'douyin' AND rn % 2 = 0 THEN rn + 1000 ELSE rn END::INT AS rank, title,
+CASE platform WHEN 'douyin' THEN NULL WHEN 'bilibili' THEN 'https://s.example/' || rn::VARCHAR ELSE 'https://host.example/i/' || rn::VARCHAR END AS url, hot::VARCHAR AS hot FROM x, (SELECT unnest(['weibo', 'baidu', 'zhihu', 'douyin', 'bilibili']) AS platform)"""
+)
+def q_parse_pages(spark, sf):
+    """The five parsers, on pages made of each nation's customers."""
+    from ..functions.register import register
+
+    register(spark)
+    c = adapters.table(spark, sf, "customer").join(adapters.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = c.groupBy(F.col("n_name").alias("page")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", F.col("c_name").alias("title"), F.floor(F.abs("c_acctbal")).cast("string").alias("hot")))).alias("x"))
+    number = lambda i: (i + 1).cast("string")
+    each = lambda f: F.array_join(F.transform("x", f), "")
+    listed = lambda f: F.to_json(F.transform("x", f))
+    link = lambda i: F.concat(F.lit("https://host.example/i/"), number(i))
+    weibo = F.concat(F.lit("<table><tbody>"), each(lambda x, i: F.concat(F.lit('<tr><td class="td-01">'), number(i), F.lit('</td><td class="td-02"><a href="'), link(i), F.lit('">'), x["title"], F.lit("</a><span>"), x["hot"], F.lit("</span></td></tr>"))), F.lit("</tbody></table>"))
+    baidu = F.concat(F.lit("<div>"), each(lambda x, i: F.concat(F.lit('<div class="card"><div class="category-wrap_1" data-index="0"><a href="'), link(i), F.lit('">.</a><div class="index_9">'), number(i), F.lit('</div><div class="hot-index">'), x["hot"], F.lit('</div><span class="c-single-text-raw">'), x["title"], F.lit("</span></div></div>"))), F.lit("</div>"))
+    zhihu = F.concat(F.lit('<script id="js-initialData" type="text/json">{"initialState":{"topstory":{"hotList":'), listed(lambda x, i: F.struct(F.struct(F.struct(x["title"].alias("text")).alias("titleArea"), F.struct(link(i).alias("url")).alias("link")).alias("target"), F.struct(x["hot"].alias("hot")).alias("metrics"))), F.lit("}}}</script>"))
+    douyin = F.concat(F.lit('{"data":{"word_list":'), listed(lambda x, i: F.struct(x["title"].alias("word"), F.when(i % 2 == 1, i + 1001).alias("position"), x["hot"].alias("hot_value"))), F.lit("}}"))
+    bilibili = F.concat(F.lit('{"data":{"trending":{"list":'), listed(lambda x, i: F.struct(x["title"].alias("show_name"), x["hot"].alias("heat_score"), F.concat(F.lit("https://s.example/"), number(i)).alias("uri"))), F.lit("}}}"))
+    bodies = F.array(*(F.struct(F.lit(k).alias("platform"), b.alias("body")) for k, b in (("weibo", weibo), ("baidu", baidu), ("zhihu", zhihu), ("douyin", douyin), ("bilibili", bilibili))))
+    pages = rows.select("page", F.explode(bodies).alias("p")).select("page", "p.platform", "p.body")
+    return spark.sql("SELECT platform, page, rank, title, url, hot FROM {pages}, LATERAL hot_search(platform, body)", pages=pages)
+
+
+@query("SELECT event_id, (props::JSON ->> '$.k')::BIGINT AS k, event_type AS kind FROM events")
+def q_initial_state(spark, sf):
+    """The object that a page's script assigns, with values that JSON lacks."""
+    e = adapters.table(spark, sf, "events")
+    html = F.concat(F.lit("<html><script>var a=1;</script><script>window.__INITIAL_STATE__="), F.lit('{"note":{"props":'), "props", F.lit(',"seen":new Set([]),"other":undefined,"kind":"'), "event_type", F.lit('"}};</script></html>'))
+    state = jsonl.initial_state(html)
+    return e.select("event_id", F.try_variant_get(state, "$.note.props.k", "bigint").alias("k"), F.try_variant_get(state, "$.note.kind", "string").alias("kind"))
+
+
+@query("SELECT conv_id, turn, 'xhs:' || conv_id::VARCHAR AS note_external_id, text AS content, (length(text) * 3)::BIGINT AS like_count FROM conversations WHERE text <> ''")
+def q_scan_comments(spark, sf):
+    """Comment files as a crawler leaves them, written and read back by ranges of lines."""
+    import uuid as unique
+
+    c = adapters.table(spark, sf, "conversations")
+    line = F.to_json(F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("comment_id"), F.col("conv_id").alias("note_id"), F.col("text").alias("content"), F.format_number(F.length("text") * 3, 0).alias("like_count")))
+    path = f"{adapters.shared_folder(spark)}/comments-{unique.uuid4().hex}"
+    c.select(line.alias("value")).write.text(path)
+    good, _ = jsonl.load_comments(spark, path, jsonl.Context())
+    part = F.split("comment_external_id", "-")
+    return good.select(part[0].cast("long").alias("conv_id"), part[1].cast("long").alias("turn"), "note_external_id", "content", "like_count")
 
 
 # ---- filters and anti joins ----
@@ -410,9 +487,10 @@ def q_semi_has_analysis(spark, sf):
     return adapters.table(spark, sf, "customer").select("c_custkey").join(o, "c_custkey", "left_semi")
 
 
-@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' OR o_totalprice > 300000")
 def q_except_keys(spark, sf):
-    return adapters.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(adapters.table(spark, sf, "orders").select("o_custkey"))
+    taken = adapters.table(spark, sf, "orders").where("o_orderstatus = 'P' or o_totalprice > 300000").select("o_custkey")
+    return adapters.table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).subtract(taken)
 
 
 # ---- writes ----
@@ -423,10 +501,17 @@ def q_insert_ignore(spark, sf):
     return store.insert_ignore(have, o.unionByName(o), ["o_orderkey"])
 
 
-@query("SELECT o_custkey, max_by(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS price, strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S') AS created FROM orders GROUP BY o_custkey")
+@query(
+    """WITH old AS (SELECT c_custkey AS k, c_acctbal AS price, CASE WHEN c_custkey % 2 = 0 THEN TIMESTAMP '1980-05-01' ELSE TIMESTAMP '2030-01-01' END AS created FROM customer WHERE c_custkey % 3 <> 0),
+new AS (SELECT o_custkey AS k, max_by(o_totalprice, struct_pack(d := o_orderdate, k := o_orderkey)) AS price, min(o_orderdate) AS created FROM orders WHERE o_custkey % 5 <> 0 GROUP BY 1)
+SELECT coalesce(new.k, old.k) AS o_custkey, coalesce(new.price, old.price) AS price, strftime(least(new.created, old.created), '%Y-%m-%d %H:%M:%S') AS created FROM old FULL JOIN new ON new.k = old.k"""
+)
 def q_upsert_latest(spark, sf):
-    o = adapters.table(spark, sf, "orders").select("o_custkey", F.col("o_totalprice").alias("price"), F.struct("o_orderdate", "o_orderkey").alias("updated_at"), F.col("o_orderdate").alias("created_at"))
-    return store.upsert(o.limit(0), o, ["o_custkey"]).select("o_custkey", "price", iso("created_at").alias("created"))
+    """New rows into a table that has rows already: the latest counts, the earliest created_at stays."""
+    o = adapters.table(spark, sf, "orders").where("o_custkey % 5 <> 0").select("o_custkey", F.col("o_totalprice").alias("price"), F.struct("o_orderdate", "o_orderkey").alias("updated_at"), F.col("o_orderdate").alias("created_at"))
+    made = F.when(F.col("c_custkey") % 2 == 0, F.lit("1980-05-01")).otherwise(F.lit("2030-01-01")).cast("timestamp")
+    old = adapters.table(spark, sf, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("o_custkey"), F.col("c_acctbal").alias("price"), F.struct(made.alias("o_orderdate"), F.lit(0).cast("long").alias("o_orderkey")).alias("updated_at"), made.alias("created_at"))
+    return store.upsert(old.to(o.schema), o, ["o_custkey"]).select("o_custkey", "price", iso("created_at").alias("created"))
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS price FROM orders")
@@ -529,7 +614,33 @@ def q_distinct_sources(spark, sf):
 
 @query("SELECT doc_id, percent_rank() OVER (PARTITION BY source ORDER BY n_chars) AS percentile FROM documents")
 def q_heat_percentile(spark, sf):
-    return adapters.table(spark, sf, "documents").select("doc_id", relational.heat_percentile("source", "n_chars").alias("percentile"))
+    return relational.heat_percentiles(adapters.table(spark, sf, "documents"), "source", "n_chars").select("doc_id", "percentile")
+
+
+@query("SELECT lang, source, (2 - grouping(lang) - grouping(source))::INT AS depth, count(*) AS n, sum(n_chars)::BIGINT AS heat FROM documents GROUP BY ROLLUP (lang, source)")
+def q_heat_rollup(spark, sf):
+    return relational.heat_rollup(adapters.table(spark, sf, "documents"), ["lang", "source"], "n_chars").select("lang", "source", "depth", "n", "heat")
+
+
+@query(
+    """WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS stop, count(*) AS n, round(sum(value), 4) AS total FROM s GROUP BY user_id, k"""
+)
+def q_user_sessions(spark, sf):
+    return incremental.sessions(adapters.table(spark, sf, "events")).select("user_id", iso("start").alias("start"), iso("end").alias("stop"), "n", F.round("total", 4).alias("total"))
+
+
+@query(f"SELECT conv_id, turn, {_norm('text')} AS normal, CASE WHEN {_norm('text')} = '' THEN 0 ELSE len(string_split({_norm('text')}, ' ')) + greatest(1, length({_norm('text')}) - 2) END::BIGINT AS features FROM conversations")
+def q_sql_functions(spark, sf):
+    """The registered functions and table functions, called from SQL."""
+    from ..functions.register import register
+
+    register(spark)
+    c = adapters.table(spark, sf, "conversations")
+    counted = spark.sql("SELECT conv_id, turn, count(*) AS features FROM {c}, LATERAL text_features(text) GROUP BY conv_id, turn", c=c)
+    named = spark.sql("SELECT conv_id, turn, normalize_text(text) AS normal FROM {c}", c=c)
+    return named.join(counted, ["conv_id", "turn"], "left").select("conv_id", "turn", "normal", F.coalesce("features", F.lit(0)).cast("long").alias("features"))
 
 
 @query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -597,11 +708,17 @@ def q_review_reasons(spark, sf):
 
 
 # ---- enrichment and output ----
-@query("SELECT doc_id AS clean_item_id, task, length(text)::BIGINT AS n FROM documents, (SELECT unnest(['classification', 'geo_extraction', 'risk_assessment']) AS task) UNION ALL SELECT DISTINCT doc_id, 'sentiment_analysis', NULL::BIGINT FROM documents JOIN conversations ON conv_id = doc_id")
+@query(
+    f"""WITH {COMMENTS}, r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY published_at, id) AS rn FROM comments),
+g AS (SELECT conv_id, to_json(struct_pack(comments := list(struct_pack(content := content, like_count := like_count, published_at := strftime(published_at, '%Y-%m-%dT%H:%M:%S')) ORDER BY rn)))::VARCHAR AS payload FROM r WHERE rn <= 100 GROUP BY conv_id)
+SELECT doc_id AS clean_item_id, task, md5(to_json(struct_pack(content := text, platform := source, title := substr(text, 1, 120)))::VARCHAR) AS payload FROM documents, (SELECT unnest(['classification', 'geo_extraction', 'risk_assessment']) AS task)
+UNION ALL SELECT doc_id, 'sentiment_analysis', md5(payload) FROM documents JOIN g ON conv_id = doc_id"""
+)
 def q_llm_requests(spark, sf):
-    items = adapters.table(spark, sf, "documents").select(F.col("doc_id").alias("clean_item_id"), F.col("text").alias("content"))
+    """Every request's whole payload, by digest."""
+    items = adapters.table(spark, sf, "documents").select(F.col("doc_id").alias("clean_item_id"), F.substring("text", 1, 120).alias("title"), F.col("text").alias("content"), F.col("source").alias("platform"))
     c = adapters.comments(spark, sf).withColumn("clean_item_id", F.col("conv_id"))
-    return enrich.requests(items, c, payload_cols=["content"]).select("clean_item_id", "task", F.length(F.get_json_object("payload", "$.content")).cast("long").alias("n"))
+    return enrich.requests(items, c).select("clean_item_id", "task", F.md5(F.col("payload").cast("binary")).alias("payload"))
 
 
 @query("SELECT o_orderkey, CASE o_orderkey % 7 WHEN 2 THEN 'not JSON' WHEN 3 THEN 'errcode' WHEN 4 THEN 'success' WHEN 5 THEN 'status' END AS problem FROM orders")
@@ -611,14 +728,32 @@ def q_webhook_body_class(spark, sf):
     return adapters.table(spark, sf, "orders").select("o_orderkey", emit.body_problem(body).alias("problem"))
 
 
-@query(f"WITH {RAW} SELECT {_uuid5(ids.NS_EVENT, "'event:' || doc_id::VARCHAR")} AS event_id, '## 舆情预警 ' || trim(regexp_replace(title, '[\\r\\n]+', ' ', 'g')) || chr(10) || '- **等级**: blue' || chr(10) || '- **类别**: ' || lang AS markdown FROM raw")
+@query(
+    f"""WITH {RAW} SELECT {_uuid5(ids.NS_EVENT, "'event:' || doc_id::VARCHAR")} AS event_id, array_to_string(list_filter(['## 舆情预警 ' || trim(regexp_replace(title, '[\\r\\n]+', ' ', 'g')), '- **等级**: red', CASE WHEN doc_id % 3 = 0 THEN '- **分数**: ' || (doc_id % 97)::VARCHAR || '.50' END,
+ '- **类别**: ' || lang, CASE WHEN doc_id % 2 = 0 THEN '- **摘要**: from ' || platform || ' [手机号]' END, CASE WHEN doc_id % 5 = 0 THEN '- **情感**: negative' END, CASE WHEN doc_id % 7 <> 0 THEN '- **链接**: https://example.com/' || doc_id::VARCHAR END,
+ CASE WHEN doc_id % 4 = 1 THEN '### 复核' || chr(10) || '- low_confidence' WHEN doc_id % 4 = 2 THEN '### 复核' || chr(10) || '- low_confidence' || chr(10) || '- ' || lang END], lambda x: x IS NOT NULL), chr(10)) AS markdown FROM raw"""
+)
 def q_markdown_payload(spark, sf):
-    r, none = adapters.raw_documents(spark, sf), F.lit(None).cast("string")
-    md = emit.markdown("舆情预警", F.col("title"), F.lit("blue"), F.lit(None).cast("double"), F.col("lang"), none, none, F.lit(""), F.array().cast("array<string>"))
+    """Every section there or left out."""
+    r, k = adapters.raw_documents(spark, sf), F.col("doc_id")
+    reasons = F.when(k % 4 == 1, F.array(F.lit("low_confidence"))).when(k % 4 == 2, F.array(F.lit("low_confidence"), F.col("lang"))).otherwise(F.array().cast("array<string>"))
+    md = emit.markdown(
+        "舆情预警", F.col("title"), F.lit("red"), F.when(k % 3 == 0, k % 97 + 0.5), F.col("lang"), F.when(k % 2 == 0, F.concat(F.lit("from\n"), "platform", F.lit(" +86 13912345678"))), F.when(k % 5 == 0, F.lit("negative")),
+        F.when(k % 7 != 0, F.concat(F.lit("https://example.com/"), k.cast("string"))).otherwise(F.lit("")), reasons,
+    )
     return r.select(ids.uuid5(ids.NS_EVENT, F.concat(F.lit("event:"), F.col("doc_id").cast("string"))).alias("event_id"), md.alias("markdown"))
 
 
-@query()
+_FIXED2 = lambda x: f"printf('%.2f', round(({x})::DECIMAL(18, 4), 2))"
+_EVENT = f"""{SCORED}, e AS (SELECT doc_id::VARCHAR AS trace_id, {_uuid5(ids.NS_EVENT, "'event:' || doc_id::VARCHAR")} AS event_id, CASE WHEN overall >= 85 THEN 'red' WHEN overall >= 70 THEN 'orange' WHEN overall >= 40 THEN 'blue' ELSE 'archive' END AS level,
+ {_FIXED2('overall')} AS score, llm_category AS category, CASE WHEN sentiment_score IS NOT NULL THEN 'neutral，情感分 ' || {_FIXED2('sentiment_score')} || '。' END AS sentiment,
+ regexp_replace(trim(regexp_replace(substr(text, 1, 120), '[\\r\\n]+', ' ', 'g')), '(^|[^0-9])((\\+?86[- ]?)?1[3-9][0-9]{{9}})([^0-9]|$)', '\\1[手机号]\\4', 'g') AS title,
+ list_filter([CASE WHEN llm_confidence < 0.6 THEN 'low_confidence' END, CASE WHEN rule_category <> llm_category THEN 'category_conflict' END, CASE WHEN sentiment_score IS NULL THEN 'missing_sentiment' END], lambda x: x IS NOT NULL) AS reasons FROM s JOIN documents USING (doc_id)),
+m AS (SELECT *, array_to_string(list_filter(['## 舆情预警 ' || title, '- **等级**: ' || level, '- **分数**: ' || score, '- **类别**: ' || category, '- **摘要**: reason', '- **情感**: ' || sentiment, CASE WHEN len(reasons) > 0 THEN '### 复核' || chr(10) || array_to_string(list_transform(reasons, lambda r: '- ' || r), chr(10)) END], lambda x: x IS NOT NULL), chr(10)) AS markdown FROM e),
+p AS (SELECT *, to_json(struct_pack(category := category, event_id := event_id, level := level, markdown := markdown, review_reasons := reasons, score := score, sentiment := sentiment, summary := 'reason', title := title, trace_id := trace_id, trigger := '舆情预警'))::VARCHAR AS payload FROM m)"""
+
+
+@query(f"WITH {_EVENT} SELECT event_id, trace_id, level AS alert_level, payload, sha256(payload) AS payload_hash FROM p")
 def q_event_payloads(spark, sf):
     x = scoring.score(scored_items(spark, sf), CFG).select(F.col("doc_id").cast("string").alias("clean_item_id"), "title", "alert_level", "overall_score", "final_category", F.lit("reason").alias("risk_reason"), F.lit("neutral").alias("sentiment_dominant"), "sentiment_score", "review_reasons", F.lit(None).cast("string").alias("url"))
     return emit.payloads(emit.project_events(x)).select("event_id", "trace_id", "alert_level", "payload", "payload_hash")

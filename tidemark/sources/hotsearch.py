@@ -64,6 +64,9 @@ class Node:
         names = self.attrs.get("class", "")
         return names.startswith(part) if start else part in names
 
+    def is_class(self, name: str) -> bool:
+        return name in (self.attrs.get("class") or "").split()
+
     def find(self, ok: Callable[[Node], bool]) -> Node | None:
         return next((n for n in self.walk() if ok(n)), None)
 
@@ -116,12 +119,12 @@ def parse_weibo(body: str, base: str) -> Iterator[tuple]:
     rows = rows or [n for n in root.walk() if n.has_class("td-02")]
     n = 0
     for r in rows:
-        cell = r.find(lambda x: x.has_class("td-02"))
+        cell = r.find(lambda x: x.is_class("td-02"))
         link = cell and cell.find(lambda x: x.tag == "a" and x.attrs.get("href"))
         link = link or r.find(lambda x: x.tag == "a" and x.attrs.get("href"))
         if link is None or not link.clean():
             continue
-        part = lambda name, tag=None: (lambda x: x.clean() if x else None)(r.find(lambda y: y.has_class(name)) if tag is None else (cell or r).find(lambda y: y.tag == tag))  # noqa: B023, E731
+        part = lambda name, tag=None: (lambda x: x.clean() if x else None)(r.find(lambda y: y.is_class(name)) if tag is None else (cell or r).find(lambda y: y.tag == tag))  # noqa: B023, E731
         n += 1
         yield _row(_digits(part("td-01")) or n, link.clean(), joined(base, link.attrs["href"]), part("td-02", "span"), None, {"label": part("td-03")})
 

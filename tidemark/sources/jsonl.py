@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,12 +69,32 @@ def discover(spark: SparkSession, directory: str, comments: bool | None = None)
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(path, line_number, line), blank lines left out.
 
-    Line numbers are part of item ids, so a file is read whole and split at line breaks only: characters such as U+2028 may
-    stand inside JSON strings. Crawl files are small and many; files are the unit of parallelism.
+    Files are read by ranges of lines, so a large one has many tasks and none is ever a row. Line numbers are part of item
+    ids: lines are numbered inside each range as they stream by, and a range's first number is the sum of the lines of the
+    ranges before it in its file, of which there is one row each. Lines end at `\\n`, `\\r` or both only: characters such as
+    U+2028 may stand inside JSON strings.
     """
-    raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value"))
-    lines = raw.select("path", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("k", "line"))
-    return lines.where(F.trim("line") != "").select("path", (F.col("k") + 1).alias("line_number"), "line")
+    raw = spark.read.option("recursiveFileLookup", "true").text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    schema = "path string, start long, k long, value string"
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, n = None, 0
+        for b in batches:
+            k = np.empty(b.num_rows, np.int64)
+            for i, here in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if here != at:
+                    at, n = here, 0
+                n += 1
+                k[i] = n
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(k), b.column(2)], names=["path", "start", "k", "value"])
+
+    numbered = raw.mapInArrow(number, schema)
+    lines = numbered.groupBy("path", "start").agg(F.max("k").alias("lines"))
+    before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = lines.select("path", "start", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
+    found = numbered.where(F.trim("value") != "").join(offsets, ["path", "start"])
+    return found.select("path", (F.col("before") + F.col("k")).cast("int").alias("line_number"), F.col("value").alias("line"))
 
 
 def parsed(lines: DataFrame) -> DataFrame:

@@ -34,12 +34,23 @@ def event_stream(spark: SparkSession, directory: str, schema, pattern: str = "ev
     return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(directory)
 
 
+def _marked(events: DataFrame, late: str) -> DataFrame:
+    """A stream with a watermark (which zoneless times can't have: they are taken as the session's); a table as it is."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def heat_windows(events: DataFrame, size: str = "1 hour", late: str = "72 hours") -> DataFrame:
     """Events and value per type and window; works on streams (bounded state by the watermark) and on tables."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _marked(events, late)
     return e.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 def first_sightings(events: DataFrame, key: list[str], late: str = "72 hours") -> DataFrame:
     """Each key once within the lateness bound."""
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(key) if events.isStreaming else events.dropDuplicates(key)
+    return _marked(events, late).dropDuplicatesWithinWatermark(key) if events.isStreaming else events.dropDuplicates(key)
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "72 hours") -> DataFrame:
+    """Sessions of each user: events not further apart than the gap; on streams and on tables."""
+    e = _marked(events, late)
+    return e.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "total")
