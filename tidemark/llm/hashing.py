@@ -40,6 +40,21 @@ def _stir(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def hash_spans(raw: bytes, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes, after which eight more bytes stand at least."""
+    loads = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))  # the eight bytes from every place on
+    h = _stir(size.astype(np.uint64) + np.uint64(1))
+    at, off = np.flatnonzero(size > 0), 0
+    while len(at) and off < _LONG:
+        v = loads[first[at] + off] & _MASKS[np.minimum(size[at] - off, 8)]
+        h[at] = _stir(h[at] ^ v)
+        off += 8
+        at = at[size[at] > off]
+    for k in at.tolist():
+        h[k] = xxhash.xxh64_intdigest(raw[first[k] : first[k] + size[k]])
+    return h
+
+
 def hash_texts(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, one after the other, and each text's first position (and the end).
 
@@ -57,16 +72,7 @@ def hash_texts(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarr
     if n and inner[0]:
         edges = np.r_[0, edges]
     first, size = edges[::2], edges[1::2] - edges[::2]
-    loads = np.ndarray((n + 1,), "<u8", raw, 0, (1,))  # the eight bytes from every place on
-    h = _stir(size.astype(np.uint64) + np.uint64(1))
-    at, off = np.arange(len(first)), 0
-    while len(at) and off < _LONG:
-        v = loads[first[at] + off] & _MASKS[np.minimum(size[at] - off, 8)]
-        h[at] = _stir(h[at] ^ v)
-        off += 8
-        at = at[size[at] > off]
-    for k in at.tolist():
-        h[k] = xxhash.xxh64_intdigest(raw[first[k] : first[k] + size[k]])
+    h = hash_spans(raw, first, size)
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
     return h, np.searchsorted(first, begins)
 

@@ -14,7 +14,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, batch, map_batches
+from .common import Table, batch, map_batches, texts
+from .hashing import chunks, hash_spans
 
 _SPECIAL = "<|endoftext|>"
 _VOCABULARY = 1 << 16
@@ -28,40 +29,26 @@ def _bytes(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
-class _Odd(Exception):
-    """Blanks stand so that pieces may not be cut at them."""
-
-
-class _Pieces(dict):
-    """The ids of pieces that follow a blank; the first `most` that come are kept, which frequent ones are among."""
-
-    def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[-1].isspace():
-            raise _Odd
-        ids = _bytes(self.encode(" " + piece))
-        if len(self) < self.most and len(piece) < 40:
-            self[piece] = ids
-        return ids
-
-
 class Encoder:
     """Token ids of whole texts as little-endian 16-bit bytes, equal to those of the `tokenizers` file.
 
-    Texts are cut at blanks (a pre-token of this vocabulary never runs from a non-blank into a blank), and pieces are
-    encoded by tiktoken's form of the same vocabulary, most of them once. Texts with odd runs of blanks, which show as pieces that are
-    empty or end with white space, are encoded whole, and texts that spell the special token by `tokenizers` itself.
+    Texts are cut at blanks: a pre-token of this vocabulary never runs from a non-blank into a blank. The pieces of many
+    texts are told apart by 64-bit hashes, all at once, and each distinct one is encoded once, in one call of tiktoken's form
+    of the same vocabulary; ids are then laid out piece by piece, without an object for any of them. Texts with odd runs of
+    blanks, which show as pieces that are empty or end with white space, are encoded whole, and texts that spell the special
+    token by `tokenizers` itself.
     """
 
-    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str, cache_size: int = 250_000):
+    def __init__(self, tokenizer_json: str, ranks_file: str, pattern: str):
         import tiktoken
 
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.tokenizer_json, self.pieces = tokenizer_json, _Pieces(self.encoding.encode_ordinary, cache_size)
+        self.tokenizer_json = tokenizer_json
+        self.sizes = np.zeros(_VOCABULARY, np.int64)
+        for token, k in ranks.items():
+            self.sizes[k] = len(token)
 
     def whole(self, text: str) -> bytes:
         if _SPECIAL in text:
@@ -71,13 +58,51 @@ class Encoder:
         return _bytes(self.encoding.encode_ordinary(text))
 
     def __call__(self, text: str) -> bytes:
-        if _SPECIAL in text:
-            return self.whole(text)
-        first, *rest = text.split(" ")
-        try:
-            return (self.whole(first) if first else b"") + b"".join(map(self.pieces.__getitem__, rest))
-        except _Odd:
-            return self.whole(text)
+        return self.many([text.encode()])[0]
+
+    def many(self, texts: list[bytes]) -> list[bytes]:
+        raw = b" " + b" ".join(texts) + b" " + b"\0" * 8
+        blanks = np.flatnonzero(np.frombuffer(raw, np.uint8)[:-8] == 32)
+        first, size = blanks[:-1] + 1, np.diff(blanks) - 1
+        heads = np.searchsorted(first, np.cumsum([1, *(len(t) + 1 for t in texts)])[:-1])  # each text's first piece
+        _, at, piece = np.unique(hash_spans(raw, first, size), return_index=True, return_inverse=True)
+        span = [raw[a : a + n] for a, n in zip(first[at].tolist(), size[at].tolist())]
+        odd = np.array([not x or x[-1] <= 32 or x[-1] >= 128 and x.decode()[-1].isspace() for x in span], bool)
+        whole = np.logical_or.reduceat(np.where(np.isin(np.arange(len(piece)), heads), False, odd[piece]), heads)
+        whole |= np.fromiter((_SPECIAL.encode() in t for t in texts), bool, len(texts))
+        pool, start, length = self._pieces(span, ~odd)
+        # first pieces have no blank before them, so they are entries of their own
+        opening = [self.whole(raw[a : a + n].decode()) if n and not w else b"" for a, n, w in zip(first[heads].tolist(), size[heads].tolist(), whole.tolist())]
+        counts = np.array([len(x) // 2 for x in opening], np.int64)
+        piece[heads] = len(span) + np.arange(len(texts))
+        start, length = np.r_[start, len(pool) + np.cumsum(counts) - counts], np.r_[length, counts]
+        pool = np.concatenate([pool, np.frombuffer(b"".join(opening), "<u2")])
+        n = length[piece]
+        upto = np.cumsum(n)
+        place = np.repeat((start[piece] - (upto - n)).astype(np.int32), n)
+        place += np.arange(len(place), dtype=np.int32)
+        ids = pool[place].tobytes()
+        ends = 2 * upto[np.r_[heads[1:], len(piece)] - 1]
+        out = [ids[a:z] for a, z in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        for k in np.flatnonzero(whole).tolist():
+            out[k] = self.whole(texts[k].decode())
+        return out
+
+    def _pieces(self, span: list[bytes], wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all wanted pieces, each after a blank, one after the other, and where each one's are."""
+        asked = np.flatnonzero(wanted)
+        start, length = np.zeros(len(span), np.int64), np.zeros(len(span), np.int64)
+        if not len(asked):
+            return np.empty(0, "<u2"), start, length
+        mine = [span[k] for k in asked.tolist()]
+        pool = np.frombuffer(_bytes(self.encoding.encode_ordinary(" " + b" ".join(mine).decode())), "<u2")
+        stop = np.cumsum([len(x) + 1 for x in mine])
+        reached = np.cumsum(self.sizes[pool])
+        last = np.searchsorted(reached, stop)
+        if not (reached[np.minimum(last, len(reached) - 1)] == stop).all():
+            raise AssertionError("a token runs across a blank: this vocabulary's texts can't be cut there")
+        start[asked], length[asked] = np.r_[0, last[:-1] + 1], np.diff(np.r_[-1, last])
+        return pool, start, length
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -96,9 +121,23 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, vocabulary: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(*vocabulary)
-        for b in batches:
-            ids = [encode(t or "") + end for t in b.column(1).to_pylist()]
-            yield batch(schema, b.column(0), ids, [len(x) // 2 for x in ids])
+        held: list[tuple] = []
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            for part in chunks(held, 1, 12 << 20):
+                found = encode.many([r[1] for r in part])
+                for k in range(0, len(part), 2000):
+                    yield batch(schema, [r[0] for r in part[k : k + 2000]], [x + end for x in found[k : k + 2000]], [len(x) // 2 + 1 for x in found[k : k + 2000]])
+            held.clear()
+
+        size = 0
+        for b in batches:  # together, as pieces that come again are encoded once
+            held += zip(b.column(0).to_pylist(), (t or b"" for t in texts(b.column(1))))
+            size += b.nbytes
+            if size > 12 << 20:
+                yield from closed()
+                size = 0
+        yield from closed()
 
     return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")), run, "doc_id long, ids binary, n long")
 
@@ -187,8 +226,8 @@ def pack(
     shard_tokens: int = 8_000_000,
     block_tokens: int = 2_000_000,
     block_docs: int = 4096,
-    query_terms: int = 40,
-    candidates: int = 48,
+    query_terms: int = 48,
+    candidates: int = 64,
 ) -> DataFrame:
     """Packs every token of every document into windows of `window` tokens and returns a row for each piece.
 
