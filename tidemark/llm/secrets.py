@@ -48,7 +48,10 @@ def known(s: str) -> bool:
         return len(core) in DIGESTS or len(core) < 24
     if _UUID.match(core):
         return True
-    return len(_PARTS.sub("", core)) <= 0.1 * len(core) and not (any(c.isdigit() for c in core) and len(re.findall("[0-9]+", core)) > 3)
+    numbers = len(re.findall("[0-9]+", core))
+    if numbers and (numbers > 3 or not re.search("[_/=+-]", core)):  # words and numbers without a seam: their tokens tell
+        return False
+    return len(_PARTS.sub("", core)) <= 0.1 * len(core)
 
 
 def one_case(s: str) -> bool:
