@@ -41,16 +41,34 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark-{name}-{uuid.uuid4().hex}"
 
 
+#: Tables of this process that haven't been dropped, by path.
+_kept: dict[str, Table] = {}
+
+
+def release() -> int:
+    """Drops every table that this process's operators have left for results that read them; how many there were.
+
+    An operator drops what it has used up. What it returns is lazy and still reads its last tables, so only the caller can
+    know when those results have been written: call this then.
+    """
+    tables = list(_kept.values())
+    for t in tables:
+        t.drop()
+    return len(tables)
+
+
 class Table:
     """A frame written as Parquet to the shared folder, so that lineage ends there and lost executors cost no recomputation."""
 
     def __init__(self, df: DataFrame, name: str, compression: str = "zstd"):
         self.spark = df.sparkSession
         self.path = shared_path(self.spark, name)
+        _kept[self.path] = self
         df.write.option("compression", compression).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
+        _kept.pop(self.path, None)
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,7 +13,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Table, batch, map_batches, shared_path
+from .common import Table, batch, map_batches, may_be_among, shared_path
 
 _MAGIC = b"\x1f\x8b\x08"
 _HEAD = 64
@@ -31,8 +31,9 @@ def digest(payload: bytes) -> str:
 def decide(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 0, salts: int = 64) -> DataFrame:
     """page_id, url, payload (never null), digest, refers_to (null for responses).
 
-    Copies are counted per digest and salt before per digest, and joined back per digest and salt, so that no digest, even
-    of a third of all pages, meets in one task. Of equal payloads that with the largest page_id is the response; rows that
+    Digests that occur twice are found first, from (digest, id) alone. Pages whose digest can't be one of them are responses
+    where they stand; only the others are shuffled with their payloads. Copies are counted per digest and salt before per
+    digest, and joined back per digest and salt, so that no digest, even of a third of all pages, meets in one task. Of equal payloads that with the largest page_id is the response; rows that
     repeat the largest id are responses too. A null id counts as less than any other.
     """
     p = pages.select(
@@ -41,10 +42,13 @@ def decide(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 0,
         F.coalesce(F.col(payload_col).cast("string"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("sha", F.unhex(F.sha1("payload"))).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)))
     large = p.where(F.octet_length("payload") >= min_bytes)
-    parts = large.groupBy("sha", "salt").agg(F.max("page_id").alias("m"))
+    parts = large.groupBy("sha", "salt").agg(F.max("page_id").alias("m"), F.count("*").alias("n"))
     best = parts.groupBy("sha").agg(F.max("m").alias("best"), F.collect_set("salt").alias("salts"))
     best = best.select("sha", "best", F.explode("salts").alias("salt"))
-    joined = p.join(best, ["sha", "salt"], "left")
+    several = parts.groupBy("sha").agg(F.sum("n").alias("n")).where("n > 1").select("sha")
+    doubtful = p.withColumn("doubtful", may_be_among(F.col("sha"), several))
+    alone = doubtful.where("not doubtful").withColumn("best", F.col("page_id"))
+    joined = doubtful.where("doubtful").join(best, ["sha", "salt"], "left").unionByName(alone, allowMissingColumns=True)
     revisit = (F.octet_length("payload") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("best"))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.col("best")).alias("refers_to"))
 
