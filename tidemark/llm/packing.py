@@ -124,17 +124,17 @@ def tokenize(docs: DataFrame, id_col: str, text_col: str, vocabulary: tuple[str,
         held: list[tuple] = []
 
         def closed() -> Iterator[pa.RecordBatch]:
-            for part in chunks(held, 1, 12 << 20):
+            for part in chunks(held, 1, 5 << 20):
                 found = encode.many([r[1] for r in part])
-                for k in range(0, len(part), 2000):
-                    yield batch(schema, [r[0] for r in part[k : k + 2000]], [x + end for x in found[k : k + 2000]], [len(x) // 2 + 1 for x in found[k : k + 2000]])
+                for k in range(0, len(part), 500):
+                    yield batch(schema, [r[0] for r in part[k : k + 500]], [x + end for x in found[k : k + 500]], [len(x) // 2 + 1 for x in found[k : k + 500]])
             held.clear()
 
         size = 0
         for b in batches:  # together, as pieces that come again are encoded once
             held += zip(b.column(0).to_pylist(), (t or b"" for t in texts(b.column(1))))
             size += b.nbytes
-            if size > 12 << 20:
+            if size > 5 << 20:
                 yield from closed()
                 size = 0
         yield from closed()
