@@ -8,23 +8,22 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Table, batch, map_batches, texts
-from .hashing import chunks, hash_words, inside, owner, rolling, sliding_min
+from .hashing import chunks, hash_texts, inside, owner, rolling, sliding_min
 
 
 def _windows(rows: list[tuple], text_at: int, size: int, gram: int):
-    """For a chunk: the words, document positions, which windows count, their anchors and the documents they are of."""
-    docs = [(r[text_at] or b"").split() for r in rows]
-    h, at = hash_words(docs)
+    """For a chunk: the words' hashes, document positions, which windows count, their anchors and the documents they are of."""
+    h, at = hash_texts([r[text_at] for r in rows])
     if len(h) < size:
         none = np.empty(0, np.uint64)
-        return docs, h, at, np.empty(0, bool), none, np.empty(0, np.int64)
+        return h, at, np.empty(0, bool), none, np.empty(0, np.int64)
     anchors = sliding_min(rolling(h, gram), size - gram + 1)
     n = len(h) - size + 1
-    return docs, h, at, inside(at, size, n), anchors[:n], owner(at, n)
+    return h, at, inside(at, size, n), anchors[:n], owner(at, n)
 
 
 class Passages:
@@ -82,6 +81,26 @@ class Passages:
         return out
 
 
+def automata(passages: list[tuple[int, bytes]], size: int, most: int = 500_000) -> list[Passages]:
+    """A shard's automata, of about `most` words each: a word is a character, and there are hardly more than a million.
+
+    A passage that is longer is cut so that the parts share one word less than a window: every window is in one of them.
+    """
+    out, held, n = [], [], 0
+    for first, raw in passages:
+        words = raw.split()
+        for a in range(0, max(1, len(words) - size + 1), most):
+            part = words[a : a + most + size - 1]
+            if held and n + len(part) > most:
+                out.append(Passages(held, size))
+                held, n = [], 0
+            held.append((first, b" ".join(part)))
+            n += len(part)
+    if held:
+        out.append(Passages(held, size))
+    return out
+
+
 def _kept(raw: bytes | None, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
     """Words, removed words, and what is kept."""
     words = (raw or b"").split()
@@ -122,7 +141,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             rows = list(zip(b.column(0).to_pylist(), texts(b.column(1)), b.column(2).to_pylist()))
             for part in chunks(rows, 1):
-                _, _, _, ok, anchor, own = _windows(part, 1, size, gram)
+                _, _, ok, anchor, own = _windows(part, 1, size, gram)
                 anchor, own = anchor[ok], own[ok]
                 new = np.r_[True, (anchor[1:] != anchor[:-1]) | (own[1:] != own[:-1])] if len(anchor) else ok
                 anchor, own = anchor[new].view(np.int64), own[new]
@@ -141,7 +160,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for b in batches:
             rows = list(zip(b.column(0).to_pylist(), texts(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()))
             for part in chunks(rows, 1):
-                _, h, at, ok, anchor, own = _windows(part, 1, size, gram)
+                h, at, _, anchor, _ = _windows(part, 1, size, gram)
                 w = rolling(h, size).view(np.int64)
                 anchor = anchor.view(np.int64)
                 for k, r in enumerate(part):
@@ -160,7 +179,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out = []
             for first, raw, mine in zip(b.column(0).to_pylist(), texts(b.column(1)), b.column(2).to_pylist()):
                 words = raw.split()
-                h, _ = hash_words([words])
+                h, _ = hash_texts([raw])
                 there = np.isin(rolling(h, size).view(np.int64), mine)
                 edge = np.diff(np.r_[False, there, False].astype(np.int8))
                 for a, z in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
@@ -173,29 +192,32 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shards = max(1, -(-int(total) // shard_words))
     shard_of = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
     route = Table(seen.df.join(repeated.df, "w").where("doc_id > first").select("rid", shard_of("first").alias("shard")).distinct(), "route")
+    # cells are numbered through, from one row for each shard, so that each is a task of its own and none waits for another
     cells = route.df.groupBy("shard").agg(F.ceil(F.count("*") / cell_docs).alias("cells"))
-    placed = route.df.join(cells, "shard").select("rid", "shard", F.pmod(F.xxhash64("rid"), "cells").alias("cell"))
-    as_docs = aside.df.select("rid", "doc_id", "text").join(placed, "rid").select("shard", "cell", F.lit(1).alias("kind"), "rid", "doc_id", F.col("text").cast("binary").alias("body"))
-    as_passages = found.df.withColumn("shard", shard_of("first")).join(cells, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("rid"), F.col("first").alias("doc_id"), F.col("passage").alias("body"))
+    cells = Table(cells.select("shard", "cells", (F.sum("cells").over(Window.orderBy("shard")) - F.col("cells")).alias("first_cell")), "cells")
+    n_cells = cells.df.agg(F.coalesce(F.sum("cells"), F.lit(0))).first()[0]
+    placed = route.df.join(cells.df, "shard").select("rid", (F.col("first_cell") + F.pmod(F.xxhash64("rid"), "cells")).alias("cell"))
+    as_docs = aside.df.select("rid", "doc_id", "text").join(placed, "rid").select("cell", F.lit(1).alias("kind"), "rid", "doc_id", F.col("text").cast("binary").alias("body"))
+    as_passages = found.df.withColumn("shard", shard_of("first")).join(cells.df, "shard").select(F.explode(F.sequence("first_cell", F.col("first_cell") + F.col("cells") - 1)).alias("cell"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("rid"), F.col("first").alias("doc_id"), F.col("passage").alias("body"))
     o_schema = pa.schema([("rid", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64())))])
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, waiting, automaton = None, [], None
+        current, waiting, made = None, [], None
         for b in batches:
             out = []
-            for shard, part, kind, rid, doc_id, body in zip(*(c.to_pylist() for c in b.columns)):
-                if (shard, part) != cell:
-                    cell, waiting, automaton = (shard, part), [], None
+            for cell, kind, rid, doc_id, body in zip(*(c.to_pylist() for c in b.columns)):
+                if cell != current:
+                    current, waiting, made = cell, [], None
                 if kind == 0:
                     waiting.append((doc_id, body))
                     continue
-                if automaton is None:
-                    automaton, waiting = Passages(waiting, size), []
-                if spans := automaton.occurrences(doc_id, body):
-                    out.append((rid, [list(s) for s in spans]))
+                if made is None:
+                    made, waiting = automata(waiting, size), []
+                if spans := [list(s) for a in made for s in a.occurrences(doc_id, body)]:
+                    out.append((rid, spans))
             yield batch(o_schema, *([r[i] for r in out] for i in range(2)))
 
-    dealt = as_docs.unionByName(as_passages).repartition("shard", "cell").sortWithinPartitions("shard", "cell", "kind")
+    dealt = as_docs.unionByName(as_passages).repartitionById(max(1, int(n_cells)), F.col("cell").cast("int")).sortWithinPartitions("cell", "kind")
     hits = map_batches(dealt, locate, "rid long, spans array<array<long>>")
     hits = hits.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     r_schema = pa.schema([("rid", pa.int64()), ("n_removed", pa.int64()), ("sha", pa.string()), ("kept", pa.string())])
@@ -209,7 +231,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield batch(r_schema, *([r[i] for r in out] for i in range(4)))
 
     removed = Table(map_batches(aside.df.select("rid", "text").dropDuplicates(["rid"]).join(hits, "rid"), remove, "rid long, n_removed long, sha string, kept string"), "removed")
-    for t in (seen, repeated, found, route, aside):
+    for t in (seen, repeated, found, route, cells, aside):
         t.drop()
     b_schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("n_words", pa.int64()), ("whole", pa.string()), ("text", pa.string())])
 
