@@ -2,6 +2,9 @@
 
 from collections import defaultdict
 
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import SF
 from tests.llm.test_llm import check_shards, prose
 from tidemark.llm import sharding
@@ -31,3 +34,18 @@ def test_copies_of_documents_stay_together(spark):
         size[text[r.doc_id]] += r.size
     mean = sum(size.values()) / 24
     assert all(len(s) == 1 for t, s in where.items() if size[t] < mean / 3)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_no_group_is_split(spark, sf):
+    """None of these tables' groups of copies is larger than a shard."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text"))
+    whole = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    placed = sharding.shard(whole).select("doc_id", "shard").join(docs, "doc_id").groupBy("text").agg(F.count("*").alias("n"), F.countDistinct("shard").alias("shards"))
+    assert placed.where("n > 1").count() > 20 and placed.where("shards > 1").count() == 0
+
+
+def test_tokens_are_words(spark):
+    rows = [(1, " a  b\tc\n\nd "), (2, ""), (3, None), (4, "one")]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.tokens) for r in got) == [(1, 4), (2, 0), (3, 0), (4, 1)]

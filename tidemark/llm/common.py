@@ -135,9 +135,10 @@ def may_be_among(column: Column, keys: DataFrame, bits: int = 26) -> Column:
 def components(edges: DataFrame, checkpoint_name: str = "cc") -> DataFrame:
     """Connected components of (a, b) links: returns (node, component), component being the least node reached.
 
-    Alternates large-star and small-star steps, so a chain of n links takes about log n rounds. A node's links are only
-    ever aggregated to their minimum, so a node with very many links is combined before the shuffle. Rows with a null
-    end are left out; loops only make their node known. Each round is a table in the shared folder.
+    Alternates large-star and small-star steps, so a chain of n links takes about log n rounds. A node's links are aggregated
+    to their minimum, combined before the shuffle; the minimum, one row a node, is then joined back to the links, where a node
+    with very many of them is a skewed key that Spark's adaptive join splits. Rows with a null end are left out; loops only
+    make their node known. Each round is a table in the shared folder.
     """
     e = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u is not null and v is not null")
     nodes = e.select(F.col("u").alias("node")).union(e.select("v")).distinct()

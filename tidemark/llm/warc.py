@@ -33,8 +33,9 @@ def decide(pages: DataFrame, id_col: str, payload_col: str, min_bytes: int = 0,
 
     Digests that occur twice are found first, from (digest, id) alone. Pages whose digest can't be one of them are responses
     where they stand; only the others are shuffled with their payloads. Copies are counted per digest and salt before per
-    digest, and joined back per digest and salt, so that no digest, even of a third of all pages, meets in one task. Of equal payloads that with the largest page_id is the response; rows that
-    repeat the largest id are responses too. A null id counts as less than any other.
+    digest, and joined back per digest and salt, so that no digest, even of a third of all pages, meets in one task. Of
+    equal payloads that with the largest page_id is the response; rows that repeat the largest id are responses too. A null
+    id counts as less than any other.
     """
     p = pages.select(
         F.col(id_col).cast("long").alias("page_id"),
