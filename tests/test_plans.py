@@ -8,7 +8,7 @@ from tests.conftest import SF
 from tidemark.plans.queries import QUERIES
 
 #: These run rounds of jobs before they return a plan.
-EAGER = {"dedup_leaders", "id_dups", "scan_comments"}
+EAGER = {"dedup_leaders", "dedup_turns", "id_dups", "scan_comments"}
 
 
 def plan(df) -> str:

@@ -326,7 +326,7 @@ _PAGE_ROWS = """x AS (SELECT n_name AS page, c_name AS title, floor(abs(c_acctba
 
 @query(
     f"""WITH {_PAGE_ROWS} SELECT platform, page, CASE WHEN platform = 'douyin' AND rn % 2 = 0 THEN rn + 1000 ELSE rn END::INT AS rank, title,
-CASE platform WHEN 'douyin' THEN NULL WHEN 'bilibili' THEN 'https://s.example/' || rn::VARCHAR ELSE 'https://host.example/i/' || rn::VARCHAR END AS url, hot::VARCHAR AS hot FROM x, (SELECT unnest(['weibo', 'baidu', 'zhihu', 'douyin', 'bilibili']) AS platform)"""
+CASE platform WHEN 'douyin' THEN NULL WHEN 'bilibili' THEN 'https://s.example/' || rn::VARCHAR WHEN 'weibo' THEN 'https://s.weibo.com/i/' || rn::VARCHAR ELSE 'https://host.example/i/' || rn::VARCHAR END AS url, hot::VARCHAR AS hot FROM x, (SELECT unnest(['weibo', 'baidu', 'zhihu', 'douyin', 'bilibili']) AS platform)"""
 )
 def q_parse_pages(spark, sf):
     """The five parsers, on pages made of each nation's customers."""
@@ -339,7 +339,7 @@ def q_parse_pages(spark, sf):
     each = lambda f: F.array_join(F.transform("x", f), "")
     listed = lambda f: F.to_json(F.transform("x", f))
     link = lambda i: F.concat(F.lit("https://host.example/i/"), number(i))
-    weibo = F.concat(F.lit("<table><tbody>"), each(lambda x, i: F.concat(F.lit('<tr><td class="td-01">'), number(i), F.lit('</td><td class="td-02"><a href="'), link(i), F.lit('">'), x["title"], F.lit("</a><span>"), x["hot"], F.lit("</span></td></tr>"))), F.lit("</tbody></table>"))
+    weibo = F.concat(F.lit("<table><tbody>"), each(lambda x, i: F.concat(F.lit('<tr><td class="td-01">'), number(i), F.lit('</td><td class="td-02"><a href="../i/'), number(i), F.lit('">'), x["title"], F.lit("</a><span>"), x["hot"], F.lit("</span></td></tr>"))), F.lit("</tbody></table>"))
     baidu = F.concat(F.lit("<div>"), each(lambda x, i: F.concat(F.lit('<div class="card"><div class="category-wrap_1" data-index="0"><a href="'), link(i), F.lit('">.</a><div class="index_9">'), number(i), F.lit('</div><div class="hot-index">'), x["hot"], F.lit('</div><span class="c-single-text-raw">'), x["title"], F.lit("</span></div></div>"))), F.lit("</div>"))
     zhihu = F.concat(F.lit('<script id="js-initialData" type="text/json">{"initialState":{"topstory":{"hotList":'), listed(lambda x, i: F.struct(F.struct(F.struct(x["title"].alias("text")).alias("titleArea"), F.struct(link(i).alias("url")).alias("link")).alias("target"), F.struct(x["hot"].alias("hot")).alias("metrics"))), F.lit("}}}</script>"))
     douyin = F.concat(F.lit('{"data":{"word_list":'), listed(lambda x, i: F.struct(x["title"].alias("word"), F.when(i % 2 == 1, i + 1001).alias("position"), x["hot"].alias("hot_value"))), F.lit("}}"))
@@ -777,6 +777,24 @@ def q_dedup_leaders(spark, sf):
     return out.decisions.select("raw_item_id", "outcome", "reason", "duplicate_of")
 
 
+def turn_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns as posts: forty characters are the title, the whole turn is the body. Turns of every third
+    conversation are posted again a minute later, with a title cut eight characters on, so that only the body tells."""
+    c = adapters.table(spark, sf, "conversations").withColumn("again", F.explode(F.when(F.col("conv_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    text_ = lambda x: F.lit(x).cast("string")
+    return c.select(
+        F.concat(F.lpad(F.col("conv_id").cast("string"), 9, "0"), F.lit(":"), F.lpad(F.col("turn").cast("string"), 4, "0"), F.lit(":"), F.col("again").cast("string")).alias("id"), F.lit("keyword_search").alias("source_type"), F.col("role").alias("platform"), text_(None).alias("external_id"),
+        F.substr("text", 1 + 8 * F.col("again"), F.lit(40)).alias("title"), F.col("text").alias("content"), text_(None).alias("url"), text_(None).alias("keyword"), F.timestamp_seconds(F.lit(1704067200) + F.col("turn") + 60 * F.col("again")).alias("published_at"), F.lit("2024-01-02").cast("timestamp").alias("collected_at"),
+    )
+
+
+@query()
+def q_dedup_turns(spark, sf):
+    """Leaders by title and by the whole content."""
+    out = cleaning.run(turn_nodes(spark, sf), None, Config(), F.lit("2024-01-02").cast("timestamp"))
+    return out.decisions.select("raw_item_id", "outcome", "reason", "duplicate_of")
+
+
 @query()
 def q_near_dup_edges(spark, sf):
     c = cleaning.clean_projection(page_nodes(spark, sf), Config())
