@@ -244,8 +244,8 @@ def _segments(d: DataFrame, segment_bytes: int) -> Table:
     return Table(map_batches(d.select("doc_id", "text", "held_out"), run, "segment long, doc_id long, held_out boolean, text string, keys binary, counts binary"), "segments")
 
 
-def _distinct(blobs: DataFrame, of: int = 512) -> int:
-    """About how many distinct keys there are: those of one hash value in `of` are counted."""
+def _sizes(blobs: DataFrame, of: int = 512) -> tuple[int, int]:
+    """About how many distinct keys there are, and how many all segments ask for: those of one hash value in `of` are counted."""
     schema = pa.schema([("key", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,13 +254,16 @@ def _distinct(blobs: DataFrame, of: int = 512) -> int:
                 keys = _unpacked(raw)
                 yield batch(schema, keys[_mixed(keys) % np.uint64(of) == 0].view(np.int64))
 
-    return of * map_batches(blobs, run, "key long").distinct().count()
+    asked = map_batches(blobs, run, "key long").groupBy("key").agg(F.count("*").alias("n"))
+    distinct, all_of = asked.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return of * distinct, of * all_of
 
 
 def _model_bits(blobs: DataFrame, shard_keys: int) -> Table:
     """(segment, keys, bits) for each segment and shard: the model's log2 probabilities of the segment's keys."""
     spark = blobs.sparkSession
-    shards = max(1, -(-_distinct(blobs.select("keys")) // shard_keys))
+    distinct, asked = _sizes(blobs.select("keys"))
+    shards = max(1, -(-distinct // shard_keys), -(-asked // (32 * shard_keys)))
     r_schema = pa.schema([("shard", pa.int64()), ("segment", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,7 +376,7 @@ def score(
 
     What a byte's probability depends on is a key of six bytes. Texts are read in segments of about `segment_bytes`, each
     of which asks for its distinct keys; keys are dealt into shards by a hash of the three bytes before the last, about
-    `shard_keys` to each, so shards become more as the corpus grows, every longer context is counted whole in one of them,
+    `shard_keys` to each and 32 times as many requests, so shards become more as the corpus grows, every longer context is counted whole in one of them,
     and no two contexts share a counter. (Counts of up to three bytes, 2 to the 24th at most, go to all shards.) Counts are
     64-bit sums over all training texts. Weights and refinement are learned online in each shard: keys come in the order
     of a hash, each is predicted by counters without itself and with the weights so far, then learned. That is the
