@@ -3,8 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
-
 from tests.llm import brute
 from tests.llm.test_llm import near_rows, prose, same
 from tidemark.llm import jaccard
@@ -17,6 +15,16 @@ def test_split_regions(spark, seed, limits):
     same(got, brute.jaccard(rows, 3, 90, 100))
 
 
+@pytest.mark.parametrize("limits", [{"run_nodes": 10}, {"run_nodes": 3, "region_docs": 25}])
+def test_dealt_runs(spark, limits):
+    """Unlike texts that share a passage, and near copies among them, in runs that are dealt into pairs of blocks."""
+    shared = prose(60, 40)
+    rows = [(k, shared + " " + prose(700 + k // 3, 60) + f" end{k}") for k in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for size, num in ((3, 90), (5, 80)):
+        same(jaccard.jaccard_components(df, shingle=size, num=num, den=100, heavy_rows=1, **limits).collect(), brute.jaccard(rows, size, num, 100))
+
+
 def test_a_chain_of_near_copies(spark):
     """Each text links with the next few only, so pivots settle little and windows replicate much."""
     words = prose(77, 700).split()

@@ -269,7 +269,7 @@ def _set_rows(shingle: int, heavy_min: int, heavy_share: float, heavy_block: int
 
 
 def jaccard_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100, heavy_rows: int = 200_000, region_docs: int = 20_000, region_shingles: int = 3_000_000
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100, heavy_rows: int = 200_000, region_docs: int = 20_000, region_shingles: int = 3_000_000, run_nodes: int = 20_000
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: the least doc_id that links of Jaccard similarity num/den or more reach.
 
@@ -285,7 +285,8 @@ def jaccard_components(
        factor t. Sets in order of size fall into runs, a run ending where the next set is larger by more than that.
        Sets alone in their run are gone here, before anything but (shingle, size, node) has been moved.
     3. Inside a run, sets are pivots, by a lower bound of the symmetric difference: see Region. No pairs are emitted: an
-       edge is a set and a pivot, and what edges connect is a region of the next step.
+       edge is a set and a pivot, and what edges connect is a region of the next step. A run of more than `run_nodes` sets
+       is dealt into blocks, and every pair of blocks is a run.
     4. A region of up to `region_docs` sets and `region_shingles` members is joined exactly in memory: balls around
        pivots are united at once, what could only link inside them is done, Voronoi regions with replicated boundaries
        recurse, and small ones are compared. Larger regions are split first, by many tasks: see _split.
@@ -380,8 +381,8 @@ def jaccard_components(
     first = Table(map_batches(pairs, compare, "node long, lo long, near boolean, home boolean"), "first-pivots")
     # the others among themselves, run by run
     rest = live.df.where("node <> lo").join(first.df.where("not home").select("node", "lo"), ["node", "lo"]).select("run", "node")
-    several = rest.groupBy("run").agg(F.count("*").alias("c")).where("c > 1").select("run")
-    rest = Table(rest.join(several, "run"), "others")
+    several = rest.groupBy("run").agg(F.count("*").alias("c")).where("c > 1")
+    rest = Table(_dealt_runs(rest.join(several, "run"), run_nodes), "others")
     e_schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,6 +461,15 @@ def jaccard_components(
     return sets.join(result.df, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def _dealt_runs(rest: DataFrame, run_nodes: int) -> DataFrame:
+    """(run, node) from (run, node, c): runs of more than `run_nodes` as pairs of blocks, so that any two of their nodes meet."""
+    k = F.when(F.col("c") > run_nodes, F.ceil(2 * F.col("c") / run_nodes)).otherwise(1).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit("run")), "k")
+    each = rest.withColumn("k", k).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    pair = F.xxhash64("run", F.least("own", "other"), F.greatest("own", "other"))
+    return each.select(F.when(F.col("k") > 1, pair).otherwise(F.col("run")).alias("run"), "node")
+
+
 def _without_ids(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """region, node, n and a text of nodes that only rows with a null doc_id have."""
     schema = pa.schema([("node", pa.int64()), ("text", pa.string())])

@@ -376,9 +376,9 @@ def score(
 
     What a byte's probability depends on is a key of six bytes. Texts are read in segments of about `segment_bytes`, each
     of which asks for its distinct keys; keys are dealt into shards by a hash of the three bytes before the last, about
-    `shard_keys` to each and 32 times as many requests, so shards become more as the corpus grows, every longer context is counted whole in one of them,
-    and no two contexts share a counter. (Counts of up to three bytes, 2 to the 24th at most, go to all shards.) Counts are
-    64-bit sums over all training texts. Weights and refinement are learned online in each shard: keys come in the order
+    `shard_keys` to each and 32 times as many requests, so shards become more as the corpus grows, every longer context is
+    counted whole in one of them, and no two contexts share a counter. (Counts of up to three bytes, 2 to the 24th at most,
+    go to all shards.) Counts are 64-bit sums over all training texts. Weights and refinement are learned online in each shard: keys come in the order
     of a hash, each is predicted by counters without itself and with the weights so far, then learned. That is the
     predict-then-update of sequential mixing with "before" meaning all other occurrences, so that it can be learned in any
     number of shards and doesn't depend on how the texts are partitioned. Shards' weights are averaged by use.
