@@ -8,7 +8,7 @@ from tests.conftest import SF
 from tidemark.plans.queries import QUERIES
 
 #: These run rounds of jobs before they return a plan.
-EAGER = {"dedup_leaders", "dedup_turns", "id_dups", "scan_comments"}
+EAGER = {"dedup_leaders", "dedup_turns", "id_dups", "scan_comments", "discover_files"}
 
 
 def plan(df) -> str:
@@ -37,4 +37,4 @@ def test_narrow_queries_do_not_shuffle(spark):
 
 def test_python_only_where_it_must_be(spark):
     with_python = {n for n in set(QUERIES) - EAGER if "Python" in (p := plan(QUERIES[n](spark, SF))) or "Pandas" in p}
-    assert with_python <= {"rule_classify", "category_counts", "normalize_text", "simhash64", "clean_project", "page_title", "near_dup_edges", "score_keyword", "score_source", "score_heat", "score_sentiment", "overall_score", "alert_level", "review_reasons", "event_payloads", "simhash_pairs", "simhash_gate", "sql_functions", "parse_pages"}
+    assert with_python <= {"rule_classify", "category_counts", "normalize_text", "simhash64", "clean_project", "page_title", "near_dup_edges", "score_keyword", "score_source", "score_heat", "score_sentiment", "overall_score", "alert_level", "review_reasons", "event_payloads", "simhash_pairs", "simhash_gate", "sql_functions", "parse_pages", "url_join"}

@@ -90,7 +90,19 @@ def idle_seconds(next_run: Column, ref_time: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(0), F.unix_timestamp(F.min(next_run)) - F.unix_timestamp(ref_time)), F.lit(0))
 
 
+def selected(df: DataFrame, wanted: list[str] | None = None, platform: str = "platform", enabled: str = "enabled") -> DataFrame:
+    """Enabled rows, of the platforms asked for if any are; names are compared without case, and unknown ones select nothing."""
+    out = df.where(F.col(enabled))
+    return out if not wanted else out.where(F.lower(platform).isin([w.lower() for w in wanted]))
+
+
 # ---- rankings ----
+def listed(df: DataFrame, order: list, limit: int | None = None) -> DataFrame:
+    """Rows in the order of a list view; a limit that is missing or negative shows all. A limited one keeps that many rows a task."""
+    out = df.orderBy(*order)
+    return out if limit is None or limit < 0 else out.limit(limit)
+
+
 def first_n(df: DataFrame, n: int, by: list[str], order: list) -> DataFrame:
     """The first n rows of each group; a filter on row_number keeps n rows a task before the shuffle."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= n).drop("_rn")

@@ -84,7 +84,7 @@ class Engine:
             return None
         todo = relational.missing(clean, self._or_empty("analyses", "clean_item_id string"), "clean_item_id")
         if limit is not None:
-            todo = todo.orderBy("collected_at", "clean_item_id").limit(limit)
+            todo = relational.listed(todo, ["collected_at", "clean_item_id"], limit)
         comments = self.store.read("comments")
         if comments is not None:
             comments = relational.comments_by_item(self.store.read("clean_item_sources"), self.store.read("raw_items"), comments)

@@ -372,6 +372,50 @@ def q_scan_comments(spark, sf):
     return good.select(part[0].cast("long").alias("conv_id"), part[1].cast("long").alias("turn"), "note_external_id", "content", "like_count")
 
 
+@query(
+    """WITH f AS (SELECT 'search_contents_user.jsonl' AS name, sum(length(conv_id::VARCHAR) + 1)::BIGINT AS size FROM conversations WHERE role = 'user' UNION ALL
+SELECT 'detail_comments_assistant.jsonl', sum(length(conv_id::VARCHAR) + 1)::BIGINT FROM conversations WHERE role = 'assistant' UNION ALL SELECT 'contents_of_comments.jsonl', sum(length(conv_id::VARCHAR) + 1)::BIGINT FROM conversations WHERE role = 'system')
+SELECT 'all' AS kind, name, size FROM f UNION ALL SELECT 'content', name, size FROM f WHERE name NOT LIKE '%comment%' UNION ALL SELECT 'comment', name, size FROM f WHERE name LIKE '%comment%'"""
+)
+def q_discover_files(spark, sf):
+    """What a crawler's folder holds, by the names of its files."""
+    import uuid as unique
+
+    path = f"{adapters.shared_folder(spark)}/crawl-{unique.uuid4().hex}"
+    c, jvm = adapters.table(spark, sf, "conversations"), spark._jvm
+    for role, name in (("user", "search_contents_user"), ("assistant", "detail_comments_assistant"), ("system", "contents_of_comments")):
+        c.where(F.col("role") == role).select(F.col("conv_id").cast("string")).coalesce(1).write.text(f"{path}/{role}")
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{role}")
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        for f in fs.listStatus(folder):
+            if f.getPath().getName().startswith("part-"):
+                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{role}/{name}.jsonl"))
+    name = F.element_at(F.split("path", "/"), -1)
+    found = [jsonl.discover(spark, path, comments).select(F.lit(kind).alias("kind"), name.alias("name"), "size") for kind, comments in (("all", None), ("content", False), ("comment", True))]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || '/p/' || page_id::VARCHAR WHEN 1 THEN 'https://other.example/' || page_id::VARCHAR END AS link FROM pages")
+def q_url_join(spark, sf):
+    """Links of pages as absolute addresses; those that lead nowhere are null."""
+    k, number = F.col("page_id") % 4, F.col("page_id").cast("string")
+    link = F.when(k == 0, F.concat(F.lit("/p/"), number)).when(k == 1, F.concat(F.lit("https://other.example/"), number)).when(k == 2, F.lit("javascript:void(0)"))
+    return adapters.table(spark, sf, "pages").select("page_id", urls.url_join(F.col("url"), link).alias("link"))
+
+
+@query(f"WITH {RAW} SELECT id, platform, {ISO.format('collected_at')} AS collected FROM (SELECT * FROM raw ORDER BY collected_at, id LIMIT 25)")
+def q_list_items(spark, sf):
+    """The first page of a list view: here the limit is the feature."""
+    return relational.listed(adapters.raw_documents(spark, sf), ["collected_at", "id"], 25).select("id", "platform", iso("collected_at").alias("collected"))
+
+
+@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE s_suppkey % 3 <> 0 AND n_name IN ('NATION_1', 'NATION_2', 'NATION_3')")
+def q_select_platforms(spark, sf):
+    s = adapters.table(spark, sf, "supplier").join(adapters.table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    s = s.select("s_suppkey", "n_name", F.col("n_name").alias("platform"), (F.col("s_suppkey") % 3 != 0).alias("enabled"))
+    return relational.selected(s, ["nation_1", "Nation_2", "NATION_3", "nowhere"]).select("s_suppkey", "n_name")
+
+
 # ---- filters and anti joins ----
 @query(
     f"""WITH {RAW} SELECT id, CASE WHEN published_at < TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR THEN 'discarded' ELSE 'accepted' END AS outcome, CASE WHEN published_at < TIMESTAMP '{adapters.REF}' - INTERVAL 72 HOUR THEN 'expired' END AS reason
