@@ -221,19 +221,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     labelled = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y is not null")
     labelled = labelled.where(~_is_held(F.col("doc_id"), held_out_of, held_out_is)).groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     chosen = spark.createDataFrame([tuple(r) for r in labelled.collect()], "doc_id long, y int")  # at most sample_rows
-    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.list_(pa.int32())), ("votes", pa.list_(pa.int32())), ("y", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary()), ("votes", pa.binary()), ("y", pa.int32())])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [features_of(t) for t in b.column(1).to_pylist()]
-            yield batch(schema, b.column(0), [x[0] for x in found], [list(x[1]) for x in found], b.column(2))
-
-    sample = map_batches(d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), extract, "doc_id long, features array<int>, votes array<int>, y int")
-    sample = sample.orderBy("doc_id", F.xxhash64("features")).drop("doc_id").toArrow().combine_chunks()
-    if not sample.num_rows:
-        return train(np.empty(0, np.int32), np.empty(0, np.int64), np.empty((0, len(PATTERNS)), np.int64), np.empty(0))
-    f = sample.column(0).combine_chunks()
-    return train(f.flatten().to_numpy(), np.diff(f.offsets.to_numpy()), np.array(sample.column(1).to_pylist()), sample.column(2).to_numpy().astype(float))
+            yield batch(schema, b.column(0), [x[0].tobytes() for x in found], [np.array(x[1], np.int8).tobytes() for x in found], b.column(2))
+
+    sample = map_batches(d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), extract, "doc_id long, features binary, votes binary, y int").toArrow()
+    ids, features, votes, y = (sample.column(k).to_pylist() for k in range(4))
+    del sample
+    order = sorted(range(len(ids)), key=lambda k: (ids[k], features[k]))  # whatever order the rows came in
+    flat = np.frombuffer(b"".join([features[k] for k in order]), np.int32)
+    lengths = np.array([len(features[k]) // 4 for k in order], np.int64)
+    of_patterns = np.frombuffer(b"".join([votes[k] for k in order]), np.int8).reshape(-1, len(PATTERNS))
+    del features
+    return train(flat, lengths, of_patterns, np.array([y[k] for k in order], float))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out_of: int = 4, held_out_is: int = 2, sample_rows: int = 8000, threshold: float = 0.3) -> DataFrame:
