@@ -283,7 +283,9 @@ def jaccard_components(
        only, never which links are found.
     2. The empty set is the pivot inside each: distances to it are sizes, and linked sets' sizes differ by at most the
        factor t. Sets in order of size fall into runs, a run ending where the next set is larger by more than that.
-       Sets alone in their run are gone here, before anything but (shingle, size, node) has been moved.
+       Of two linked sets the first shingle in common is among the first n - ceil(2 n t / (1 + t)) + 1 of the smaller one, so
+       only a set that leads, by having the region's shingle there, can be followed. Sets alone in their run are gone here,
+       before anything but (shingle, size, node) has been moved.
     3. Inside a run, sets are pivots, by a lower bound of the symmetric difference: see Region. No pairs are emitted: an
        edge is a set and a pivot, and what edges connect is a region of the next step. A run of more than `run_nodes` sets
        is dealt into blocks, and every pair of blocks is a run.
@@ -304,7 +306,7 @@ def jaccard_components(
     key = often.column(0).to_numpy().view(np.uint64)
     order = np.argsort(key)
     heavy = spark.sparkContext.broadcast((key[order], often.column(1).to_numpy()[order]))  # heavy_rows at most
-    p_schema = pa.schema([("s", pa.int64()), ("n", pa.int32()), ("node", pa.int64())])
+    p_schema = pa.schema([("s", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("leads", pa.bool_())])
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = heavy.value
@@ -324,24 +326,31 @@ def jaccard_components(
                         rank = np.where(keys[at] == s, counts[at], 0)
                         if rank.any():
                             s = s[np.lexsort((s, rank))]
-                    out.append((s[:p], np.full(p, n, np.int32), np.full(p, node, np.int64)))
+                    leads = np.arange(p) <= n - -(-2 * num * n // (num + den))
+                    out.append((s[:p], np.full(p, n, np.int32), np.full(p, node, np.int64), leads))
                 if out:
-                    yield batch(p_schema, np.concatenate([x[0] for x in out]).view(np.int64), *(np.concatenate([x[i] for x in out]) for i in (1, 2)))
+                    yield batch(p_schema, np.concatenate([x[0] for x in out]).view(np.int64), *(np.concatenate([x[i] for x in out]) for i in (1, 2, 3)))
 
     r_schema = pa.schema([("run", pa.int64()), ("node", pa.int64()), ("lo", pa.int64())])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of rows in order of (s, n, node): the runs of two nodes or more, each node once, with the run's first."""
-        last, lo, told = None, 0, True  # the last row, its run's first node, and whether the first has been told
+        before, last, lo, told = None, None, 0, True  # the last row; the last leading one, its run's first, and whether that is told
         for b in batches:
             if not b.num_rows:
                 continue
-            s, n, node = (b.column(k).to_numpy() for k in range(3))
-            if last is not None:
-                s, n, node = np.r_[last[0], s], np.r_[last[1], n], np.r_[last[2], node]
+            s, n, node, leads = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
             new = np.r_[True, (s[1:] != s[:-1]) | (node[1:] != node[:-1])]
-            s, n, node = s[new], n[new].astype(np.int64), node[new]
-            follows = np.r_[False, (s[1:] == s[:-1]) & (den * n[:-1] >= num * n[1:])]
+            new[0] = (s[0], node[0]) != before
+            before = (s[-1], node[-1])
+            s, n, node, leads = s[new], n[new].astype(np.int64), node[new], leads[new]
+            if last is not None:
+                s, n, node, leads = np.r_[last[0], s], np.r_[last[1], n], np.r_[last[2], node], np.r_[True, leads]
+            if not len(s):
+                continue
+            at = np.maximum.accumulate(np.where(leads, np.arange(len(s)), -1))
+            leader = np.r_[-1, at[:-1]]  # of each row the last leading one before it
+            follows = (leader >= 0) & (s[leader] == s) & (den * n[leader] >= num * n)
             start = np.maximum.accumulate(np.where(follows, 0, np.arange(len(s))))
             first = node[start]
             if last is not None:
@@ -350,12 +359,14 @@ def jaccard_components(
             emit = follows | head
             if last is not None:
                 emit[0] = head[0] and not told
-            told = bool(emit[-1] or (len(s) == 1 and last is not None and told))
-            last, lo = (s[-1], n[-1], node[-1]), first[-1]
+            k = int(at[-1])
+            if k >= 0:
+                told = bool(emit[k] or (k == 0 and last is not None and told))
+                last, lo = (s[k], n[k], node[k]), first[k]
             run = (s[emit] * np.int64(-7046029254386353131)) ^ first[emit]
             yield batch(r_schema, run, node[emit], first[emit])
 
-    posted = map_batches(d.select("text"), postings, "s long, n int, node long").repartition("s").sortWithinPartitions("s", "n", "node")
+    posted = map_batches(d.select("text"), postings, "s long, n int, node long, leads boolean").repartition("s").sortWithinPartitions("s", "n", "node")
     live = Table(map_batches(posted, runs, "run long, node long, lo long"), "live")
     nodes = Table(table.df.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("hist").alias("hist")), "nodes")
     # first against the first node of each run, a pair once: most near copies have their home there
