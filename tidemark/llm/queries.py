@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, lm, packing, quality, secrets, sharding, substring, toxicity, warc
+from . import alignment, decontam, jaccard, lm, media, packing, quality, secrets, sharding, spelling, substring, toxicity, warc
 from .common import read_table
 
 #: Where the public tokenizers' files are; every operator takes these as parameters.
 PACK_VOCABULARY = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 SCAN_VOCABULARY = PACK_VOCABULARY[1:]
+ALIGNED_VOCABULARIES = (*SCAN_VOCABULARY, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,23 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_warc, op3_decontaminate, op4_quality, op5_shard, op6_substrings, op7_lm_score, op8_toxicity, op9_secrets, op10_jaccard)}
+def op11_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = media.text_media(read_table(spark, sf_dir, "documents"))
+    return m.select(
+        "doc_id", "n_bytes", F.col("samples_bytes").alias("payload_bytes"), F.col("samples_sha256").alias("payload_sha256"), "tail_crc32", "media_bytes", "media_sha256",
+        F.lower(F.hex("hash")).alias("feature"),
+    )
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"), ALIGNED_VOCABULARIES).docs
+
+
+QUERIES = {f.__name__: f for f in (op1_pack, op2_warc, op3_decontaminate, op4_quality, op5_shard, op6_substrings, op7_lm_score, op8_toxicity, op9_secrets, op10_jaccard, op11_media, op12_spelling, op13_alignment)}
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -94,4 +111,15 @@ e AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.
 l AS (SELECT e.a, e.b FROM e JOIN n na ON na.doc_id = e.a JOIN n nb ON nb.doc_id = e.b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
 r AS (SELECT doc_id AS a, doc_id AS root FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(root) AS component_id FROM r GROUP BY a) m USING (doc_id)""",
+    "op12_spelling": rf"""WITH RECURSIVE t AS (SELECT list(list_reduce(range(8), lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS crc FROM (SELECT unnest(range(256)) AS i)),
+r AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[A-Za-zÀ-ÿ]+')) AS w FROM documents) GROUP BY ALL),
+h AS (SELECT w, n, xor(list_reduce(flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195, ord(c)::BIGINT - 64] END)), lambda a, b: xor(a // 256, t.crc[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM r, t),
+s AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM s GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+d AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS x FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+near AS (SELECT a.word, b.word AS other FROM d a JOIN d b ON a.x = b.x AND a.i = b.i AND a.word <> b.word UNION SELECT d.word, v.word FROM d JOIN v ON d.x = v.word UNION SELECT v.word, d.word FROM d JOIN v ON d.x = v.word),
+g AS (SELECT near.word, count(*) AS n_near, first(v.word ORDER BY v.n DESC, encode(v.word)) AS best, max(v.n) AS m FROM near JOIN v ON v.word = near.other GROUP BY near.word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN best END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n FROM v LEFT JOIN g USING (word)),
+p AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT p.word, f.word, f.form FROM p JOIN f ON f.word = p.next)
+SELECT f.word, f.form, p.root, f.n, f.n_near, f.form_n FROM f JOIN p ON p.word = f.word AND p.next IS NULL""",
 }
