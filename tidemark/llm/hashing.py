@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import xxhash
@@ -13,19 +12,6 @@ BASE = 0x9E3779B97F4A7C15
 _CHUNK = 6 << 20
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash; emptied when it holds too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = WordHashes()
-
-
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
@@ -91,14 +77,6 @@ def chunks(rows: list, text_at: int, limit: int = _CHUNK) -> Iterator[list]:
         yield out
 
 
-def hash_words(docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """The word hashes of all documents, one after the other, and each document's first position (and the end)."""
-    at = np.zeros(len(docs) + 1, np.int64)
-    np.cumsum([len(d) for d in docs], out=at[1:])
-    get = _hashes.__getitem__
-    return np.fromiter(map(get, chain.from_iterable(docs)), np.uint64, int(at[-1])), at
-
-
 def rolling(h: np.ndarray, size: int) -> np.ndarray:
     """A hash of every `size` consecutive entries (across documents too): two steps mix what a plain polynomial leaves."""
     n = len(h) - size + 1

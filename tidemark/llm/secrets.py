@@ -26,6 +26,9 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _PARTS = re.compile(r"[A-Z]?[a-z]{2,}|[A-Z]{2,}(?![a-z])|[0-9]{1,4}(?![0-9])|[+/_=-]+")
 _WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
+#: Characters from which on what a base span leaves of a long run is judged.
+REST = 8
+
 _encodings: dict[str, object] = {}
 
 
@@ -45,7 +48,7 @@ def known(s: str) -> bool:
     if not core or core.isdigit() or (core.isalpha() and (core.islower() or core.isupper() or core[1:].islower())):
         return True
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", core):
-        return len(core) in DIGESTS or len(core) < 24
+        return len(core) in DIGESTS
     if _UUID.match(core):
         return True
     numbers = len(re.findall("[0-9]+", core))
@@ -69,24 +72,28 @@ def scan(text: str, encode, min_ratio: float) -> list[tuple[int, int, int]]:
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+    base = sorted(spans)
     for m in _CANDIDATE.finditer(text):
-        s = m.group()
-        if (known(s) and not one_case(s)) or any(a < m.end() and m.start() < z for a, _, z in spans):
-            continue
-        if len(s) < min_ratio * len(encode(s)):
-            spans.append((m.start(), 3, m.end()))
+        at = m.start()
+        # what base spans leave of a run is judged too: it stands beside a secret, so a shorter piece will do
+        cuts = [(a, z) for a, _, z in base if a < m.end() and m.start() < z]
+        for a, z in [*cuts, (m.end(), m.end())]:
+            s = text[at:a]
+            if len(s) >= (REST if cuts else 1) and (one_case(s) or not known(s)) and len(s) < min_ratio * len(encode(s)):
+                spans.append((at, 3, a))
+            at = max(at, z)
     return sorted(spans)
 
 
 def _replaced(text: str | None, spans: list[tuple[int, int, int]], mark: str) -> str | None:
-    """The text with every run of overlapping spans replaced once."""
+    """The text with every run of spans that overlap or touch replaced once."""
     if not text or not spans:
         return text
     parts, at = [], 0
     for a, _, z in spans:
-        if z > at:
-            parts += [text[at:a], mark] if a >= at else []
-            at = z
+        if a > at or not parts:
+            parts += [text[at:a], mark]
+        at = max(at, z)
     return "".join([*parts, text[at:]])
 
 
@@ -116,8 +123,9 @@ def find_secrets(docs: DataFrame, vocabulary: tuple[str, str], id_col: str = "do
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random; with `redact`, also the text with spans replaced.
 
     vocabulary: the file of tiktoken ranks and its pattern. A run of 20 or more base-64 characters with fewer than
-    `min_ratio` characters per token is random, unless it is a known digest, UUID, number or identifier, or overlaps a base
-    span. Runs of letters in one case are judged by their tokens alone. Base spans always stay.
+    `min_ratio` characters per token is random, unless it is a known digest, UUID, number or identifier. Of a run that holds
+    base spans, what they leave is judged in pieces of 8 or more. Runs of letters in one case are judged by their tokens
+    alone. Base spans always stay.
 
     A null text is an empty one (redacted, it stays null). Null ids and repeated rows are answered each. An empty table
     gives no rows. Other columns are ignored.
