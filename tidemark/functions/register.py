@@ -11,7 +11,7 @@ from ..sources import hotsearch
 from . import text
 
 
-@udtf(returnType="place int, feature string, hash string")
+@udtf(returnType="place int, feature string, hash string", useArrow=True)
 class TextFeatures:
     """A row for each feature of a text that its SimHash is made of, with the 64 bits it votes with."""
 
@@ -25,7 +25,7 @@ class TextFeatures:
                 yield k, f, hashlib.sha256(f.encode()).digest()[:8].hex()
 
 
-@udtf(returnType="rank int, title string, url string, hot string, content string")
+@udtf(returnType="rank int, title string, url string, hot string, content string", useArrow=True)
 class HotSearch:
     """The items of a saved trending page; a page without any has no rows."""
 

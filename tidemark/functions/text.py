@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import difflib
+import hashlib
 import re
 import unicodedata
+from collections import Counter
+from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -25,11 +29,6 @@ def normalize_text(s: pd.Series) -> pd.Series:
     return s.map(normalized, na_action=None)
 
 
-def normalize_fast(c: Column) -> Column:
-    """The same inside the JVM, for text whose compatibility form is itself and whose case folding is lower case."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-
-
 def collapse_ws(c: Column) -> Column:
     """Words joined by one blank; null stays null."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -70,17 +69,45 @@ def simhash64(normal: Column) -> Column:
     return F.concat(*digits)
 
 
-def simhash_py(normal: str) -> str:
-    import hashlib
+class _Votes:
+    """The votes of features, one or minus one for each of 64 bits, kept for those that come again."""
+
+    def __init__(self, most: int = 100_000):
+        self.most, self.place = most, {}
+        self.table = np.empty((most, 64), np.int8)
+
+    def rows(self, keys: list, feature: Callable) -> np.ndarray:
+        if len(self.place) + len(keys) > self.most:
+            self.place.clear()
+            if len(keys) > self.most:
+                self.most = 2 * len(keys)
+                self.table = np.empty((self.most, 64), np.int8)
+        at = [self.place.get(k, -1) for k in keys]
+        for i, (k, n) in enumerate(zip(keys, at)):
+            if n < 0:
+                at[i] = self.place[k] = len(self.place)
+                bits = np.unpackbits(np.frombuffer(hashlib.sha256(feature(k).encode()).digest()[:8], np.uint8))
+                self.table[at[i]] = 2 * bits.astype(np.int8) - 1
+        return self.table[at]
 
-    import numpy as np
 
+_votes = _Votes()
+
+
+def simhash_py(normal: str) -> str:
+    """Words and character trigrams (the whole text, if shorter) vote with the first 64 bits of their SHA-256."""
     if not normal:
         return "0" * 16
-    feats = normal.split(" ") + [normal[i : i + 3] for i in range(max(1, len(normal) - 2))]
-    raw = np.frombuffer(b"".join(hashlib.sha256(f.encode()).digest()[:8] for f in feats), np.uint8).reshape(-1, 8)
-    bits = (2 * np.unpackbits(raw, axis=1).astype(np.int64) - 1).sum(0) > 0
-    return np.packbits(bits).tobytes().hex()
+    words = Counter(normal.split(" "))
+    total = np.fromiter(words.values(), np.int64, len(words)) @ _votes.rows(list(words), str)
+    code = np.frombuffer(normal.encode("utf-32-le"), np.uint32).astype(np.int64)
+    if len(code) < 3:
+        total = total + _votes.rows([normal], str)[0]
+    else:
+        grams, times = np.unique(code[:-2] << 42 | code[1:-1] << 21 | code[2:], return_counts=True)
+        part = (1 << 21) - 1
+        total = total + times @ _votes.rows(grams.tolist(), lambda g: chr(g >> 42) + chr(g >> 21 & part) + chr(g & part))
+    return np.packbits(total > 0).tobytes().hex()
 
 
 @F.pandas_udf(T.StringType())
@@ -101,14 +128,19 @@ def ratio(candidate: str, existing: str) -> float:
     return 1.0 if candidate == existing else difflib.SequenceMatcher(None, candidate, existing).ratio()
 
 
+# ---- fixed values: phone numbers, 18-character identity numbers with a date of birth, both bounded by digits only ----
+PHONE = r"(?<!\d)(?:\+?86[-\s]?)?1[3-9]\d{9}(?!\d)"
+IDENTITY = r"(?<!\d)\d{6}(?:19|20)\d{2}(?:0[1-9]|1[0-2])(?:[0-2]\d|3[01])\d{3}[\dXx](?!\d)"
+PHONE_MARK, IDENTITY_MARK = "[手机号]", "[身份证号]"
+# ---- end of fixed values ----
+
+
 def redact_pii(c: Column) -> Column:
-    """Mainland mobile numbers and 18-character identity numbers become placeholders."""
-    phone = F.regexp_replace(c, r"(?<!\d)(?:\+?86[-\s]?)?1[3-9]\d{9}(?!\d)", "[手机号]")
-    return F.regexp_replace(phone, r"(?<![0-9A-Za-z])\d{17}[\dXx](?![0-9A-Za-z])", "[身份证号]")
+    """Mainland mobile numbers and identity numbers become placeholders, beside letters too."""
+    return F.regexp_replace(F.regexp_replace(c, PHONE, PHONE_MARK), IDENTITY, IDENTITY_MARK)
 
 
-_PHONE = re.compile(r"(?<!\d)(?:\+?86[-\s]?)?1[3-9]\d{9}(?!\d)")
-_IDENTITY = re.compile(r"(?<![0-9A-Za-z])\d{17}[\dXx](?![0-9A-Za-z])")
+_PHONE, _IDENTITY = re.compile(PHONE, re.A), re.compile(IDENTITY, re.A)
 _OWNER = re.compile(r"user.?id|author.?id", re.I)
 
 
@@ -120,4 +152,4 @@ def redact_value(value, key: str = ""):
         return [redact_value(v, key) for v in value]
     if not isinstance(value, str):
         return value
-    return "***" if _OWNER.search(key) else _IDENTITY.sub("[身份证号]", _PHONE.sub("[手机号]", value))
+    return "***" if _OWNER.search(key) else _IDENTITY.sub(IDENTITY_MARK, _PHONE.sub(PHONE_MARK, value))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import NS_CLEAN, NS_RAW, uuid5
-from ..operators.relational import fallback_rank
+from ..operators.ordered import ranked
+from ..operators.scratch import shared_folder  # noqa: F401
 
 #: A small rule set whose words occur in the invented prose; order and weights matter as in real rules.
 RULES = {
@@ -28,16 +26,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a local session may do without a setting."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir is not set: files between steps need a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-    return folder.rstrip("/")
-
-
 def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as keyword-search items: the title is the first line's 120 characters, as for items without a title."""
     d = table(spark, sf, "documents")
@@ -52,7 +40,7 @@ def raw_documents(spark: SparkSession, sf: str) -> DataFrame:
 def raw_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages as trending items: the host is the platform, ranked by page id."""
     p = table(spark, sf, "pages").withColumn("host", F.lower(F.regexp_extract("url", "^[a-zA-Z]+://([^/:?#]+)", 1)))
-    return p.withColumn("rank", fallback_rank(F.lit(True), ["host"], ["page_id"]).cast("int"))
+    return ranked(p, ["host"], ["page_id"]).withColumn("rank", F.col("rank").cast("int"))
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TOP_RANK_WEIGHTS, Config
 from ..functions import ids, parse, text, urls
-from ..operators import classify, dedup, emit, enrich, relational, scoring, store
+from ..operators import classify, dedup, emit, enrich, ordered, relational, scoring, scratch, similar, sketches, store
 from ..sources import hotsearch, jsonl, tasks
 from ..streaming import incremental
 from . import adapters, cleaning
@@ -163,19 +163,23 @@ def q_level_number(spark, sf):
 
 @query(
     r"""SELECT doc_id, len(list_filter(regexp_extract_all(text, '[0-9]+'), lambda x: regexp_full_match(x, '(86)?1[3-9][0-9]{9}')))::BIGINT AS phones,
-len(list_filter(regexp_extract_all(text, '[0-9A-Za-z]+'), lambda x: regexp_full_match(x, '[0-9]{17}[0-9Xx]')))::BIGINT AS identities FROM documents"""
+len(list_filter(regexp_extract_all(text, '([0-9]+[Xx]?)(?:[^0-9]|$)', 1), lambda x: regexp_full_match(x, '[0-9]{6}(19|20)[0-9]{2}(0[1-9]|1[0-2])([0-2][0-9]|3[01])[0-9]{3}([0-9][Xx]?|[Xx])')))::BIGINT AS identities
+FROM (SELECT doc_id, text || ' ID' || (11010119000101000 + doc_id)::VARCHAR || 'x' || chr(10) || 'n' || (doc_id * 1000003)::VARCHAR || 'X' AS text FROM documents)"""
 )
 def q_scan_phone_numbers(spark, sf):
-    """How many numbers of either kind are redacted in each whole text."""
+    """How many numbers of either kind are redacted in each whole text and in what is added to it, digits beside letters."""
     redacted = text.redact_pii(F.col("text"))
     more = lambda mark: (F.regexp_count(redacted, F.lit(mark)) - F.regexp_count("text", F.lit(mark))).cast("long")
-    return adapters.table(spark, sf, "documents").select("doc_id", more(r"\[手机号\]").alias("phones"), more(r"\[身份证号\]").alias("identities"))
+    number, other = (F.lit(11010119000101000) + F.col("doc_id")).cast("string"), (F.col("doc_id") * 1000003).cast("string")
+    d = adapters.table(spark, sf, "documents").select("doc_id", F.concat("text", F.lit(" ID"), number, F.lit("x\nn"), other, F.lit("X")).alias("text"))
+    return d.select("doc_id", more(r"\[手机号\]").alias("phones"), more(r"\[身份证号\]").alias("identities"))
 
 
 @query("SELECT c_custkey, 'call ' || '[手机号]' || ' or mail ' || c_name || ' id ' || '[身份证号]' AS redacted FROM customer")
 def q_redact_pii(spark, sf):
     phone = F.format_string("%s1%d%09d", F.when(F.col("c_custkey") % 2 == 0, F.lit("+86 ")).otherwise(F.lit("")), F.lit(3) + F.col("c_custkey") % 7, F.col("c_custkey"))
-    identity = F.concat(F.lpad(F.col("c_custkey").cast("string"), 17, "4"), F.lit("X"))
+    born = F.date_format(F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int")), "yyyyMMdd")
+    identity = F.concat(F.lit("110101"), born, F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0"), F.lit("X"))
     s = F.concat(F.lit("call "), phone, F.lit(" or mail "), "c_name", F.lit(" id "), identity)
     return adapters.table(spark, sf, "customer").select("c_custkey", text.redact_pii(s).alias("redacted"))
 
@@ -307,21 +311,22 @@ SELECT 'keyword:' || n_name, 'keyword', 1800 FROM nation WHERE n_nationkey % 3 <
 SELECT source_key, kind, i::INT AS interval_seconds, strftime(make_timestamp((1704067200 + i + 5)::BIGINT * 1000000), '%Y-%m-%d %H:%M:%S') AS next_run FROM s"""
 )
 def q_schedule_catalog(spark, sf):
-    """The catalog of a configuration whose keywords and accounts are nations and suppliers, and each source's next run."""
+    """The catalog of sources that are tables, nations as keywords and suppliers as accounts, and each source's next run."""
     from ..config import Interval
-    from .scheduler import catalog, next_run
+    from .scheduler import catalog_of, next_run
 
     cfg = Config()
-    cfg.collect.hot_platforms = ["weibo", "baidu", "zhihu", "douyin", "bilibili"]
-    cfg.collect.keyword_levels = {r.n_name: ["word"] if r.n_nationkey % 3 else [] for r in adapters.table(spark, sf, "nation").collect()}  # configuration
-    cfg.collect.accounts = {r.s_name: r.s_name for r in adapters.table(spark, sf, "supplier").select("s_name").collect()}
     cfg.scheduler.hotsearch, cfg.scheduler.keyword, cfg.scheduler.account = Interval(600, 5, 5), Interval(1800, 5, 5), Interval(7200, 5, 5)
+    platforms = adapters.table(spark, sf, "region").agg(F.lit(0)).select(F.explode(F.array(*(F.lit(p) for p in ("weibo", "baidu", "zhihu", "douyin", "bilibili")))).alias("name"))
+    keywords = adapters.table(spark, sf, "nation").select(F.col("n_name").alias("name"), (F.col("n_nationkey") % 3).alias("words"))
+    rows = catalog_of(platforms, keywords, adapters.table(spark, sf, "supplier").select(F.col("s_name").alias("name")), cfg)
     t = next_run(F.lit("2024-01-01").cast("timestamp"), F.col("interval_seconds"), F.col("jitter_min_seconds"), F.col("jitter_max_seconds"), seed=1)
-    return catalog(spark, cfg).select("source_key", "kind", "interval_seconds", iso(t).alias("next_run"))
+    return rows.select("source_key", "kind", "interval_seconds", iso(t).alias("next_run"))
 
 
 # ---- saved pages, scripts and files ----
-_PAGE_ROWS = """x AS (SELECT n_name AS page, c_name AS title, floor(abs(c_acctbal))::BIGINT AS hot, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) AS rn FROM customer JOIN nation ON n_nationkey = c_nationkey)"""
+_PAGE_ROWS = """o AS (SELECT n_name, c_name AS title, floor(abs(c_acctbal))::BIGINT AS hot, row_number() OVER (PARTITION BY n_name ORDER BY c_custkey) - 1 AS k FROM customer JOIN nation ON n_nationkey = c_nationkey),
+x AS (SELECT n_name || ':' || (k // 50)::VARCHAR AS page, title, hot, k % 50 + 1 AS rn FROM o)"""
 
 
 @query(
@@ -329,12 +334,13 @@ _PAGE_ROWS = """x AS (SELECT n_name AS page, c_name AS title, floor(abs(c_acctba
 CASE platform WHEN 'douyin' THEN NULL WHEN 'bilibili' THEN 'https://s.example/' || rn::VARCHAR WHEN 'weibo' THEN 'https://s.weibo.com/i/' || rn::VARCHAR ELSE 'https://host.example/i/' || rn::VARCHAR END AS url, hot::VARCHAR AS hot FROM x, (SELECT unnest(['weibo', 'baidu', 'zhihu', 'douyin', 'bilibili']) AS platform)"""
 )
 def q_parse_pages(spark, sf):
-    """The five parsers, on pages made of each nation's customers."""
+    """The five parsers, on pages made of fifty customers of a nation each."""
     from ..functions.register import register
 
     register(spark)
     c = adapters.table(spark, sf, "customer").join(adapters.table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    rows = c.groupBy(F.col("n_name").alias("page")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", F.col("c_name").alias("title"), F.floor(F.abs("c_acctbal")).cast("string").alias("hot")))).alias("x"))
+    placed = ordered.ranked(c.select("n_name", "c_custkey", "c_name", "c_acctbal"), ["n_name"], ["c_custkey"], "k")
+    rows = placed.groupBy(F.concat_ws(":", "n_name", F.floor((F.col("k") - 1) / 50).cast("string")).alias("page")).agg(F.array_sort(F.collect_list(F.struct("c_custkey", F.col("c_name").alias("title"), F.floor(F.abs("c_acctbal")).cast("string").alias("hot")))).alias("x"))
     number = lambda i: (i + 1).cast("string")
     each = lambda f: F.array_join(F.transform("x", f), "")
     listed = lambda f: F.to_json(F.transform("x", f))
@@ -365,7 +371,7 @@ def q_scan_comments(spark, sf):
 
     c = adapters.table(spark, sf, "conversations")
     line = F.to_json(F.struct(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("comment_id"), F.col("conv_id").alias("note_id"), F.col("text").alias("content"), F.format_number(F.length("text") * 3, 0).alias("like_count")))
-    path = f"{adapters.shared_folder(spark)}/comments-{unique.uuid4().hex}"
+    path = scratch.keep_path(spark, f"{adapters.shared_folder(spark)}/comments-{unique.uuid4().hex}")
     c.select(line.alias("value")).write.text(path)
     good, _ = jsonl.load_comments(spark, path, jsonl.Context())
     part = F.split("comment_external_id", "-")
@@ -378,21 +384,20 @@ SELECT 'detail_comments_assistant.jsonl', sum(length(conv_id::VARCHAR) + 1)::BIG
 SELECT 'all' AS kind, name, size FROM f UNION ALL SELECT 'content', name, size FROM f WHERE name NOT LIKE '%comment%' UNION ALL SELECT 'comment', name, size FROM f WHERE name LIKE '%comment%'"""
 )
 def q_discover_files(spark, sf):
-    """What a crawler's folder holds, by the names of its files."""
+    """What a crawler's folder holds, by the names of its files: each part of a file is one, written by its own task."""
     import uuid as unique
 
-    path = f"{adapters.shared_folder(spark)}/crawl-{unique.uuid4().hex}"
+    path = scratch.keep_path(spark, f"{adapters.shared_folder(spark)}/crawl-{unique.uuid4().hex}")
     c, jvm = adapters.table(spark, sf, "conversations"), spark._jvm
     for role, name in (("user", "search_contents_user"), ("assistant", "detail_comments_assistant"), ("system", "contents_of_comments")):
-        c.where(F.col("role") == role).select(F.col("conv_id").cast("string")).coalesce(1).write.text(f"{path}/{role}")
+        c.where(F.col("role") == role).select(F.col("conv_id").cast("string")).write.text(f"{path}/{role}")
         folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{role}")
         fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        for f in fs.listStatus(folder):
-            if f.getPath().getName().startswith("part-"):
-                fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{role}/{name}.jsonl"))
-    name = F.element_at(F.split("path", "/"), -1)
+        for k, f in enumerate(x for x in fs.listStatus(folder) if x.getPath().getName().startswith("part-")):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{role}/{name}-{k}.jsonl"))
+    name = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"-\d+\.jsonl$", ".jsonl")
     found = [jsonl.discover(spark, path, comments).select(F.lit(kind).alias("kind"), name.alias("name"), "size") for kind, comments in (("all", None), ("content", False), ("comment", True))]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return found[0].unionByName(found[1]).unionByName(found[2]).groupBy("kind", "name").agg(F.sum("size").alias("size"))
 
 
 @query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) || '/p/' || page_id::VARCHAR WHEN 1 THEN 'https://other.example/' || page_id::VARCHAR END AS link FROM pages")
@@ -640,9 +645,54 @@ def q_fallback_rank(spark, sf):
 
 @query(f"WITH {RAW} SELECT id, {ISO.format('coalesce(published_at, collected_at)')} AS ord_time, lag(id) OVER (PARTITION BY platform ORDER BY coalesce(published_at, collected_at), collected_at, id) AS before FROM raw")
 def q_proc_order(spark, sf):
-    r = relational.processing_order(adapters.raw_documents(spark, sf))
-    w = Window.partitionBy("platform").orderBy("ord_time", "collected_at", "id")
-    return r.select("id", iso("ord_time").alias("ord_time"), F.lag("id").over(w).alias("before"))
+    r = relational.processing_order(adapters.raw_documents(spark, sf)).select("id", "platform", "ord_time", "collected_at")
+    out = ordered.Ranges(r, ["platform"], ["ord_time", "collected_at", "id"]).last_known(F.col("id"), "before", before=True)
+    return out.select("id", iso("ord_time").alias("ord_time"), "before")
+
+
+_SESSION = """g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+k AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS k FROM g), s AS (SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS stop FROM k GROUP BY user_id, k)"""
+
+
+@query("SELECT l.event_id, max(r.event_id) AS last_id, max_by(r.value, r.event_id) AS last_value FROM events l LEFT JOIN events r ON r.user_id = l.user_id AND r.event_type = 'purchase' AND r.ts = (SELECT max(x.ts) FROM events x WHERE x.user_id = l.user_id AND x.event_type = 'purchase' AND x.ts <= l.ts) WHERE l.event_type <> 'purchase' GROUP BY l.event_id")
+def q_as_of_last(spark, sf):
+    """As-of join: the user's last purchase at each other event's time or before."""
+    e = adapters.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    bought = e.where("event_type = 'purchase'").select("user_id", "ts", F.col("event_id").alias("last_id"), F.col("value").alias("last_value"))
+    others = e.where("event_type <> 'purchase'").select("user_id", "ts", "event_id")
+    return ordered.as_of(others, bought, ["user_id"], "ts", ["last_id", "last_value"]).select("event_id", "last_id", "last_value")
+
+
+@query(f"WITH {_SESSION} SELECT e.event_id, strftime(s.start, '%Y-%m-%d %H:%M:%S') AS start FROM events e JOIN s ON s.user_id = e.user_id AND e.ts >= s.start AND e.ts < s.stop")
+def q_in_sessions(spark, sf):
+    """Interval join: each event with its user's session."""
+    e = adapters.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    s = incremental.sessions(e).select("user_id", "start", F.col("end").alias("stop"))
+    return ordered.in_intervals(e.select("user_id", "ts", "event_id"), s, ["user_id"], "ts", "start", "stop").select("event_id", iso("start").alias("start"))
+
+
+@query("SELECT coalesce(l.doc_id, c.conv_id) AS k, l.quality, c.turns FROM labels l FULL JOIN (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id) c ON c.conv_id = l.doc_id")
+def q_outer_report(spark, sf):
+    """Full outer join: labelled documents and conversations, whichever is there."""
+    c = adapters.table(spark, sf, "conversations").groupBy(F.col("conv_id").alias("k")).agg(F.count("*").alias("turns"))
+    return adapters.table(spark, sf, "labels").select(F.col("doc_id").alias("k"), "quality").join(c, "k", "full_outer").select("k", "quality", "turns")
+
+
+@query(
+    """WITH d AS (SELECT DISTINCT event_type, ts::DATE AS day FROM events), w AS (SELECT d.event_type, d.day, e.user_id, e.value FROM d JOIN events e ON e.event_type = d.event_type AND e.ts::DATE BETWEEN d.day - 6 AND d.day)
+SELECT event_type, strftime(day, '%Y-%m-%d') AS day, count(*) AS n, true AS users_close, true AS median_close FROM w GROUP BY event_type, day"""
+)
+def q_rolling_sketches(spark, sf):
+    """Sketches merged over seven days, held against the exact figures: users within six percent, the median's rank within two."""
+    e = adapters.table(spark, sf, "events")
+    w = sketches.rolling(sketches.daily(e, ["event_type"], "ts", "value", "user_id"), ["event_type"], 7)
+    w = w.withColumn("median", F.kll_sketch_get_quantile_double("heat_sketch", F.lit(0.5))).withColumn("users", F.hll_sketch_estimate("who_sketch")).drop("heat_sketch", "who_sketch")
+    held = e.select("event_type", F.explode(F.transform(F.sequence(F.lit(0), F.lit(6)), lambda k: F.date_add(F.to_date("ts"), k))).alias("day"), "user_id", "value")
+    met = held.join(w, ["event_type", "day"]).groupBy("event_type", "day").agg(
+        F.first("n").alias("n"), (F.abs(F.first("users") / F.count_distinct("user_id") - 1) <= 0.06).alias("users_close"),
+        ((F.count_if(F.col("value") < F.col("median")) / F.count("value") <= 0.52) & (F.count_if(F.col("value") <= F.col("median")) / F.count("value") >= 0.48)).alias("median_close"),
+    )
+    return met.select("event_type", F.date_format("day", "yyyy-MM-dd").alias("day"), "n", "users_close", "median_close")
 
 
 @query("SELECT 'document' AS kind, doc_id AS k, length(text)::BIGINT AS n FROM documents UNION ALL SELECT 'page', page_id, length(html) FROM pages UNION ALL SELECT 'turn', conv_id * 1000 + turn, length(text) FROM conversations")
@@ -839,6 +889,15 @@ def q_dedup_turns(spark, sf):
     return out.decisions.select("raw_item_id", "outcome", "reason", "duplicate_of")
 
 
+@query()
+def q_dedup_documents(spark, sf):
+    """Documents as posts without a title: leaders by their whole contents, in order of their ids."""
+    d = adapters.table(spark, sf, "documents").withColumn("norm_full", text.normalize_text("text"))
+    items = d.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), F.lit(False).alias("anchor"), F.col("source").alias("platform"), "norm_full", text.simhash64_arrow("norm_full").alias("simhash"))
+    p = Config().processing
+    return similar.content_leaders(items, p.content_similarity).withColumnRenamed("id", "doc_id")
+
+
 @query()
 def q_near_dup_edges(spark, sf):
     c = cleaning.clean_projection(page_nodes(spark, sf), Config())

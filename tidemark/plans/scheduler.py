@@ -28,6 +28,20 @@ def sources(cfg: Config) -> list[tuple]:
     return out + [row(f"account:{a}", "account", s.account) for a in cfg.collect.accounts]
 
 
+def catalog_of(platforms: DataFrame, keywords: DataFrame, accounts: DataFrame, cfg: Config) -> DataFrame:
+    """The same catalog for sources that are tables: platforms (name), keywords (name, words: how many) and accounts (name).
+
+    Nothing passes through the driver; keywords without words are no source.
+    """
+    s = cfg.scheduler
+
+    def rows(names: DataFrame, kind: str, i) -> DataFrame:
+        number = lambda n: F.lit(n).cast("int")
+        return names.select(F.concat(F.lit(f"{kind}:"), "name").alias("source_key"), F.lit(kind).alias("kind"), number(i.interval_seconds).alias("interval_seconds"), number(i.jitter_min_seconds).alias("jitter_min_seconds"), number(i.jitter_max_seconds).alias("jitter_max_seconds"))
+
+    return rows(platforms, "hotsearch", s.hotsearch).unionByName(rows(keywords.where("words > 0"), "keyword", s.keyword)).unionByName(rows(accounts, "account", s.account))
+
+
 def next_run(completed: Column, interval: Column, jitter_min: Column, jitter_max: Column, seed: int | None = None) -> Column:
     u = F.rand(seed) if seed is not None else F.rand()
     return completed + F.make_interval(secs=interval + jitter_min + u * (jitter_max - jitter_min))

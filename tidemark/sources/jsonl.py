@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import NS_RAW, sha256_hex, uuid5
 from ..functions.parse import as_int, first_of, parse_count, parse_datetime
+from ..operators.ordered import Ranges
 
 VERSION = "jsonl-v1"
 
@@ -74,8 +75,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     ranges before it in its file, of which there is one row each. Lines end at `\\n`, `\\r` or both only: characters such as
     U+2028 may stand inside JSON strings.
     """
-    raw = spark.read.option("recursiveFileLookup", "true").text(path)
-    raw = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+    return numbered(with_place(spark.read.option("recursiveFileLookup", "true").text(path)))
+
+
+def with_place(raw: DataFrame) -> DataFrame:
+    """(path, start, value) of text read by ranges, from files that are there or that land in a stream."""
+    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
+
+
+def numbered(raw: DataFrame) -> DataFrame:
+    """Lines with a place as (path, line_number, line), blank ones left out; all ranges of a file must be there."""
     schema = "path string, start long, k long, value string"
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,11 +98,11 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
                 k[i] = n
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(k), b.column(2)], names=["path", "start", "k", "value"])
 
-    numbered = raw.mapInArrow(number, schema)
-    lines = numbered.groupBy("path", "start").agg(F.max("k").alias("lines"))
+    own = raw.mapInArrow(number, schema)
+    lines = own.groupBy("path", "start").agg(F.max("k").alias("lines"))
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = lines.select("path", "start", F.coalesce(F.sum("lines").over(before), F.lit(0)).alias("before"))
-    found = numbered.where(F.trim("value") != "").join(offsets, ["path", "start"])
+    found = own.where(F.trim("value") != "").join(offsets, ["path", "start"])
     return found.select("path", (F.col("before") + F.col("k")).cast("int").alias("line_number"), F.col("value").alias("line"))
 
 
@@ -154,9 +163,9 @@ def map_comments(rows: DataFrame, ctx: Context) -> DataFrame:
 def split_errors(mapped: DataFrame, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(good rows, errors as path, line_number, reason). With a limit, each file ends with its n-th good row."""
     if limit is not None:
-        w = Window.partitionBy("path").orderBy("line_number")
-        good_before = F.coalesce(F.sum(F.col("error").isNull().cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        mapped = mapped.withColumn("_n", good_before).where(F.col("_n") < limit).drop("_n")
+        good = F.col("error").isNull().cast("int")
+        counted = Ranges(mapped, ["path"], ["line_number"]).running_sum(good, "_n")
+        mapped = counted.where(F.col("_n") - good < limit).drop("_n")
     return mapped.where("error is null").drop("error", "path", "line_number"), mapped.where("error is not null").select("path", "line_number", F.col("error").alias("reason"))
 
 
