@@ -167,7 +167,7 @@ def run(args: argparse.Namespace) -> tuple[object, bool]:
         def downstream() -> dict:
             return {"status": engine.run({k: steps[k] for k in ("processing", "analysis", "scoring", "output")}).status}
 
-        cycles.append(asdict(scheduler.run_cycle(cfg, state, t, collect, downstream)))
+        cycles.append(asdict(scheduler.run_cycle(cfg, state, t, collect, downstream, spark=spark)))
     return {"cycles": cycles, "state": state}, all(c["status"] != "failed" for c in cycles)
 
 

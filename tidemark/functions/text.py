@@ -72,22 +72,22 @@ def simhash64(normal: Column) -> Column:
 class _Votes:
     """The votes of features, one or minus one for each of 64 bits, kept for those that come again."""
 
-    def __init__(self, most: int = 100_000):
+    def __init__(self, most: int = 50_000):
         self.most, self.place = most, {}
-        self.table = np.empty((most, 64), np.int8)
+        self.table = np.empty((most, 64))
 
     def rows(self, keys: list, feature: Callable) -> np.ndarray:
         if len(self.place) + len(keys) > self.most:
             self.place.clear()
             if len(keys) > self.most:
                 self.most = 2 * len(keys)
-                self.table = np.empty((self.most, 64), np.int8)
+                self.table = np.empty((self.most, 64))
         at = [self.place.get(k, -1) for k in keys]
         for i, (k, n) in enumerate(zip(keys, at)):
             if n < 0:
                 at[i] = self.place[k] = len(self.place)
                 bits = np.unpackbits(np.frombuffer(hashlib.sha256(feature(k).encode()).digest()[:8], np.uint8))
-                self.table[at[i]] = 2 * bits.astype(np.int8) - 1
+                self.table[at[i]] = 2.0 * bits - 1
         return self.table[at]
 
 
@@ -99,14 +99,14 @@ def simhash_py(normal: str) -> str:
     if not normal:
         return "0" * 16
     words = Counter(normal.split(" "))
-    total = np.fromiter(words.values(), np.int64, len(words)) @ _votes.rows(list(words), str)
+    total = np.fromiter(words.values(), np.float64, len(words)) @ _votes.rows(list(words), str)
     code = np.frombuffer(normal.encode("utf-32-le"), np.uint32).astype(np.int64)
     if len(code) < 3:
         total = total + _votes.rows([normal], str)[0]
     else:
         grams, times = np.unique(code[:-2] << 42 | code[1:-1] << 21 | code[2:], return_counts=True)
         part = (1 << 21) - 1
-        total = total + times @ _votes.rows(grams.tolist(), lambda g: chr(g >> 42) + chr(g >> 21 & part) + chr(g & part))
+        total = total + times.astype(np.float64) @ _votes.rows(grams.tolist(), lambda g: chr(g >> 42) + chr(g >> 21 & part) + chr(g & part))
     return np.packbits(total > 0).tobytes().hex()
 
 

@@ -136,17 +136,31 @@ def post(url: str, body: str, transport: Callable[[str, bytes, float], tuple[int
 ATTEMPT = "event_id string, status string, http_tries int, response string, error string, payload_hash string"
 
 
-def deliver(events: DataFrame, sender: Callable[[str], dict] | None = None) -> DataFrame:
-    """An attempt row per event of payloads(); without a sender it is a dry run. The caller writes the rows once."""
+def deliver(events: DataFrame, sender: Callable[[str], dict] | None = None, journal=None) -> DataFrame:
+    """An attempt row per event of payloads(); without a sender it is a dry run.
+
+    With a journal (events then have attempt_number) an attempt is claimed before it is sent and its outcome noted after, so a task
+    that runs again sends nothing twice; an attempt whose outcome nobody noted is `unknown`. Without one a task that runs
+    again sends again.
+    """
+    more = ["attempt_number"] if "attempt_number" in events.columns else []
+    if sender is None:
+        return events.select("event_id", F.lit("dry_run").alias("status"), F.lit(0).alias("http_tries"), F.lit(None).cast("string").alias("response"), F.lit(None).cast("string").alias("error"), "payload_hash", *more)
+    from .journal import digest, once
+
+    send = None if journal is None else once(sender, journal)
+    number = F.col("attempt_number").cast("int") if more else F.lit(None).cast("int")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            rows = [(e, *((r := sender(p))["status"], r["http_tries"], r["response"], r["error"]), h) for e, p, h in zip(f["event_id"], f["payload"], f["payload_hash"])]
-            yield pd.DataFrame(rows, columns=["event_id", "status", "http_tries", "response", "error", "payload_hash"])
-
-    if sender is None:
-        return events.select("event_id", F.lit("dry_run").alias("status"), F.lit(0).alias("http_tries"), F.lit(None).cast("string").alias("response"), F.lit(None).cast("string").alias("error"), "payload_hash")
-    return events.select("event_id", "payload", "payload_hash").mapInPandas(run, ATTEMPT)
+            rows = []
+            for e, p, h, n in zip(f["event_id"], f["payload"], f["payload_hash"], f["number"]):
+                r = sender(p) if send is None else send(digest(e, int(n), h), p)
+                rows.append((e, r["status"], r["http_tries"], r["response"], r["error"], h, n))
+            yield pd.DataFrame(rows, columns=["event_id", "status", "http_tries", "response", "error", "payload_hash", "attempt_number"])
+
+    sent = events.select("event_id", "payload", "payload_hash", number.alias("number")).mapInPandas(run, ATTEMPT + ", attempt_number int")
+    return sent if more else sent.drop("attempt_number")
 
 
 def number_attempts(new: DataFrame, deliveries: DataFrame) -> DataFrame:

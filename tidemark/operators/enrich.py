@@ -197,7 +197,7 @@ def analyse(reqs: DataFrame, client: Callable[[str, str, str, dict], Answer], se
     """A row per item: the combined answer if all tasks gave a valid one, and the audit columns in any case.
 
     An item's few requests are gathered in one row and asked for one after the other; items run in parallel. The calls of
-    an item whose task is run again are made again: a client that must not repeat itself keys them by digest.
+    an item whose task is run again are made again, unless the client is a `journal.Remembered` one.
     """
     prompts = {t: load_prompt(t, prompt_dir)[0] for t in TASKS}
     forms = schemas(sentiments)

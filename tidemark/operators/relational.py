@@ -55,7 +55,8 @@ def with_sources(clean: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def undelivered(events: DataFrame, deliveries: DataFrame, include_delivered: bool = False) -> DataFrame:
-    return events if include_delivered else events.join(deliveries.where("status = 'succeeded'").select("event_id"), "event_id", "left_anti")
+    """Events that haven't arrived; one that may have (`unknown`) isn't sent again unless all are asked for."""
+    return events if include_delivered else events.join(deliveries.where("status in ('succeeded', 'unknown')").select("event_id"), "event_id", "left_anti")
 
 
 def delivery_report(events: DataFrame, deliveries: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Tables on Parquet: idempotent appends, upserts that keep the first created_at, replacement, and integrity checks.
 
 A table is a folder of versions. Numbered manifests name the versions of all tables that count; the one with the highest
-number is the store. A commit writes its tables, then a manifest beside the others, and renames it to the next number as
+number is the store. A commit writes its tables, then a manifest beside the others, and gives it the next number as
 its last act: readers see all tables of a commit or none, a crash before that leaves the last commit as it was, and of two
 writers that began from the same number one fails.
 """
@@ -15,7 +15,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schema import KEYS
+from ..schema import KEYS, PARTITIONED
+from . import stopping
 
 
 def insert_ignore(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
@@ -41,6 +42,10 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti")
 
 
+class Conflict(RuntimeError):
+    """Another writer has made the commit that this one was going to be."""
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -68,38 +73,68 @@ class Store:
             stream.close()
 
     def read(self, name: str) -> DataFrame | None:
-        versions = self.manifest()[1].get(name)
-        return self.spark.read.parquet(*[f"{self.root}/{name}/{v}" for v in versions]) if versions else None
+        return self._read(self.manifest()[1], name)
+
+    def _read(self, tables: dict[str, list[str]], name: str) -> DataFrame | None:
+        reader = self.spark.read.schema(PARTITIONED[name][0]) if name in PARTITIONED else self.spark.read
+        return reader.parquet(*[f"{self.root}/{name}/{v}" for v in tables[name]]) if tables.get(name) else None
 
-    def commit(self, tables: dict[str, DataFrame], append: bool = False) -> None:
-        """Writes all tables, then one manifest: a run's outputs appear together, or none of them."""
+    def commit(self, tables: dict[str, DataFrame], append: bool = False, upserts: dict[str, DataFrame] | None = None) -> None:
+        """Writes all tables, then one manifest: a run's outputs appear together, or none of them. `upserts` are merged by key."""
         number, old = self.manifest()
         written = {name: self._write(name, df) for name, df in tables.items()}
-        self._publish(number, old | {name: [*(old.get(name, []) if append else []), v] for name, v in written.items()})
+        merged = {name: self._write(name, df if (before := self._read(old, name)) is None else upsert(before, df, KEYS[name])) for name, df in (upserts or {}).items()}
+        self._publish(number, old | {name: [*(old.get(name, []) if append else []), v] for name, v in written.items()} | {name: [v] for name, v in merged.items()})
 
     def _write(self, name: str, df: DataFrame) -> str:
         v = uuid.uuid4().hex
-        df.write.parquet(f"{self.root}/{name}/{v}")
+        df.write.partitionBy(*PARTITIONED.get(name, ("", []))[1]).parquet(f"{self.root}/{name}/{v}")
         return v
 
     def _publish(self, number: int, tables: dict[str, list[str]]) -> None:
+        """The manifest of the next number, made only if it isn't there; by a thread whose work was stopped, not at all."""
+        stopping.check()
         fs, target = self._fs(f"{self.root}/_manifests/{number + 1:012d}.json")
         _, temp = self._fs(f"{self.root}/_manifests/.{uuid.uuid4().hex}")
+        body = bytearray(json.dumps(tables, sort_keys=True).encode())
         out = fs.create(temp, True)
-        out.write(bytearray(json.dumps(tables, sort_keys=True).encode()))
+        out.write(body)
         out.close()
-        if fs.exists(target) or not fs.rename(temp, target):
+        try:
+            if self._taken(fs, temp, target):
+                raise Conflict(f"commit {number + 1} of {self.root} has been made by another writer")
+        finally:
             fs.delete(temp, False)
-            raise RuntimeError(f"commit {number + 1} of {self.root} has been made by another writer")
 
-    def append_new(self, name: str, new: DataFrame) -> int:
-        """Insert or ignore by the table's key; how many rows are new."""
-        number, tables = self.manifest()
-        old = self.read(name)
-        rows = new.dropDuplicates(KEYS[name]) if old is None else insert_ignore(old, new, KEYS[name])
-        v = self._write(name, rows)
-        self._publish(number, tables | {name: [*tables.get(name, []), v]})
-        return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}/{v}").count()
+    def _taken(self, fs, temp, target) -> bool:
+        """Whether the number was taken; if not, it is now. On local disks a link is made, elsewhere a rename that replaces
+        nothing: both fail where the name is there, so of two writers at once one is told."""
+        if fs.getUri().getScheme() == "file":
+            files, path = self.spark._jvm.java.nio.file.Files, lambda p: self.spark._jvm.java.io.File(p.toUri().getPath()).toPath()
+            try:
+                files.createLink(path(target), path(temp))
+                return False
+            except Exception as e:
+                if "FileAlreadyExistsException" not in str(e):
+                    raise
+                return True
+        return fs.exists(target) or not fs.rename(temp, target)
+
+    def append_new(self, name: str, new: DataFrame, tries: int = 8) -> int:
+        """Insert or ignore by the table's key; how many rows are new. Sources that collect side by side may commit at once:
+        who comes second looks again at what is there."""
+        for last in (*[False] * (tries - 1), True):
+            number, tables = self.manifest()
+            old = self._read(tables, name)
+            rows = new.dropDuplicates(KEYS[name]) if old is None else insert_ignore(old, new, KEYS[name])
+            v = self._write(name, rows)
+            try:
+                self._publish(number, tables | {name: [*tables.get(name, []), v]})
+            except Conflict:
+                if last:
+                    raise
+                continue
+            return self.spark.read.schema(rows.schema).parquet(f"{self.root}/{name}/{v}").count()
 
     def upsert(self, name: str, new: DataFrame, version: str = "updated_at", created: str | None = "created_at") -> None:
         old = self.read(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -10,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..operators import emit, enrich, relational, scoring
+from ..operators import anchors, emit, enrich, relational, scoring
+from ..operators.journal import Journal, Remembered
 from ..operators.store import Store
 from ..sources import hotsearch, jsonl
 from . import cleaning
@@ -59,17 +61,26 @@ class Engine:
         raw = self.store.read("raw_items")
         if raw is None:
             return "succeeded", {"input_count": 0, "accepted_count": 0, "discarded_count": 0}
-        decisions, anchors = self.store.read("decisions"), self.store.read("clean_items")
+        decisions = self.store.read("decisions")
         pending = raw if decisions is None else relational.pending(raw, decisions)
-        out = cleaning.run(pending, anchors, self.cfg, F.lit(ref_time).cast("timestamp"), run_id)
+        out = cleaning.run(pending, self._anchors(), self.cfg, F.lit(ref_time).cast("timestamp"), run_id)
         sources = out.sources
         if (old := self.store.read("clean_item_sources")) is not None:  # later sources follow those that are there
             last = old.groupBy("clean_item_id").agg((F.max("pos") + 1).alias("n"))
             sources = sources.join(last, "clean_item_id", "left").select("clean_item_id", "raw_item_id", (F.col("pos") + F.coalesce("n", F.lit(0))).alias("pos"))
-        self.store.commit({"clean_items": out.accepted, "clean_item_sources": sources, "decisions": out.decisions, "processing_runs": out.run}, append=True)
+        p = self.cfg.processing
+        index = {"anchor_signatures": anchors.signatures(out.accepted, p.title_similarity, p.content_similarity), "anchor_bodies": anchors.bodies(out.accepted)}
+        self.store.commit({"clean_items": out.accepted, "clean_item_sources": sources, "decisions": out.decisions, "processing_runs": out.run, **index}, append=True)
         n = out.run.first()
         return "succeeded", {"input_count": n.input_count, "accepted_count": n.accepted_count, "discarded_count": n.discarded_count}
 
+    def _anchors(self) -> Callable[[DataFrame], DataFrame] | None:
+        """What finds the accepted items beside new ones: by the index, which every run that accepts items adds to."""
+        index, texts, p = self.store.read("anchor_signatures"), self.store.read("anchor_bodies"), self.cfg.processing
+        if index is None or texts is None:
+            return None
+        return lambda new: anchors.anchors_for(new, index, texts, p.title_similarity, p.content_similarity)
+
     def clean_items(self) -> DataFrame | None:
         c = self.store.read("clean_items")
         return None if c is None else c.withColumnRenamed("id", "clean_item_id")
@@ -97,9 +108,11 @@ class Engine:
         sentiments = list(self.cfg.analysis.sentiment_weights)
         from ..operators.dedup import _table
 
-        rows = _table(enrich.analyse(reqs, client, sentiments, self.cfg.analysis.prompt_dir).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")), "answers")
-        self.store.append("audits", rows.select("clean_item_id", F.col("ok").alias("succeeded"), "attempts", "error", "input_tokens", "output_tokens", "total_tokens", "digest", "created_at"))
-        self.store.upsert("analyses", rows.where("ok").drop("ok", "error", "attempts"))
+        asked = Remembered(client, Journal(f"{self.store.root}/_answers"), uuid.uuid4().hex)
+        rows = _table(enrich.analyse(reqs, asked, sentiments, self.cfg.analysis.prompt_dir).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")), "answers")
+        audits = rows.select("clean_item_id", F.col("ok").alias("succeeded"), "attempts", "error", "input_tokens", "output_tokens", "total_tokens", "digest", "created_at")
+        self.store.commit({"audits": audits}, append=True, upserts={"analyses": rows.where("ok").drop("ok", "error", "attempts")})
+        Journal(f"{self.store.root}/_answers").forget()  # what counts is in the tables now; a failed item's answers are asked for again
         n = rows.agg(F.count_if("ok").alias("a"), F.count_if(~F.col("ok")).alias("f")).first()
         return "succeeded" if not n.f else "partial" if n.a else "failed", {"analysed": n.a, "failed": n.f}
 
@@ -122,8 +135,8 @@ class Engine:
         from ..operators.dedup import _table
 
         rows = _table(rows.withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")), "scores")
-        self.store.upsert("assessments", rows)
-        self.store.upsert("events", emit.project_events(rows).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")))
+        events = emit.project_events(rows).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at"))
+        self.store.commit({}, upserts={"assessments": rows, "events": events})
         return "succeeded", {"scored": rows.count()}
 
     def outgoing(self, include_queued: bool = False, force: bool = False) -> DataFrame | None:
@@ -141,11 +154,19 @@ class Engine:
         from ..operators.dedup import _table
 
         known = self._or_empty("deliveries", "event_id string, status string, attempt_count int, payload_hash string, error string")
-        tried = _table(emit.number_attempts(emit.deliver(out, sender), known).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")), "attempts")
-        self.store.upsert("attempts", tried)
-        self.store.upsert("deliveries", emit.merge_deliveries(tried, known).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at")))
+        numbered = _table(emit.number_attempts(out, known), "outgoing")
+        if sender is not None:  # what is going to be sent is in the store before anything is
+            self.store.append("intents", numbered.select("event_id", "attempt_number", "payload_hash", F.current_timestamp().alias("created_at")))
+        notes = Journal(f"{self.store.root}/_deliveries")
+        tried = emit.deliver(numbered, sender, notes).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at"))
+        tried = _table(tried, "attempts")
+        merged = emit.merge_deliveries(tried, known).withColumn("created_at", F.current_timestamp()).withColumn("updated_at", F.col("created_at"))
+        self.store.commit({}, upserts={"attempts": tried, "deliveries": merged})
+        if sender is not None:
+            notes.forget()
         n = {r.status: r["count"] for r in tried.groupBy("status").count().collect()}
-        return "partial" if "failed" in n and len(n) > 1 else "failed" if "failed" in n else "succeeded", {"attempts": n}
+        bad = {"failed", "unknown"} & set(n)
+        return "partial" if bad and set(n) - bad else "failed" if bad else "succeeded", {"attempts": n}
 
     # ---- the whole ----
     def stats(self) -> dict[str, int]:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import random
+import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from concurrent.futures import TimeoutError as Late
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..operators.stopping import Work
 
 
 def catalog(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -60,12 +62,14 @@ class Cycle:
 
 
 def run_cycle(
-    cfg: Config, state: dict[str, datetime], now: datetime, collect: Callable[[str], str], downstream: Callable[[], dict], rng: random.Random | None = None, clock: Callable[[], datetime] | None = None
-) -> Cycle:
+    cfg: Config, state: dict[str, datetime], now: datetime, collect: Callable[[str], str], downstream: Callable[[], dict], rng: random.Random | None = None, clock: Callable[[], datetime] | None = None,
+    spark: SparkSession | None = None, downstream_timeout: float | None = None,
+) -> Cycle:
     """One cycle. state: source key to next run, advanced in place even when a source fails.
 
-    Sources are driver threads (each submits its own Spark jobs), as many at a time as configured; one that exceeds its
-    time is a failure and doesn't hold up the cycle.
+    Sources are driver threads (each submits its own Spark jobs), as many at a time as configured. One that exceeds its time is
+    a failure and is stopped: its jobs are interrupted by their tag, and a commit that it tries later is refused. The
+    downstream run has a limit too (that of a source, unless another is given). A source's time runs from its own start.
     """
     if not cfg.scheduler.enabled:
         return Cycle("skipped")
@@ -75,25 +79,51 @@ def run_cycle(
     idle = lambda: max(0.0, min(((state[r[0]] - clock()).total_seconds() for r in rows if r[0] in state), default=0.0))
     if not ready:
         return Cycle("idle", idle_seconds=idle())
-    runs, pool = [], ThreadPoolExecutor(cfg.scheduler.max_concurrent_tasks)
+    limit, runs = cfg.scheduler.task_timeout_seconds, []
+    waiting, busy = list(ready), {}
+    pool = ThreadPoolExecutor(len(ready) + 1)  # threads of stopped work may end late: they take nobody's place
+
+    def begin(name: str, f: Callable) -> tuple:
+        work = Work(name, spark)
+
+        def go():
+            with work.running():
+                return f()
+
+        return pool.submit(go), work, time.monotonic()
+
+    def done(row: tuple, status: str, error: str | None) -> None:
+        key, kind, interval, lo, hi = row
+        at = clock()
+        state[key] = at + timedelta(seconds=interval + rng.uniform(lo, hi))
+        runs.append({"source_key": key, "kind": kind, "status": status, "error": error, "completed_at": at})
+
     try:
-        futures = [(r, pool.submit(collect, r[0])) for r in ready]
-        for (key, kind, interval, lo, hi), f in futures:
-            error, status = None, "failed"
-            try:
-                status = f.result(timeout=cfg.scheduler.task_timeout_seconds)
-            except Late:
-                error = "timed out"
-                f.cancel()
-            except Exception as e:
-                error = str(e)
-            done = clock()
-            state[key] = done + timedelta(seconds=interval + rng.uniform(lo, hi))
-            runs.append({"source_key": key, "kind": kind, "status": status, "error": error, "completed_at": done})
+        while waiting or busy:
+            while waiting and len(busy) < cfg.scheduler.max_concurrent_tasks:
+                row = waiting.pop(0)
+                busy[row] = begin(row[0], lambda key=row[0]: collect(key))
+            left = min(began + limit - time.monotonic() for _, _, began in busy.values())
+            wait([f for f, _, _ in busy.values()], max(0.0, left), FIRST_COMPLETED)
+            for row, (f, work, began) in list(busy.items()):
+                if f.done():
+                    done(row, "failed" if f.exception() else f.result(), str(f.exception()) if f.exception() else None)
+                elif time.monotonic() - began >= limit:
+                    work.stop()
+                    done(row, "failed", "timed out")
+                else:
+                    continue
+                del busy[row]
+        f, work, _ = begin("downstream", downstream)
+        try:
+            after = f.result(limit if downstream_timeout is None else downstream_timeout)
+        except Late:
+            work.stop()
+            after = {"status": "failed", "error": "timed out"}
+        except Exception as e:
+            after = {"status": "failed", "error": str(e)}
     finally:
+        for _, work, _ in busy.values():
+            work.stop()
         pool.shutdown(wait=False, cancel_futures=True)
-    try:
-        after = downstream()
-    except Exception as e:
-        after = {"status": "failed", "error": str(e)}
     return Cycle(fold([r["status"] for r in runs] + [after["status"]]), runs, after, idle())

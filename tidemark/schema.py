@@ -34,5 +34,11 @@ AUDIT = ("clean_item_id string not null, succeeded boolean, attempts int, error
 KEYS = {
     "tasks": ["task_id"], "raw_items": ["id"], "crawler_runs": ["task_id", "started_at"], "clean_items": ["id"], "clean_item_sources": ["clean_item_id", "raw_item_id"],
     "comments": ["id"], "processing_runs": ["id"], "decisions": ["raw_item_id"], "audits": ["clean_item_id", "created_at"], "analyses": ["clean_item_id"],
-    "assessments": ["clean_item_id"], "events": ["event_id"], "deliveries": ["event_id"], "attempts": ["event_id", "attempt_number"], "scheduler_state": ["source_key"], "scheduler_runs": ["id"],
+    "assessments": ["clean_item_id"], "events": ["event_id"], "deliveries": ["event_id"], "attempts": ["event_id", "attempt_number"], "intents": ["event_id", "attempt_number"], "scheduler_state": ["source_key"], "scheduler_runs": ["id"],
 }
+
+#: Tables that are read by parts: columns, and those that their folders are named by.
+PARTITIONED = {
+    "anchor_signatures": ("key long, n int, simhash string, counts binary, id string, kind int, cell int", ["kind", "cell"]),
+    "anchor_bodies": ("id string, source_type string, platform string, external_id string, url_hash string, norm_title string, norm_full string, simhash string, published_at timestamp, collected_at timestamp, cell int", ["cell"]),
+}

@@ -13,16 +13,16 @@ from ..sources import jsonl
 def watch(engine: Engine, directory: str, ctx: jsonl.Context, checkpoint: str, ref_time: str | None = None, once: bool = True, files_per_trigger: int = 100) -> StreamingQuery:
     """New content files below a directory go through ingest and cleaning, a micro-batch at a time.
 
+    Files are read by ranges of lines, as in batch: a large one has many tasks, no file is a row, and ids are the same.
+
     The same items are ignored by key and the same decisions made once, so a batch that is replayed after a failure
     changes nothing. Age is judged by the cleaning plan and recorded there; a watermark would drop rows without a trace.
     """
     spark = engine.spark
-    lines = spark.readStream.format("text").option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*content*.jsonl").option("maxFilesPerTrigger", files_per_trigger).load(directory)
-    lines = lines.select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = jsonl.with_place(spark.readStream.format("text").option("recursiveFileLookup", "true").option("pathGlobFilter", "*content*.jsonl").option("maxFilesPerTrigger", files_per_trigger).load(directory))
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        x = batch.select("path", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("k", "line")).where(F.trim("line") != "")
-        good, _ = jsonl.split_errors(jsonl.map_items(jsonl.parsed(x.select("path", (F.col("k") + 1).alias("line_number"), "line")), ctx))
+        good, _ = jsonl.split_errors(jsonl.map_items(jsonl.parsed(jsonl.numbered(batch)), ctx))
         engine.store.append_new("raw_items", good)
         engine.process(ref_time or spark.sql("select date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss')").first()[0], f"stream-{batch_id}")
 
@@ -45,11 +45,6 @@ def heat_windows(events: DataFrame, size: str = "1 hour", late: str = "72 hours"
     return e.groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
-def first_sightings(events: DataFrame, key: list[str], late: str = "72 hours") -> DataFrame:
-    """Each key once within the lateness bound."""
-    return _marked(events, late).dropDuplicatesWithinWatermark(key) if events.isStreaming else events.dropDuplicates(key)
-
-
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "72 hours") -> DataFrame:
     """Sessions of each user: events not further apart than the gap; on streams and on tables."""
     e = _marked(events, late)
