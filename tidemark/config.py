@@ -15,12 +15,47 @@ from .schema import CATEGORIES, CRAWL_PLATFORMS, HOT_PLATFORMS, LEVELS
 
 # ---- fixed values: the default rules, weights and thresholds ----
 DEFAULT_RULES = {
-    "sudden_event": (100, "爆炸 爆燃 起火 火灾 坍塌 塌方 垮塌 交通事故 车祸 追尾 矿难 瓦斯 透水 泄漏 毒气 化学品泄漏 坠机 坠毁 沉船 翻船 踩踏 施工事故 高处坠落 触电 机械伤害 溺水 地震 余震 震感 洪水 汛情 决堤 内涝 台风 山体滑坡 泥石流 暴雪 冰雹 龙卷风 地陷 地面塌陷 森林火灾 食物中毒 集体腹泻 集体呕吐 疑似食物中毒 疫情 聚集性疫情 传染病 职业中毒 饮用水污染 水质异常 疫苗异常 持刀伤人 砍伤 刺伤 无差别伤人 报复社会 劫持 人质 纵火 投毒 爆炸物 可疑包裹 持刀 行凶"),
-    "mass_event": (95, "聚集 聚集上访 群体聚集 围堵 堵门 堵路 堵桥 罢工 罢运 罢市 停工 讨薪 讨要工资 静坐 拉横幅 举牌子 集体维权 聚集维权 医闹 校闹 聚集讨说法"),
-    "police_stability": (92, "警察打人 暴力执法 执法冲突 涉案警察 辅警打人 协警 警车事故 派出所 警民冲突 袭警 辱警 阻碍执法 假警察 冒充警察 警察涉案 看守所 在押人员"),
-    "livelihood_sensitive": (75, "拆迁 征地 强制拆除 补偿款 欠薪 拖欠工资 农民工讨薪 物业纠纷 停水 停电 停气 供暖 房价 烂尾楼 延期交房 校园安全 校园霸凌 欺凌 体罚 食堂卫生 医疗纠纷 医患冲突 环境污染 偷排 异味 排放超标 食品安全 过期食品 黑作坊 养老 养老院 疫苗 学区 入学难 强制消费"),
-    "cyber_fraud": (85, "数据泄露 信息泄露 个人信息泄露 黑客攻击 网站被黑 勒索病毒 系统瘫痪 宕机 网络攻击 钓鱼网站 撞库 电信诈骗 刷单返利 杀猪盘 冒充公检法 虚假投资 虚假理财 集资诈骗 养老诈骗 冒充客服 机票退改签诈骗"),
-    "other": (30, ""),
+    "sudden_event": (
+        100,
+        [
+            "爆炸", "爆燃", "起火", "火灾", "坍塌", "塌方", "垮塌", "交通事故", "车祸", "追尾", "矿难", "瓦斯",
+            "透水", "泄漏", "毒气", "化学品泄漏", "坠机", "坠毁", "沉船", "翻船", "踩踏", "施工事故", "高处坠落", "触电",
+            "机械伤害", "溺水", "地震", "余震", "震感", "洪水", "汛情", "决堤", "内涝", "台风", "山体滑坡", "泥石流",
+            "暴雪", "冰雹", "龙卷风", "地陷", "地面塌陷", "森林火灾", "食物中毒", "集体腹泻", "集体呕吐", "疑似食物中毒", "疫情", "聚集性疫情",
+            "传染病", "职业中毒", "饮用水污染", "水质异常", "疫苗异常", "持刀伤人", "砍伤", "刺伤", "无差别伤人", "报复社会", "劫持", "人质",
+            "纵火", "投毒", "爆炸物", "可疑包裹", "持刀", "行凶",
+        ],
+    ),
+    "mass_event": (
+        95,
+        [
+            "聚集", "聚集上访", "群体聚集", "围堵", "堵门", "堵路", "堵桥", "罢工", "罢运", "罢市", "停工", "讨薪",
+            "讨要工资", "静坐", "拉横幅", "举牌子", "集体维权", "聚集维权", "医闹", "校闹", "聚集讨说法",
+        ],
+    ),
+    "police_stability": (
+        92,
+        [
+            "警察打人", "暴力执法", "执法冲突", "涉案警察", "辅警打人", "协警", "警车事故", "派出所", "警民冲突", "袭警", "辱警", "阻碍执法",
+            "假警察", "冒充警察", "警察涉案", "看守所", "在押人员",
+        ],
+    ),
+    "livelihood_sensitive": (
+        75,
+        [
+            "拆迁", "征地", "强制拆除", "补偿款", "欠薪", "拖欠工资", "农民工讨薪", "物业纠纷", "停水", "停电", "停气", "供暖",
+            "房价", "烂尾楼", "延期交房", "校园安全", "校园霸凌", "欺凌", "体罚", "食堂卫生", "医疗纠纷", "医患冲突", "环境污染", "偷排",
+            "异味", "排放超标", "食品安全", "过期食品", "黑作坊", "养老", "养老院", "疫苗", "学区", "入学难", "强制消费",
+        ],
+    ),
+    "cyber_fraud": (
+        85,
+        [
+            "数据泄露", "信息泄露", "个人信息泄露", "黑客攻击", "网站被黑", "勒索病毒", "系统瘫痪", "宕机", "网络攻击", "钓鱼网站", "撞库", "电信诈骗",
+            "刷单返利", "杀猪盘", "冒充公检法", "虚假投资", "虚假理财", "集资诈骗", "养老诈骗", "冒充客服", "机票退改签诈骗",
+        ],
+    ),
+    "other": (30, []),
 }
 COMPONENT_WEIGHTS = {"keyword_category": 0.25, "source": 0.10, "heat": 0.15, "llm_category": 0.15, "sentiment": 0.15, "llm_risk": 0.20}
 THRESHOLDS = {"red": 85.0, "orange": 70.0, "blue": 40.0, "archive": 0.0}
@@ -165,7 +200,7 @@ class Config:
     store: str = ""
     raw_retention_days: int = 30
     processed_retention_days: int = 180
-    rules: dict[str, Category] = field(default_factory=lambda: {k: Category(float(w), kws.split()) for k, (w, kws) in DEFAULT_RULES.items()})
+    rules: dict[str, Category] = field(default_factory=lambda: {k: Category(float(w), list(kws)) for k, (w, kws) in DEFAULT_RULES.items()})
     processing: Processing = field(default_factory=Processing)
     scoring: Scoring = field(default_factory=Scoring)
     scheduler: Scheduler = field(default_factory=Scheduler)

@@ -634,8 +634,8 @@ def q_topn_per_platform(spark, sf):
 
 @query("SELECT source AS platform, least(count(*), 20) AS item_count FROM documents GROUP BY source")
 def q_outcome_counts(spark, sf):
-    d = adapters.table(spark, sf, "documents").groupBy(F.col("source").alias("platform")).agg(F.count("*").alias("n"))
-    return d.select("platform", F.least("n", F.lit(20)).alias("item_count"))
+    """What a command that takes twenty items of each platform reports: here the limit is the feature."""
+    return relational.first_n(adapters.raw_documents(spark, sf), 20, ["platform"], ["collected_at", "id"]).groupBy("platform").agg(F.count("*").alias("item_count"))
 
 
 @query("SELECT l_orderkey, l_linenumber, sum((l_returnflag <> 'N')::INT) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS UNBOUNDED PRECEDING)::BIGINT AS place FROM lineitem")
