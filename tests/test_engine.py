@@ -484,4 +484,4 @@ def test_queries_match_their_sql(spark):
         assert sorted(cols) == sorted(df.columns), name
         got = sorted(repr(tuple(plain(x[c]) for c in sorted(cols))) for x in df.collect())
         assert got == sorted(repr(tuple(plain(x[cols.index(c)]) for c in sorted(cols))) for x in r.fetchall()), name
-    assert set(queries.QUERIES) - set(queries.ORACLE_SQL) == {"dedup_leaders", "dedup_turns", "near_dup_edges"}
+    assert set(queries.QUERIES) - set(queries.ORACLE_SQL) == {"dedup_leaders", "dedup_turns", "dedup_documents", "near_dup_edges"}

@@ -28,20 +28,20 @@ class Work:
         before = getattr(_here, "work", None)
         _here.work = self
         if self.spark is not None:
-            self.spark.addTag(self.tag)
+            self.spark.sparkContext.addJobTag(self.tag)
         try:
             check()
             yield
         finally:
             _here.work = before
             if self.spark is not None:
-                self.spark.removeTag(self.tag)
+                self.spark.sparkContext.removeJobTag(self.tag)
 
     def stop(self) -> None:
-        """From now on this work commits nothing; its running jobs are interrupted, and those that it starts, once seen."""
+        """From now on this work commits nothing, and its running jobs are cancelled, those of adaptive stages too."""
         self._late.set()
         if self.spark is not None:
-            self.spark.interruptTag(self.tag)
+            self.spark.sparkContext.cancelJobsWithTag(self.tag)
 
     @property
     def stopped(self) -> bool:
