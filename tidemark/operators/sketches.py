@@ -32,16 +32,25 @@ def rolling(days: DataFrame, by: list[str], length: int) -> DataFrame:
     return merged.join(days.select(*by, "day"), [*by, "day"], "left_semi")
 
 
-def percentile_of(sketch: Column, heat: Column) -> Column:
-    """The share of a window's heats that are less than `heat` or equal, within the sketch's error (under one percent)."""
-    return F.kll_sketch_get_rank_double(sketch, heat.cast("double"))
+#: Points of a window's distribution that its rows are placed between.
+POINTS = 200
+
+
+def points(sketch: Column) -> Column:
+    """The heats at POINTS evenly spaced ranks of a sketch: what a row needs to know, read off once for each window."""
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*(F.lit((k + 0.5) / POINTS) for k in range(POINTS))))
+
+
+def percentile_of(of_window: Column, heat: Column) -> Column:
+    """The share of a window's heats that are `heat` or less: within the sketch's error (one percent) and half a point."""
+    return F.size(F.filter(of_window, lambda q: q <= heat.cast("double"))) / POINTS
 
 
 def rolling_percentiles(rows: DataFrame, by: list[str], time: str, heat: str, who: str, length: int = 7, out: str = "percentile") -> DataFrame:
     """Rows with a time and their heat's percentile among the key's heats of the last `length` days, their own day included."""
-    w = rolling(daily(rows, by, time, heat, who), by, length).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col("day").alias("_day"), "heat_sketch")
+    w = rolling(daily(rows, by, time, heat, who), by, length).select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col("day").alias("_day"), points(F.col("heat_sketch")).alias("_points"))
     same = F.to_date(time) == F.col("_day")
     for i, c in enumerate(by):
         same &= F.col(c).eqNullSafe(F.col(f"_k{i}"))
     met = rows.join(w, same)
-    return met.withColumn(out, F.when(F.col(heat).isNotNull(), percentile_of(F.col("heat_sketch"), F.col(heat)))).drop("_day", "heat_sketch", *(f"_k{i}" for i in range(len(by))))
+    return met.withColumn(out, F.when(F.col(heat).isNotNull(), percentile_of(F.col("_points"), F.col(heat)))).drop("_day", "_points", *(f"_k{i}" for i in range(len(by))))
