@@ -49,3 +49,17 @@ def test_tokens_are_words(spark):
     rows = [(1, " a  b\tc\n\nd "), (2, ""), (3, None), (4, "one")]
     got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.tokens) for r in got) == [(1, 4), (2, 0), (3, 0), (4, 1)]
+
+
+def test_a_group_of_one_id_is_split_too(spark):
+    """A third of all rows with one text and one id, or none, exceed a shard: they must not be one cell."""
+    import zlib
+
+    rows = [(None if k % 2 else 7, "the same words " * 40) for k in range(400)] + [(k, f"text {k} " * 25) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sharding.shard(docs, shards=6).collect()
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(6)]
+    assert len(got) == len(rows) and max(sizes) < 1.1 * sum(sizes) / 6
+    assert sorted((r.doc_id or 0, r.text_crc32) for r in got) == sorted((d or 0, zlib.crc32(t.encode())) for d, t in rows)
+    for s in range(6):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))

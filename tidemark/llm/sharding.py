@@ -48,7 +48,7 @@ def shard(
     Groups of equal texts are dealt by their digest into shards x cells_per_shard cells, and only the cells' sums of
     bytes, tokens (words) and rows, a number that doesn't depend on the corpus, come to the driver to be packed. A group
     that would outweigh a cell by four, of which there are at most shards x cells_per_shard / 4, is a vector of its own and
-    placed whole, before the cells; only one that fits no shard's residual capacity is split by a hash of its ids into
+    placed whole, before the cells; only one that fits no shard's residual capacity is split by a hash of its rows' numbers into
     parts of a cell's size. Slots are counted per task and offset by the counts of the tasks
     before, so no shard is ever sorted or held by one task.
 
@@ -64,6 +64,7 @@ def shard(
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         F.unhex(F.md5(text.cast("binary"))).alias("group"),
+        F.monotonically_increasing_id().alias("row"),  # written with the table, so it stays what it is
     )
     table = Table(features, "shard-features")
     f = table.df
@@ -75,10 +76,10 @@ def shard(
     parts = np.ceil(vectors[:, 0] * cells / max(1, total[0])).astype(np.int64)
     rows = [(bytearray(r.group), None, int(s)) if s >= 0 else (bytearray(r.group), int(p), None) for r, p, s in zip(large, parts, own)]
     hot = spark.createDataFrame(rows, "group binary, parts long, own int")
-    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("parts")))
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("row"), F.col("parts")))
     # cells from `cells` on are the shards of groups that are placed already
     cell = F.coalesce(F.col("own") + F.lit(cells), F.pmod(F.xxhash64("group", part), F.lit(cells)).cast("int"))
-    celled = f.join(F.broadcast(hot), "group", "left").withColumn("cell", cell).drop("parts", "own", "group")
+    celled = f.join(F.broadcast(hot), "group", "left").withColumn("cell", cell).drop("parts", "own", "group", "row")
     sums = celled.where(F.col("cell") < cells).groupBy("cell").agg(F.sum("size"), F.sum("tokens"), F.count("*")).collect()
     found, _ = place(np.array([[r[1], r[2], r[3]] for r in sums], float).reshape(-1, 3), shards, w, total, left)
     of_cell = spark.createDataFrame([(r[0], int(s)) for r, s in zip(sums, found)] + [(cells + s, s) for s in range(shards)], "cell int, shard int")
