@@ -80,6 +80,17 @@ def test_equals_one_after_the_other(spark, seed, few, patience, cross):
     assert sum(v is not None for v in want.values()) >= 15
 
 
+def test_with_titles_and_groups(spark):
+    r = random.Random(9)
+    rows = rows_of(r, 40)
+    for x in rows:
+        x |= {"norm_title": x["norm_full"][:30] if r.random() < 0.5 else "", "url_hash": f"u{r.randrange(30)}" if r.random() < 0.3 else None, "external_id": f"e{r.randrange(40)}" if r.random() < 0.3 else None}
+    want = dedup.sequential(rows)
+    df = spark.createDataFrame(rows, "id string, ord int, anchor boolean, platform string, norm_title string, norm_full string, simhash string, url_hash string, external_id string")
+    assert {x.id: x.duplicate_of for x in dedup.deduplicate(df, by_grams=True).collect()} == want
+    assert sum(v is not None for v in want.values()) >= 15
+
+
 def test_empty_and_released(spark):
     none = spark.createDataFrame([], "id string, ord int, anchor boolean, platform string, norm_full string, simhash string")
     assert similar.content_leaders(none).count() == 0
