@@ -35,12 +35,13 @@ def project_events(assessments: DataFrame) -> DataFrame:
     )
 
 
-def markdown(trigger: str, title: Column, level: Column, score: Column, category: Column, summary: Column, sentiment: Column, url: Column, reasons: Column) -> Column:
-    """A short report; sections without content are left out."""
-    line = lambda name, c: F.when(c.isNotNull() & (c != ""), F.concat(F.lit(f"- **{name}**: "), redact_pii(inline_text(c))))
+def markdown(trigger: str, title: Column, level: Column, score: Column, category: Column, summary: Column, sentiment: Column, url: Column, reasons: Column, as_they_are: tuple[str, ...] = ()) -> Column:
+    """A short report; sections without content are left out. Numbers of persons are redacted, but in sections `as_they_are` ("标题" is the first line)."""
+    shown = lambda name, c: inline_text(c) if name in as_they_are else redact_pii(inline_text(c))
+    line = lambda name, c: F.when(c.isNotNull() & (c != ""), F.concat(F.lit(f"- **{name}**: "), shown(name, c)))
     bullets = F.when(F.size(reasons) > 0, F.concat(F.lit("### 复核\n"), F.array_join(F.transform(reasons, lambda r: F.concat(F.lit("- "), r)), "\n")))
     parts = F.array(
-        F.concat(F.lit(f"## {trigger} "), redact_pii(inline_text(F.coalesce(title, F.lit(""))))),
+        F.concat(F.lit(f"## {trigger} "), shown("标题", F.coalesce(title, F.lit("")))),
         line("等级", level), line("分数", fixed2(score)), line("类别", category), line("摘要", summary), line("情感", sentiment), line("链接", url), bullets,
     )
     return F.substring(F.array_join(F.array_compact(parts), "\n"), 1, CLIP)
