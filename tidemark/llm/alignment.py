@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import Table, batch, map_batches, texts
 from .hashing import chunks, hash_spans
 
-#: Bytes of text that are aligned at once, and that share a dictionary of id pairs.
-PART, BLOCK = 4 << 20, 24 << 20
+#: Bytes of text that are aligned at once (each takes some fifty bytes meanwhile), and that share a dictionary of id pairs.
+PART, BLOCK = 1 << 20, 24 << 20
 
 #: The last bytes of UTF-8 white space beyond ASCII, by the byte that it starts with.
 _WIDE = {0xC2: (0x85, 0xA0), 0xE1: (0x80,), 0xE2: (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F), 0xE3: (0x80,)}
@@ -123,7 +123,7 @@ class Aligner:
 
 
 class Aligned(NamedTuple):
-    """What texts of a batch have, one entry a text but for `pairs`: all linked ids, a << 16 | b, cut by `n_links`."""
+    """What texts of a batch have, one entry a text but for `pairs`: all linked ids, a << 16 | b in 32 bits, cut by `n_links`."""
 
     n_a: np.ndarray
     n_b: np.ndarray
@@ -147,7 +147,7 @@ class Aligned(NamedTuple):
         links = np.cumsum(counts[0] * counts[1] * cut, dtype=np.int32)
         per = lambda x: np.diff(x[np.r_[0, stop]]).astype(np.int64)
         at = np.flatnonzero(cut)
-        pairs = ids[0][upto[0][at] - 1] << 16 | ids[1][upto[1][at] - 1]
+        pairs = (ids[0][upto[0][at] - 1] << 16 | ids[1][upto[1][at] - 1]).astype(np.uint32)
         # the digest's text: within a group the first vocabulary's ids, then the second's
         group = [cuts[e - 1] for e in ends]
         before = np.r_[0, upto[1][at]]
@@ -223,27 +223,22 @@ def _measured(docs: DataFrame, vocabularies: tuple[str, str, str], part: int, bl
                         row["pairs"].append(got.pairs[bound[k] : bound[k + 1]])
                     if end:
                         n = row["n"] * 0 if row["bad"] else row["n"]
-                        pairs = np.concatenate([np.empty(0, np.int64), *([] if row["bad"] else row["pairs"])])
+                        pairs = np.concatenate([np.empty(0, np.uint32), *([] if row["bad"] else row["pairs"])])
                         rows.append((row["doc_id"], n.tolist(), row["sha"].hexdigest() if n[0] else "", pairs))
             waiting.clear()
 
         def closed() -> Iterator[pa.RecordBatch]:
             nonlocal number
-            pairs, back, times = np.unique(np.concatenate([np.empty(0, np.int64), *(r[3] for r in rows)]), return_inverse=True, return_counts=True)
+            pairs, times = np.unique(np.concatenate([np.empty(0, np.uint32), *(r[3] for r in rows)]), return_counts=True)
             order = np.argsort(-times, kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            places = place[back]
-            done = 0
             for k in range(0, len(rows), 500):
                 some = rows[k : k + 500]
-                links = []
-                for r in some:
-                    links.append(places[done : done + len(r[3])].tobytes())
-                    done += len(r[3])
+                links = [place[np.searchsorted(pairs, r[3])].tobytes() for r in some]  # looked up row by row: no place of a whole block's links is held
                 none = pa.nulls(len(some), pa.binary())
                 yield batch(schema, [number] * len(some), [r[0] for r in some], *([r[1][i] for r in some] for i in range(4)), [r[2] for r in some], links, none, none)
-            yield batch(schema, [number], *([None] for _ in range(7)), [pairs[order].tobytes()], [times[order].astype(np.int64).tobytes()])
+            yield batch(schema, [number], *([None] for _ in range(7)), [pairs[order].astype(np.int64).tobytes()], [times[order].astype(np.int64).tobytes()])
             rows.clear()
             number += 1
 
