@@ -20,3 +20,13 @@ def test_cut_passages():
             gone = {k for a in made for lo, hi in a.occurrences(doc_id, t.encode()) for k in range(lo, hi)}
             assert len(gone) == want == 130
     assert substring.automata([], 50) == []
+
+
+def test_a_place_is_told_once_however_many_passages_have_it():
+    r = random.Random(4)
+    common = [f"c{k}" for k in range(60)]
+    passages = [(k, " ".join([*common, *(f"w{r.randint(0, 999)}" for _ in range(40))]).encode()) for k in range(2, 400)]
+    (made,) = substring.automata(passages, 50)
+    assert made.occurrences(900, " ".join(["x", *common, "y"]).encode()) == [(1, 61)]
+    assert made.occurrences(2, " ".join(common).encode()) == []
+    assert made.occurrences(3, passages[0][1]) == [(0, 100)]

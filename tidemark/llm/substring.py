@@ -30,25 +30,27 @@ class Passages:
     """One shard's automaton. Words are single characters of it, so a state is a word, not a letter.
 
     A passage is cut into tiles of half a window, at multiples of that, so that every window of the passage holds a whole
-    tile. Tiles are the automaton's patterns; a hit is extended word by word in either direction along the passage, and
-    what agrees for a whole window or more is an occurrence.
+    tile. Tiles are the automaton's patterns; where one is hit, the document's windows around it are looked up, all their words,
+    among the passages' windows. A place of a document is looked up once, however many passages have the tile.
     """
 
     def __init__(self, passages: list[tuple[int, bytes]], size: int):
-        self.size, self.tile, self.code, self.first, self.text = size, size // 2, {}, [], []
-        found: dict[str, list] = {}
+        self.size, self.tile, self.code = size, size // 2, {}
+        self.first: dict[str, int] = {}  # the least document of each window
+        tiles: set[str] = set()
         for first, raw in passages:
             s = "".join([self._char(w) for w in raw.split()])
-            for at in range(0, len(s) - self.tile + 1, self.tile):
-                found.setdefault(s[at : at + self.tile], []).append((len(self.text), at))
-            self.first.append(first)
-            self.text.append(s)
-        self.automaton = ahocorasick.Automaton()
-        for k, v in found.items():
-            self.automaton.add_word(k, v)
-        if found:
+            tiles.update(s[at : at + self.tile] for at in range(0, len(s) - self.tile + 1, self.tile))
+            for at in range(len(s) - size + 1):
+                w = s[at : at + size]
+                if self.first.setdefault(w, first) > first:
+                    self.first[w] = first
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for tile in tiles:
+            self.automaton.add_word(tile)
+        if tiles:
             self.automaton.make_automaton()
-        self.empty = not found
+        self.empty = not tiles
 
     def _char(self, word: bytes) -> str:
         c = self.code.get(word)
@@ -63,21 +65,16 @@ class Passages:
             return []
         get = self.code.get
         s = "".join([get(w, "\0") for w in raw.split()])
-        out, done = [], {}
-        for end, entries in self.automaton.iter(s):
-            pos = end - self.tile + 1
-            for p, off in entries:
-                if self.first[p] >= doc_id or done.get((p, pos - off), -1) >= end:
-                    continue
-                t, lo, hi, k = self.text[p], pos, end + 1, off + self.tile
-                while hi < len(s) and k < len(t) and s[hi] == t[k]:
-                    hi, k = hi + 1, k + 1
-                k = off
-                while lo and k and s[lo - 1] == t[k - 1]:
-                    lo, k = lo - 1, k - 1
-                done[p, pos - off] = hi
-                if hi - lo >= self.size:
-                    out.append((lo, hi))
+        out, first, size, next_ = [], self.first.get, self.size, 0
+        for end, _ in self.automaton.iter(s):
+            stop = min(end - self.tile + 1, len(s) - size) + 1
+            for at in range(max(next_, end + 1 - size), stop):
+                if first(s[at : at + size], doc_id) < doc_id:
+                    if out and at <= out[-1][1]:
+                        out[-1] = out[-1][0], at + size
+                    else:
+                        out.append((at, at + size))
+            next_ = max(next_, stop)
         return out
 
 
