@@ -120,7 +120,7 @@ def tree_of(joint: np.ndarray) -> list[int]:
     return parent
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 60, smooth: float = 5.0) -> tuple[np.ndarray, list[int]]:
+def label_model(votes: np.ndarray, prior: float, rounds: int = 60, smooth: float = 5.0, silent: int = 0) -> tuple[np.ndarray, list[int]]:
     """Posterior of label 1 for rows of votes (-1, 0, 1), and the voters' tree, by expectation-maximisation.
 
     The generative model: a label is drawn, then each voter's vote given the label and the vote of one other voter, its
@@ -129,6 +129,8 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 60, smooth: float
     the most information given the label, found again while the posterior still moves in the first rounds. The last voter
     is the given label: it is the root, and starts the estimate. Tables lean towards no correlation by the weight of
     `smooth` rows: with less, a few rows that label 0 has wrongly gained make what they share usual there, and more follow.
+    The first `silent` voters tell nothing where they abstain. Lexicons are such: those of one language abstain together in
+    every other, which no tree can say, so that their silence would outweigh the voters that have spoken.
     """
     n, m = votes.shape
     hot = np.zeros((n, m, 3))
@@ -145,10 +147,11 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 60, smooth: float
         odds = np.full(n, np.log(prior / (1 - prior)))
         for j, of in enumerate(parent):
             if of == j:
-                odds += np.log(alone[1, j] / alone[0, j])[votes[:, j] + 1]
+                told = np.log(alone[1, j] / alone[0, j])[votes[:, j] + 1]
             else:
                 given = (joint[:, of, :, j, :] + smooth * alone[:, j][:, None, :]) / (single[:, of][:, :, None] + smooth)
-                odds += np.log(given[1] / given[0])[votes[:, of] + 1, votes[:, j] + 1]
+                told = np.log(given[1] / given[0])[votes[:, of] + 1, votes[:, j] + 1]
+            odds += told if j >= silent else np.where(votes[:, j] == 0, 0.0, told)
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         moved, post = np.abs(new - post).max(), new
         if r > 6 and moved < 1e-6:
@@ -179,8 +182,8 @@ def train(
     doc, col = doc[keep], (np.cumsum(often) - 1)[col[keep]].astype(np.int32)
     ids, tot = ids[often], tot[often]
     rate = y.mean()
-    votes = voted(doc, col, lexicons(doc, col, y, len(ids), voters), patterns, y)
-    q, _ = label_model(votes, rate)
+    found = lexicons(doc, col, y, len(ids), voters)
+    q, _ = label_model(voted(doc, col, found, patterns, y), rate, silent=len(found))
     # the linear classifier: logistic regression on soft labels, features that tell something
     z = (np.bincount(col, y[doc], len(ids)) - tot * rate) / np.sqrt(tot * rate * (1 - rate) + 1e-9)
     chosen = np.flatnonzero(np.abs(z) > 4)
