@@ -110,3 +110,22 @@ def test_documents(spark):
         want[x["id"]] = found
         kept += [x] if found is None else []
     assert got == want and sum(v is not None for v in want.values()) >= 3
+
+
+def test_packed_grams_are_those_of_several_texts(spark, monkeypatch):
+    """The grams that more than one text has, by owner and times, packed in few and in many rows of few bytes a gram."""
+    from collections import Counter
+
+    r = random.Random(21)
+    texts = [normalized(words(r, 60)) for _ in range(30)]
+    texts += [changed(r, t, 0.02) for t in texts[:15]] + [texts[0] + " " + texts[1], texts[2] * 300, "short"]
+    df = spark.createDataFrame([(10**12 + k, t, len(t)) for k, t in enumerate(texts)], "cls long, text string, n int").coalesce(2)
+    kept = [dict(zip(*(v.tolist() for v in similar.winnowed(t)))) for t in texts]
+    owners = Counter(h for x in kept for h in x)
+    want = sorted((10**12 + k, n, owners[h]) for k, x in enumerate(kept) for h, n in x.items() if owners[h] > 1)
+    for most in (2_000, 1_000_000):
+        monkeypatch.setattr(similar, "PACKED", most)
+        got = similar._shared(df).collect()
+        assert sorted((x.cls, x.times, x.texts) for x in got) == want and len({x.gram for x in got}) == sum(n > 1 for n in owners.values())
+    assert max(n for _, n, _ in want) > 255 and len(want) > 200
+    assert similar._shared(df.limit(0)).count() == 0
